@@ -8,9 +8,19 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a dimension that may be broadcast. A row of the series table is some tens of
-# bytes, so the largest broadcast stays at a few MB whatever the facts weigh.
+# The largest dimension that is broadcast, whatever the facts weigh.
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 8 * 1024 * 1024
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether ``df`` is small enough to broadcast. At most ``max_rows + 1`` rows are looked
+    at, so the check stays cheap on a large frame."""
+    seen = df.limit(max_rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("n"))
+    rows, size = seen.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def join_series(
@@ -22,11 +32,10 @@ def join_series(
 ) -> DataFrame:
     """Facts of catalogued series with the dimension's columns; other facts are left out.
 
-    The dimension is broadcast only after counting that it is small (the count stops at
-    ``broadcast_rows``). A larger one is joined by shuffle, where AQE splits the partitions
-    of hot series.
+    The dimension is broadcast only after measuring that it is small. A larger one is
+    joined by shuffle, where AQE splits the partitions of hot series.
     """
-    small = series.limit(broadcast_rows + 1).count() <= broadcast_rows
+    small = fits_broadcast(series, broadcast_rows)
     return facts.join(F.broadcast(series) if small else series, on, "inner")
 
 

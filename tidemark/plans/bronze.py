@@ -10,7 +10,7 @@ from tidemark.operators.series import join_series
 from tidemark.plans.audit import audit
 from tidemark.plans.settings import Paths, Settings
 from tidemark.schemas import BRONZE, BRONZE_SLICE, DATE_FORMAT
-from tidemark.sources.landing import CORRUPT, in_window, read_landing
+from tidemark.sources.landing import CORRUPT, in_window, read_landing, split_corrupt
 from tidemark.sources.tables import replace_slices, staged
 
 CORRUPT_CHECK = "corrupt_documents"
@@ -51,8 +51,7 @@ def load_bronze(
     with staged(candidate, "bronze") as rows:
         extra = None
         if settings.on_error == "quarantine":
-            broken = rows.filter(F.col(CORRUPT).isNotNull())
-            rows = rows.filter(F.col(CORRUPT).isNull())
+            rows, broken = split_corrupt(rows)
             replace_slices(
                 broken.select("batch_ref", "series_name", "series_code", CORRUPT, "ingested_at"),
                 paths.quarantine,

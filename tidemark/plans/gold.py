@@ -11,7 +11,13 @@ from tidemark.operators.stats import MONTH_ORDER, monthly_stats
 from tidemark.plans.audit import audit
 from tidemark.plans.settings import Paths, Settings
 from tidemark.schemas import GOLD, SILVER
-from tidemark.sources.tables import read_table, replace_table, staged, table_exists
+from tidemark.sources.tables import (
+    read_slices,
+    read_table,
+    replace_table,
+    staged,
+    table_exists,
+)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
@@ -20,12 +26,11 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
 
 
 def gold_after(silver: DataFrame, gold: DataFrame, months: Sequence[str]) -> DataFrame:
-    """``gold`` with the statistics of ``months`` recomputed; only those months of silver are
-    read. Equal to a full recomputation if no other month of silver has changed."""
+    """``gold`` with the statistics of ``months`` replaced by those of ``silver``, which holds
+    these months in full."""
     month = F.format_string("%04d-%02d", "obs_year", "obs_month")
     kept = gold.filter(~month.isin(list(months)))
-    fresh = monthly_stats(silver.filter(F.col("month_ref").isin(list(months))), ordered=False)
-    return kept.unionByName(fresh).orderBy(*MONTH_ORDER)
+    return kept.unionByName(monthly_stats(silver, ordered=False)).orderBy(*MONTH_ORDER)
 
 
 def load_gold(
@@ -39,13 +44,15 @@ def load_gold(
     """Recompute the monthly statistics, check them, replace gold. Returns the report.
 
     By default the whole of silver is read (three columns of it). With ``gold="touched"``
-    and the months a silver load returned, only those are.
+    and the months a silver load returned, only those months are. That gives the same gold
+    as long as every earlier silver load was followed by a gold load: after a run that
+    stopped in between, run its batch again or recompute in full.
     """
-    silver = read_table(spark, paths.silver, SILVER)
     if settings.gold == "touched" and months is not None and table_exists(spark, paths.gold):
+        silver = read_slices(spark, paths.silver, SILVER, "month_ref", months)
         stats = gold_after(silver, read_table(spark, paths.gold, GOLD), months)
     else:
-        stats = monthly_stats(silver)
+        stats = monthly_stats(read_table(spark, paths.silver, SILVER))
     value_col = "min_value" if settings.policy == "layered" else "value"
     with staged(stats, "gold") as rows:
         report = audit(rows, "gold", batch_ref, series, paths, settings, value_col=value_col)

@@ -57,11 +57,13 @@ def read_landing(
 
 
 def split_corrupt(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined documents) of a frame read with ``on_error="quarantine"``."""
+    """(good rows, broken documents) of a frame read with ``on_error="quarantine"``.
+
+    Hand in a staged copy: on the raw files each half would parse them again, and Spark
+    refuses queries that need no other column than ``_corrupt_record`` there.
+    """
     broken = F.col(CORRUPT).isNotNull()
-    good = landed.filter(~broken).drop(CORRUPT)
-    # Spark does not run queries on the corrupt column alone, hence the other columns.
-    return good, landed.filter(broken).select("batch_ref", "series_code", "obs_date", CORRUPT)
+    return landed.filter(~broken).drop(CORRUPT), landed.filter(broken)
 
 
 def in_window(

@@ -7,15 +7,18 @@ mixture for a moment.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Partition values that Spark writes into a directory name as they are.
+PLAIN_VALUE = re.compile(r"[A-Za-z0-9_.-]+")
+
 
 # -- folders -------------------------------------------------------------------------
 
@@ -73,22 +76,29 @@ def read_table(
     return spark.read.schema(schema).parquet(path)
 
 
-def read_slice(
-    spark: SparkSession, path: str, schema: T.StructType, column: str, value: str
+def read_slices(
+    spark: SparkSession, path: str, schema: T.StructType, column: str, values: Sequence[str]
 ) -> DataFrame:
-    """The rows of one value of a table's leading partition column.
+    """The rows of some values of a table's leading partition column.
 
-    Only that directory is listed, so the cost does not grow with the table's history. A
-    slice that was never written is an empty frame.
+    Only those directories are listed, so the cost does not grow with the table's history.
+    A slice that was never written adds no rows.
     """
-    try:
-        return (
-            spark.read.schema(schema).option("basePath", path).parquet(f"{path}/{column}={value}")
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    unsafe = [v for v in values if not PLAIN_VALUE.fullmatch(v)]
+    if unsafe:
+        raise ValueError(f"not a plain partition value: {unsafe[0]!r}")
+    folders = [f"{path}/{column}={v}" for v in values]
+    folders = [f for f in folders if path_exists(spark, f)]
+    if not folders:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
+def read_slice(
+    spark: SparkSession, path: str, schema: T.StructType, column: str, value: str
+) -> DataFrame:
+    """The rows of one value of a table's leading partition column; see ``read_slices``."""
+    return read_slices(spark, path, schema, column, [value])
 
 
 # -- writes --------------------------------------------------------------------------
