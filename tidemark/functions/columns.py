@@ -21,12 +21,15 @@ def parse_number(text: Column) -> Column:
     """Double of a text, NULL where it is not a number.
 
     NaN counts as missing. The JVM would also take type suffixes ("1.5d", "2f") and
-    hexadecimal floats, which are not numbers in a payload; the pattern rejects them and
-    leaves "Infinity" alone.
+    hexadecimal floats, which are not numbers in a payload; "inf" and "Infinity" are.
     """
-    jvm_only = text.rlike("[dDxXpP]|[^nN][fF]")
+
+    def has(letter: str) -> Column:
+        return text.contains(letter) | text.contains(letter.upper())
+
+    jvm_only = has("d") | has("x") | (has("f") & ~has("n"))
     number = F.when(~jvm_only, text.try_cast("double"))
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(number, F.lit(None).cast("double"))
 
 
 def round4(value: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import parse_date, parse_number, round4
@@ -19,35 +19,37 @@ def type_series(
     date_format: str = DATE_FORMAT,
 ) -> DataFrame:
     """Text date to date and text value to a double of four decimals, in place. Whatever
-    cannot be parsed becomes NULL; nothing raises."""
-    return df.withColumns(
-        {
-            date_col: parse_date(F.col(date_col), date_format),
-            value_col: round4(parse_number(F.col(value_col))),
-        }
+    cannot be parsed becomes NULL; nothing raises.
+
+    Both are generated as one struct. As plain columns, a later filter on them would be
+    moved below the projection and parse every text a second time.
+    """
+    typed = F.struct(
+        parse_date(F.col(date_col), date_format).alias(date_col),
+        round4(parse_number(F.col(value_col))).alias(value_col),
     )
+    others = [c for c in df.columns if c not in (date_col, value_col)]
+    return df.select(*others, F.inline(F.array(typed))).select(*df.columns)
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] = ("obs_date", "value")) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
-def _latest_first(df: DataFrame, key: Sequence[str], latest: Sequence[str]) -> list[Column]:
-    rest = [c for c in df.columns if c not in key and c not in latest]
-    return [F.col(c).desc_nulls_last() for c in [*latest, *rest]]
-
-
 def dedup(df: DataFrame, key: Sequence[str] = KEY, latest: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the highest by ``latest``, then by all remaining columns, so that
-    every run keeps the same row.
+    """One row per key: the highest by ``latest``, then by all remaining columns (NULL
+    lowest), so that every run keeps the same row.
 
-    ``latest`` defaults to the lineage columns that exist. Spark limits each group to its
-    first row before the exchange, so a hot key leaves every task as a single row.
+    ``latest`` defaults to the lineage columns that exist. The maximum is taken before the
+    exchange and again after it: a hot key leaves every task as a single row.
     """
     if latest is None:
         latest = [c for c in ("batch_ref", "ingested_at") if c in df.columns]
-    order = Window.partitionBy(*key).orderBy(*_latest_first(df, key, latest))
-    return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+    rest = [c for c in df.columns if c not in key and c not in latest]
+    if not [*latest, *rest]:
+        return df.dropDuplicates(list(key))
+    best = df.groupBy(*key).agg(F.max(F.struct(*latest, *rest)).alias("_row"))
+    return best.select(*[c if c in key else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def dropped_rows(

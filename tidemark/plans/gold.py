@@ -30,7 +30,7 @@ def gold_after(silver: DataFrame, gold: DataFrame, months: Sequence[str]) -> Dat
     these months in full."""
     month = F.format_string("%04d-%02d", "obs_year", "obs_month")
     kept = gold.filter(~month.isin(list(months)))
-    return kept.unionByName(monthly_stats(silver, ordered=False)).orderBy(*MONTH_ORDER)
+    return kept.unionByName(monthly_stats(silver, ordered=False))
 
 
 def load_gold(
@@ -52,7 +52,7 @@ def load_gold(
         silver = read_slices(spark, paths.silver, SILVER, "month_ref", months)
         stats = gold_after(silver, read_table(spark, paths.gold, GOLD), months)
     else:
-        stats = monthly_stats(read_table(spark, paths.silver, SILVER))
+        stats = monthly_stats(read_table(spark, paths.silver, SILVER), ordered=False)
     value_col = "min_value" if settings.policy == "layered" else "value"
     with staged(stats, "gold") as rows:
         report = audit(rows, "gold", batch_ref, series, paths, settings, value_col=value_col)

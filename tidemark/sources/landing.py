@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,10 +79,13 @@ def in_window(
     """Rows dated in ``[batch_ref - days, batch_ref]``, both ends included.
 
     With ``text_format`` the date column is text, and a row whose text cannot be parsed is
-    kept: raw data stays whole until silver drops and counts such rows.
+    kept: raw data stays whole until silver drops and counts such rows. Text is compared
+    with a list of the window's dates, which parses it once where two bounds would twice.
     """
     first, last = window_bounds(F.lit(check_batch_ref(batch_ref)), days)
     if text_format is None:
         return df.filter(F.col(date_col).between(first, last))
-    day = parse_date(F.col(date_col), text_format)
-    return df.filter(day.isNull() | day.between(first, last))
+    end = date.fromisoformat(batch_ref)
+    dates = [end - timedelta(days=n) for n in range(days + 1)]
+    inside = parse_date(F.col(date_col), text_format).isin(dates)
+    return df.filter(F.coalesce(inside, F.lit(True)))
