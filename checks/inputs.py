@@ -85,11 +85,9 @@ def as_bronze(rows: DataFrame) -> DataFrame:
     )
 
 
-def land(rows: DataFrame, label: str) -> str:
-    """Write rows (obs_date, value, batch_ref, series_code) as JSON payloads, one array per
-    line, and return the landing folder. Large slices are split over several files."""
-    root = new_folder(rows.sparkSession, label)
-    payload = F.to_json(
+def payload() -> Column:
+    """One observation as the text of a JSON array."""
+    return F.to_json(
         F.array(
             F.struct(
                 F.date_format("obs_date", DATE_FORMAT).alias("data"),
@@ -97,8 +95,15 @@ def land(rows: DataFrame, label: str) -> str:
             )
         )
     )
+
+
+def land(rows: DataFrame, label: str, text: Column | None = None) -> str:
+    """Write rows (obs_date, value, batch_ref, series_code) as payloads, one array per line,
+    and return the landing folder. Large slices are split over several files."""
+    root = new_folder(rows.sparkSession, label)
+    text = payload() if text is None else text
     (
-        rows.select(payload.alias("value"), "batch_ref", "series_code")
+        rows.select(text.alias("value"), "batch_ref", "series_code")
         .hint("rebalance", "batch_ref", "series_code")
         .write.partitionBy("batch_ref", "series_code")
         .text(root)

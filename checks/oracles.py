@@ -68,6 +68,25 @@ CUSTOMER_REPORT = f"""
 """
 
 
+# Two overlapping batches of whole amounts, the second with revised values.
+BATCHES = f"""
+  SELECT series_name, obs_date, CAST(floor(value) AS BIGINT) AS value,
+         '1998-03-31' AS batch_ref
+  FROM ({ORDERS}) WHERE obs_date <= DATE '1998-03-31'
+  UNION ALL
+  SELECT series_name, obs_date, CAST(floor(value) AS BIGINT) + 1, '2001-12-31'
+  FROM ({ORDERS}) WHERE obs_date >= DATE '1998-03-15'
+"""
+
+MERGED = f"""
+  SELECT series_name, obs_date, CAST(max(value) AS DOUBLE) AS value FROM ({BATCHES})
+  WHERE batch_ref = '2001-12-31' OR obs_date < DATE '1998-03-15'
+  GROUP BY ALL
+"""
+
+ORDER_CODE = "CAST(left(series_name, 1) AS BIGINT) AS series_code"
+
+
 def monthly(rows: str) -> str:
     return f"""
       SELECT series_name, CAST(year(obs_date) AS INTEGER) AS obs_year,
@@ -84,6 +103,13 @@ ORACLES: dict[str, str] = {
              min(obs_date) AS first_date
       FROM ({EVENTS}) GROUP BY ALL
     """,
+    "q_landing_quarantine": f"""
+      SELECT CAST(CASE series_name WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
+                                   WHEN 'signup' THEN 4 WHEN 'view' THEN 5 END AS BIGINT)
+               AS series_code,
+             batch_ref, count(*) AS row_count, series_name = 'error' AS broken, series_name
+      FROM ({EVENTS}) GROUP BY series_name, batch_ref
+    """,
     "q_extract_window": f"""
       SELECT series_name, count(*) AS row_count, '08/01/2024' AS first_date,
              '15/01/2024' AS last_date
@@ -231,6 +257,11 @@ ORACLES: dict[str, str] = {
              CASE WHEN obs_date >= DATE '{WEEK}' THEN user_id END AS user_id
       FROM ({EVENTS})
     """,
+    "q_schema_merge": f"""
+      SELECT event_id, series_name, obs_date, value,
+             CASE WHEN obs_date >= DATE '{WEEK}' THEN user_id END AS user_id
+      FROM ({EVENTS})
+    """,
     "q_run_counts": f"""
       SELECT 'bronze' AS layer, series_name, count(*) AS row_count, '2001-12-31' AS batch_ref
       FROM ({ORDERS}) GROUP BY ALL
@@ -241,12 +272,35 @@ ORACLES: dict[str, str] = {
       SELECT 'gold', series_name, count(DISTINCT date_trunc('month', obs_date)), '2001-12-31'
       FROM ({ORDERS}) GROUP BY ALL
     """,
-    "q_run_gold": monthly(
-        f"""
-          SELECT series_name, obs_date,
-                 max(floor(value) + CASE WHEN obs_date >= DATE '1998-03-15' THEN 1 ELSE 0 END)
-                   AS value
-          FROM ({ORDERS}) GROUP BY series_name, obs_date
-        """
-    ),
+    "q_load_bronze": f"""
+      SELECT strftime(obs_date, '%d/%m/%Y') AS obs_date, value, {ORDER_CODE},
+             'orders' AS source_system, batch_ref, series_name
+      FROM ({BATCHES})
+    """,
+    "q_load_quality": f"""
+      WITH raw AS (
+             SELECT batch_ref, series_name, count(*) AS n FROM ({BATCHES}) GROUP BY ALL),
+           clean AS (
+             SELECT batch_ref, series_name, count(DISTINCT obs_date) AS n
+             FROM ({BATCHES}) GROUP BY ALL),
+           zero(layer, check_name, detail) AS (VALUES
+             ('bronze', 'nulos_data', '0 nulls in obs_date'),
+             ('bronze', 'nulos_valor', '0 nulls in value'),
+             ('silver', 'nulos_data', '0 nulls in obs_date'),
+             ('silver', 'nulos_valor', '0 nulls in value'),
+             ('silver', 'valor_positivo', '0 rows with a negative value'),
+             ('silver', 'sem_duplicatas', '0 duplicates by (obs_date, series_code)'))
+      SELECT layer, batch_ref, series_name, 'volume_minimo' AS check_name, n AS observed,
+             true AS passed, n || ' rows (expected: > 0)' AS detail
+      FROM (SELECT 'bronze' AS layer, * FROM raw UNION ALL SELECT 'silver', * FROM clean)
+      UNION ALL
+      SELECT layer, batch_ref, series_name, check_name, 0, true, detail FROM raw CROSS JOIN zero
+    """,
+    "q_load_silver": f"""
+      SELECT obs_date, value, {ORDER_CODE}, series_name,
+             strftime(obs_date, '%Y-%m') AS month_ref
+      FROM ({MERGED})
+    """,
+    "q_run_gold": monthly(MERGED),
+    "q_run_gold_touched": monthly(MERGED),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from checks.inputs import (
     land,
     order_series,
     orders,
+    payload,
     raw_events,
     table,
 )
@@ -36,13 +38,23 @@ from tidemark.operators.quality import policy_table, profile, quality_report, ve
 from tidemark.operators.series import evolve, join_series, union_series
 from tidemark.operators.stats import MONTH_ORDER, monthly_stats
 from tidemark.operators.upsert import upsert
+from tidemark.plans.bronze import load_bronze
 from tidemark.plans.gold import read_gold
 from tidemark.plans.run import run_batch
 from tidemark.plans.settings import Paths, Settings
-from tidemark.plans.silver import upsert_table
-from tidemark.schemas import BRONZE, BRONZE_SLICE, NO_DUPLICATES, VOLUME, series_dimension
-from tidemark.sources.landing import in_window, read_landing
+from tidemark.plans.silver import load_silver, upsert_table
+from tidemark.schemas import (
+    BRONZE,
+    BRONZE_SLICE,
+    NO_DUPLICATES,
+    QUALITY,
+    SILVER,
+    VOLUME,
+    series_dimension,
+)
+from tidemark.sources.landing import in_window, read_landing, split_corrupt
 from tidemark.sources.tables import (
+    drop_folder,
     new_folder,
     read_slice,
     read_table,
@@ -74,6 +86,28 @@ def q_landing_read(spark, sf_dir):
     )
 
 
+@query
+def q_landing_quarantine(spark, sf_dir):
+    # The payloads of errors are cut off before their end.
+    facts = join_series(events(spark, sf_dir), event_series(spark), "series_name")
+    whole = payload()
+    cut = F.left(whole, F.length(whole) - 2)
+    text = F.when(F.col("series_name") == "error", cut).otherwise(whole)
+    raw = read_landing(
+        spark, land(facts, "landing", text), layout="lines", on_error="quarantine"
+    )
+    path = new_folder(spark, "landed")
+    replace_table(raw, path)
+    good, broken = split_corrupt(read_table(spark, path, raw.schema))
+    counts = union_series(
+        part.groupBy("series_code", "batch_ref")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .withColumn("broken", F.lit(flag))
+        for part, flag in ((good, False), (broken, True))
+    )
+    return join_series(counts, event_series(spark).select("series_code", "series_name"))
+
+
 @query
 def q_extract_window(spark, sf_dir):
     rows = in_window(events(spark, sf_dir), "2024-01-15")
@@ -324,44 +358,98 @@ def q_dim_nation(spark, sf_dir):
     )
 
 
-@query
-def q_schema_evolve(spark, sf_dir):
+def _before_and_after_a_new_column(spark, sf_dir):
     rows = events(spark, sf_dir).drop("batch_ref")
     old = rows.filter(F.col("obs_date") < WEEK).drop("user_id")
-    return evolve([old, rows.filter(F.col("obs_date") >= WEEK)])
+    return old, rows.filter(F.col("obs_date") >= WEEK)
+
+
+@query
+def q_schema_evolve(spark, sf_dir):
+    return evolve(_before_and_after_a_new_column(spark, sf_dir))
+
+
+@query
+def q_schema_merge(spark, sf_dir):
+    path = new_folder(spark, "evolving")
+    for number, part in enumerate(_before_and_after_a_new_column(spark, sf_dir)):
+        replace_slices(part.withColumn("part", F.lit(number)), path, ["part"])
+    return read_table(spark, path).drop("part")
 
 
 # -- runs ------------------------------------------------------------------------------
 
 RUN = Settings(layout="lines", window_days=None, policy="layered", source_system="orders")
+FIRST, SECOND = "1998-03-31", "2001-12-31"
+
 
+def _two_batches(spark, sf_dir):
+    """Orders landed as two batches that overlap in March 1998; the second revises values.
 
-def _landed_orders(spark, sf_dir):
-    return join_series(orders(spark, sf_dir), order_series(spark), "series_name")
+    The values are whole amounts: their sums are exact, so a mean does not depend on the
+    order of the rows.
+    """
+    rows = join_series(orders(spark, sf_dir), order_series(spark), "series_name")
+    rows = rows.withColumn("value", F.floor("value"))
+    early = rows.filter(F.col("obs_date") <= FIRST).withColumn("batch_ref", F.lit(FIRST))
+    late = rows.filter(F.col("obs_date") >= "1998-03-15").withColumn("batch_ref", F.lit(SECOND))
+    late = late.withColumn("value", F.col("value") + 1)
+    return Paths(new_folder(spark, "run"), land(union_series([early, late]), "landing"))
+
+
+@query
+def q_load_bronze(spark, sf_dir):
+    paths = _two_batches(spark, sf_dir)
+    for batch_ref in (FIRST, SECOND, FIRST):
+        load_bronze(spark, batch_ref, paths, order_series(spark), RUN)
+    drop_folder(spark, paths.landing)
+    rows = read_table(spark, paths.bronze, BRONZE)
+    return rows.withColumn("value", F.col("value").cast("long")).drop("ingested_at")
+
+
+@query
+def q_load_quality(spark, sf_dir):
+    paths = _two_batches(spark, sf_dir)
+    for batch_ref in (FIRST, SECOND):
+        load_bronze(spark, batch_ref, paths, order_series(spark), RUN)
+        load_silver(spark, batch_ref, paths, order_series(spark), RUN)
+    drop_folder(spark, paths.landing)
+    return read_table(spark, paths.quality, QUALITY).drop("dataset")
+
+
+@query
+def q_load_silver(spark, sf_dir):
+    paths = _two_batches(spark, sf_dir)
+    for batch_ref in (FIRST, SECOND):
+        load_bronze(spark, batch_ref, paths, order_series(spark), RUN)
+        load_silver(spark, batch_ref, paths, order_series(spark), RUN)
+    drop_folder(spark, paths.landing)
+    return read_table(spark, paths.silver, SILVER)
 
 
 @query
 def q_run_counts(spark, sf_dir):
-    rows = _landed_orders(spark, sf_dir).withColumn("batch_ref", F.lit("2001-12-31"))
-    paths = Paths(new_folder(spark, "run"), land(rows, "landing"))
-    return run_batch(spark, "2001-12-31", paths, order_series(spark), RUN)
+    rows = join_series(orders(spark, sf_dir), order_series(spark), "series_name")
+    landing = land(rows.withColumn("batch_ref", F.lit(SECOND)), "landing")
+    paths = Paths(new_folder(spark, "run"), landing)
+    counts = run_batch(spark, SECOND, paths, order_series(spark), RUN)
+    drop_folder(spark, landing)
+    return counts
+
+
+def _gold_of_two_runs(spark, sf_dir, settings):
+    paths = _two_batches(spark, sf_dir)
+    for batch_ref in (FIRST, SECOND):
+        run_batch(spark, batch_ref, paths, order_series(spark), settings)
+    drop_folder(spark, paths.landing)
+    return read_gold(spark, paths.gold)
 
 
 @query
 def q_run_gold(spark, sf_dir):
-    # Whole amounts: their sums are exact, so a mean does not depend on the order of rows.
-    rows = _landed_orders(spark, sf_dir).withColumn("value", F.floor("value"))
-    first = rows.filter(F.col("obs_date") <= "1998-03-31")
-    second = rows.filter(F.col("obs_date") >= "1998-03-15")
-    batches = union_series(
-        [
-            first.withColumn("batch_ref", F.lit("1998-03-31")),
-            second.withColumn("value", F.col("value") + 1).withColumn(
-                "batch_ref", F.lit("2001-12-31")
-            ),
-        ]
-    )
-    paths = Paths(new_folder(spark, "run"), land(batches, "landing"))
-    for batch_ref in ("1998-03-31", "2001-12-31"):
-        run_batch(spark, batch_ref, paths, order_series(spark), RUN)
-    return read_gold(spark, paths.gold)
+    return _gold_of_two_runs(spark, sf_dir, RUN)
+
+
+@query
+def q_run_gold_touched(spark, sf_dir):
+    return _gold_of_two_runs(spark, sf_dir, replace(RUN, gold="touched"))
