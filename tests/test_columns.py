@@ -1,5 +1,9 @@
+import math
+import random
+import re
 from datetime import date
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +47,9 @@ def test_dates_follow_the_format_or_are_null(spark):
         ("1.5d", None),
         ("2f", None),
         ("0x1p3", None),
+        ("1e400", None),
+        ("9" * 400, None),
+        ("1e308", 1e308),
         (None, None),
         ("-0.08", -0.08),
         ("5.", 5.0),
@@ -52,6 +59,40 @@ def test_numbers(spark, text, number):
     assert results(one_column(spark, [text]), parse_number(F.col("v"))) == [number]
 
 
+def random_texts(alphabet, length, size=4000):
+    rng = random.Random(7)
+    return ["".join(rng.choices(alphabet, k=rng.randint(1, length))) for _ in range(size)]
+
+
+def test_numbers_agree_with_pandas_on_random_text(spark):
+    words = ["inf", "Infinity", "nan", "NaN", "1e3", "0x", ".", "-", "+", " ", "d", "F", "12", "7"]
+    texts = random_texts("0123456789.eE+-dfDFx ", 6) + random_texts(words, 3)
+    got = results(one_column(spark, texts), parse_number(F.col("v")))
+    # Padding is ignored for every number; pandas makes an exception for "inf".
+    expected = pd.to_numeric(pd.Series(texts).str.strip(" "), errors="coerce")
+    for text, mine, theirs in zip(texts, got, expected):
+        if mine is None:
+            assert math.isnan(theirs), text
+        else:
+            assert mine == theirs or math.isclose(mine, theirs, rel_tol=1e-12), text
+
+
+def test_dates_agree_with_a_strict_reading_of_random_text(spark):
+    parts = ["01", "31", "29", "02", "12", "13", "1", "0", "/", "/", "/", "2024", "2023", "-", " "]
+    whole = [f"{d:02}/{m:02}/{y}" for d in range(0, 33) for m in range(0, 14) for y in (2023, 2024)]
+    texts = whole + random_texts(parts, 5)
+
+    def strict(text):
+        if not re.fullmatch(r"\d\d/\d\d/\d{4}", text):
+            return None
+        try:
+            return date(int(text[6:]), int(text[3:5]), int(text[:2]))
+        except ValueError:
+            return None
+
+    assert results(one_column(spark, texts), parse_date(F.col("v"))) == [strict(t) for t in texts]
+
+
 def test_rounding_is_half_up(spark):
     values = [2.00005, 0.00015, 1.00025, -2.00005]
     assert results(one_column(spark, values, "double"), round4(F.col("v"))) == [

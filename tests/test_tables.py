@@ -64,6 +64,8 @@ def test_slices_are_read_from_their_own_folders(spark, tmp_path):
     assert rows_of(got) == [(2, "2026-07-02", "a"), (4, "2026-07-04", "a")]
     assert len(got.inputFiles()) == 2
     assert read_slice(spark, path, SCHEMA, "batch_ref", "2027-01-01").count() == 0
+    assert read_slice(spark, str(tmp_path / "none"), SCHEMA, "batch_ref", "x").count() == 0
+    assert read_slices(spark, path, SCHEMA, "batch_ref", []).count() == 0
     with pytest.raises(ValueError):
         read_slice(spark, path, SCHEMA, "batch_ref", "../other")
 

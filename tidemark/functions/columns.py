@@ -20,16 +20,19 @@ def parse_date(text: Column, fmt: str = DATE_FORMAT) -> Column:
 def parse_number(text: Column) -> Column:
     """Double of a text, NULL where it is not a number.
 
-    NaN counts as missing. The JVM would also take type suffixes ("1.5d", "2f") and
-    hexadecimal floats, which are not numbers in a payload; "inf" and "Infinity" are.
+    NaN counts as missing. The JVM would also take type suffixes ("1.5d", "2f"),
+    hexadecimal floats and numbers beyond the double range, which are not numbers in a
+    payload; "inf" and "Infinity" are. Only text with an exponent or of great length can
+    leave the range, so plain numbers are cast once.
     """
 
     def has(letter: str) -> Column:
         return text.contains(letter) | text.contains(letter.upper())
 
+    number = text.try_cast("double")
     jvm_only = has("d") | has("x") | (has("f") & ~has("n"))
-    number = F.when(~jvm_only, text.try_cast("double"))
-    return F.nanvl(number, F.lit(None).cast("double"))
+    overflow = (has("e") | (F.length(text) > 300)) & (F.abs(number) == float("inf"))
+    return F.nanvl(F.when(~(jvm_only | overflow), number), F.lit(None).cast("double"))
 
 
 def round4(value: Column) -> Column:

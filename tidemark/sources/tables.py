@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -87,11 +88,13 @@ def read_slices(
     unsafe = [v for v in values if not PLAIN_VALUE.fullmatch(v)]
     if unsafe:
         raise ValueError(f"not a plain partition value: {unsafe[0]!r}")
-    folders = [f"{path}/{column}={v}" for v in values]
-    folders = [f for f in folders if path_exists(spark, f)]
-    if not folders:
+    folders = f"{path}/{column}={{{','.join(values)}}}"
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(folders)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
 def read_slice(
