@@ -1,0 +1,109 @@
+"""Several runs over random payloads against a model in plain Python."""
+
+import random
+import statistics
+from collections import defaultdict
+from datetime import date, datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from helpers import SERIES, land, paths, rows_of, three_series
+
+from tidemark.plans.gold import read_gold
+from tidemark.plans.run import run_batch
+from tidemark.plans.settings import Settings
+from tidemark.schemas import BRONZE, SILVER
+from tidemark.sources.tables import read_table
+
+BATCHES = ["2026-06-29", "2026-07-06", "2026-07-13"]
+LOOSE = Settings(policy="layered", null_tolerance=10**6)
+
+
+def payload(rng, batch_ref):
+    """Dates in and around the window, some written badly; values, some missing."""
+    last = date.fromisoformat(batch_ref)
+    rows = [(last.strftime("%d/%m/%Y"), "1.5")]
+    for _ in range(rng.randint(5, 40)):
+        day = last - timedelta(days=rng.randint(-2, 10))
+        text = day.strftime(rng.choice(["%d/%m/%Y"] * 6 + ["%Y-%m-%d", "%d/%m/%y"]))
+        value = rng.choice([f"{rng.uniform(0, 9):.5f}"] * 6 + [rng.randint(0, 9), None, "n/a", "NaN"])
+        rows.append((text, value))
+    return rows
+
+
+def day_of(text):
+    try:
+        day = datetime.strptime(text, "%d/%m/%Y").date()
+    except ValueError:
+        return None
+    return day if day.strftime("%d/%m/%Y") == text else None
+
+
+def number_of(value):
+    try:
+        number = Decimal(str(value))
+    except ArithmeticError:
+        return None
+    return None if number.is_nan() else float(number.quantize(Decimal("0.0001"), ROUND_HALF_UP))
+
+
+def in_window(text, batch_ref):
+    day, last = day_of(text), date.fromisoformat(batch_ref)
+    return day is None or last - timedelta(days=7) <= day <= last
+
+
+def clean(rows):
+    best = {}
+    for text, value in rows:
+        day, number = day_of(text), number_of(value)
+        if day is not None and number is not None:
+            best[day] = max(number, best.get(day, number))
+    return best
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_runs_equal_the_model(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    where = paths(tmp_path)
+    kept = {}
+    for batch_ref in BATCHES:
+        payloads = {code: payload(rng, batch_ref) for _, code, _ in SERIES}
+        land(where.landing, batch_ref, payloads)
+        for code, rows in payloads.items():
+            kept[batch_ref, code] = [r for r in rows if in_window(r[0], batch_ref)]
+    order = [*BATCHES, rng.choice(BATCHES)]
+    model = {}
+    for batch_ref in order:
+        run_batch(spark, batch_ref, where, three_series(spark), LOOSE)
+        for name, code, _ in SERIES:
+            for day, value in clean(kept[batch_ref, code]).items():
+                model[day, code, name] = value
+
+    bronze = read_table(spark, where.bronze, BRONZE)
+    assert rows_of(bronze, "batch_ref", "series_code", "obs_date", "value") == sorted(
+        (
+            (b, c, day, None if value is None else str(value))
+            for (b, c), rows in kept.items()
+            for day, value in rows
+        ),
+        key=lambda r: [(v is None, str(v)) for v in r],
+    )
+
+    silver = read_table(spark, where.silver, SILVER)
+    got = {(r.obs_date, r.series_code, r.series_name): r.value for r in silver.collect()}
+    assert got == model
+    assert silver.count() == len(model)
+
+    months = defaultdict(list)
+    for (day, _, name), value in model.items():
+        months[name, day.year, day.month].append(value)
+    gold = read_gold(spark, where.gold).collect()
+    assert [tuple(r)[:3] for r in gold] == sorted(months)
+    for row in gold:
+        values = months[tuple(row)[:3]]
+        assert row.mean_value == pytest.approx(statistics.mean(values), abs=6e-5)
+        assert (row.min_value, row.max_value) == (min(values), max(values))
+        if len(values) == 1:
+            assert row.stddev_value is None
+        else:
+            assert row.stddev_value == pytest.approx(statistics.stdev(values), abs=6e-5)

@@ -3,6 +3,7 @@ from datetime import date, timedelta
 import pytest
 from helpers import files_under, land, paths, rows_of, three_series
 
+from tidemark.__main__ import main
 from tidemark.operators.history import as_of
 from tidemark.operators.quality import QualityError
 from tidemark.plans.bronze import load_bronze
@@ -262,3 +263,15 @@ def test_volumes_are_the_counts(spark, tmp_path):
 def test_a_batch_ref_must_be_a_date(spark, tmp_path):
     with pytest.raises(ValueError):
         run_batch(spark, "13/07/2026", paths(tmp_path), three_series(spark))
+
+
+def test_a_run_from_the_command_line(spark, tmp_path, capsys):
+    where = paths(tmp_path)
+    land_all(where, SECOND)
+    names = tmp_path / "series.json"
+    names.write_text('[["currency", 1, "daily"], ["monthly_index", 433, "monthly", true]]')
+    main([SECOND, "--base", where.base, "--landing", where.landing, "--series", str(names)])
+    assert "|silver|currency     |8" in capsys.readouterr().out
+    assert {k[1] for k in silver(spark, where)} == {"currency", "monthly_index"}
+    with pytest.raises(SystemExit):
+        main([SECOND, "--base", where.base])

@@ -68,9 +68,10 @@ def profile(
     value_col: str = "value",
     key: Sequence[str] = KEY,
     series_col: str | None = None,
+    expected: DataFrame | None = None,
 ) -> DataFrame:
     """One row per series with a count column per check (one row in all if there is no
-    ``series_col``).
+    ``series_col``). Series of the table ``expected`` get their row, of zeros, in any case.
 
     Counts are summed per key and then per series, each time before the exchange: a hot key
     or series leaves a task as one row. Duplicates are rows minus distinct keys, NULL keys
@@ -86,18 +87,23 @@ def profile(
         counts[NULL_VALUE] = F.count_if(number.isNull())
     if NOT_NEGATIVE in checks:
         counts[NOT_NEGATIVE] = F.count_if(number < 0)
-    aggregates = [column.alias(name) for name, column in counts.items()]
-    by_series = [series_col] if series_col else []
+    by = [F.col(series_col).alias("series_name")] if series_col else []
+    per_key = [F.col(c) for c in key] if NO_DUPLICATES in checks else []
+    partial = df.groupBy(*by, *per_key).agg(*[column.alias(c) for c, column in counts.items()])
+    names = list(counts)
     if NO_DUPLICATES in checks:
-        per_key = df.groupBy(*dict.fromkeys([*by_series, *key])).agg(*aggregates)
-        aggregates = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts]
-        surplus = F.sum(F.col(VOLUME) - 1)
-        aggregates.append(F.coalesce(surplus, F.lit(0)).alias(NO_DUPLICATES))
-        df = per_key
-    totals = df.groupBy(*by_series).agg(*aggregates)
+        partial = partial.withColumn(NO_DUPLICATES, F.col(VOLUME) - 1)
+        names.append(NO_DUPLICATES)
+    partial = partial.withColumn("allow_negative", F.lit(False))
+    partial = partial.select(*(["series_name"] if series_col else []), "allow_negative", *names)
+    if expected is not None:
+        zeros = [F.lit(0).cast("long").alias(c) for c in names]
+        partial = partial.unionByName(expected.select("series_name", "allow_negative", *zeros))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]
+    signed = F.coalesce(F.bool_or("allow_negative"), F.lit(False)).alias("allow_negative")
     if series_col:
-        return totals.withColumnRenamed(series_col, "series_name")
-    return totals.withColumn("series_name", F.lit(None).cast("string"))
+        return partial.groupBy("series_name").agg(signed, *sums)
+    return partial.agg(signed, *sums).withColumn("series_name", F.lit(None).cast("string"))
 
 
 def quality_report(
@@ -123,21 +129,13 @@ def quality_report(
     if checks is None:
         checks = checks_for(dataset, df.columns, **columns)
     by = series_col if expected is not None else None
-    totals = profile(df, checks, series_col=by, **columns)
-    signed = F.lit(False)
-    if expected is not None:
-        # Several codes may share a name; the join must not repeat its rows.
-        names = expected.groupBy("series_name").agg(
-            F.bool_or("allow_negative").alias("allow_negative")
-        )
-        totals = names.join(totals, "series_name", "full_outer")
-        signed = F.coalesce(F.col("allow_negative"), F.lit(False))
-    observed = {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in checks}
+    totals = profile(df, checks, series_col=by, expected=expected, **columns)
+    observed = {c: F.col(c) for c in checks}
     passed = {
         VOLUME: lambda n: n > 0,
         NULL_DATE: lambda n: n <= null_tolerance,
         NULL_VALUE: lambda n: n <= null_tolerance,
-        NOT_NEGATIVE: lambda n: (n == 0) | signed,
+        NOT_NEGATIVE: lambda n: (n == 0) | F.col("allow_negative"),
         NO_DUPLICATES: lambda n: n == 0,
     }
     details = {
