@@ -8,13 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import month_ref
 from tidemark.operators.upsert import upsert
-from tidemark.plans.silver import (
-    FEW_PARTITIONS,
-    _pending,
-    finish_pending,
-    laid_out,
-    upsert_table,
-)
+from tidemark.plans.silver import _pending, finish_pending, upsert_table
 from tidemark.schemas import SILVER
 from tidemark.sources.tables import drop_folder, path_exists, read_table, replace_slices, staged
 
@@ -103,26 +97,20 @@ def test_a_month_new_to_the_table_is_added(spark, tmp_path):
     assert content(spark, path) == [("2026-06-30", 1, 1.0), ("2027-01-01", 1, 2.0)]
 
 
-def test_many_months_are_brought_together_before_the_write(spark, tmp_path):
+@pytest.mark.parametrize("years", [(2024,), (2024, 2025, 2026)])
+def test_a_month_is_not_scattered_over_files(spark, tmp_path, years):
     path = str(tmp_path / "silver")
-    months = [f"{y}-{m:02}" for y in (2024, 2025) for m in range(1, 13)]
+    months = [f"{y}-{m:02}" for y in years for m in range(1, 13)]
     rows = [(f"{m}-{d:02}", c, d) for m in months for d in range(1, 11) for c in range(5)]
     with staged(silver(spark, rows).repartition(8), "source") as source:
-        upsert_table(source, path)
-        upsert_table(source, path)
-    files = files_under(path)
-    assert {f.split("/")[0] for f in files} == {f"month_ref={m}" for m in months}
-    assert len(files) == len(months)
+        for _ in range(2):
+            upsert_table(source, path)
+            files = files_under(path)
+            assert {f.split("/")[0] for f in files} == {f"month_ref={m}" for m in months}
+            assert len(files) == len(months)
     assert read_table(spark, path, SILVER).count() == len(rows)
 
 
-def test_few_months_are_written_as_they_come(spark):
-    df = silver(spark, [("2026-06-30", 1, 1)])
-    assert laid_out(df, "month_ref", ["m"] * FEW_PARTITIONS) is df
-    plan = laid_out(df, "month_ref", ["m"] * (FEW_PARTITIONS + 1))
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan._jdf.queryExecution().executedPlan().toString()
-
-
 def test_a_swap_that_was_cut_off_is_finished_by_the_next_load(spark, tmp_path):
     path = str(tmp_path / "silver")
     put(spark, [("2026-06-30", 1, 1), ("2026-07-01", 1, 2)], path)

@@ -30,11 +30,6 @@ from tidemark.sources.tables import (
     table_exists,
 )
 
-# A task may hold rows of every touched partition. Up to this many the files stay large
-# enough as the join leaves them; beyond it the rows are brought together per partition.
-FEW_PARTITIONS = 4
-
-
 def clean_batch(bronze: DataFrame) -> DataFrame:
     """Silver rows of one batch's raw ones: typed, complete, one per key, with their month.
 
@@ -55,12 +50,6 @@ def touched_partitions(source: DataFrame, column: str = "month_ref") -> list[str
     return sorted(row[0] for row in source.select(column).distinct().collect())
 
 
-def laid_out(df: DataFrame, column: str, partitions: Sequence[str]) -> DataFrame:
-    """``df`` arranged for a write partitioned by ``column``. The rebalance lets AQE split
-    a partition that holds more rows than one task should write."""
-    return df.hint("rebalance", column) if len(partitions) > FEW_PARTITIONS else df
-
-
 def _pending(spark: SparkSession, path: str) -> str:
     name = hashlib.sha256(path.rstrip("/").encode()).hexdigest()[:24]
     return f"{shared_folder(spark)}/tidemark/pending-{name}"
@@ -95,16 +84,19 @@ def upsert_table(
     ``source`` is read several times: hand in a written table. Only partitions that occur
     in it are listed, read and replaced; hence ``partition_col`` must be a function of the
     key. Returns those partitions.
+
+    Rows are rebalanced by partition before they are written: without that, every task
+    would add a file to every partition. AQE splits a partition too large for one task.
     """
     spark = source.sparkSession
     finish_pending(spark, path, schema, partition_col)
     source = source.select(*schema.fieldNames())
     touched = touched_partitions(source, partition_col)
     if not table_exists(spark, path):
-        create_table(laid_out(source, partition_col, touched), path, [partition_col])
+        create_table(source.hint("rebalance", partition_col), path, [partition_col])
         return touched
     target = read_slices(spark, path, schema, partition_col, touched)
-    merged = laid_out(upsert(target, source, key), partition_col, touched)
+    merged = upsert(target, source, key).hint("rebalance", partition_col)
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(_pending(spark, path))
     finish_pending(spark, path, schema, partition_col)
     return touched
