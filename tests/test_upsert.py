@@ -138,6 +138,16 @@ def test_a_merge_that_was_not_written_in_full_is_not_published(spark, tmp_path):
     assert content(spark, path) == [("2026-06-30", 1, 1.0), ("2026-07-01", 1, 2.0)]
 
 
+def test_a_merge_left_behind_does_not_bring_back_a_dropped_table(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    silver(spark, [("2026-06-30", 1, 9)]).write.partitionBy("month_ref").parquet(
+        _pending(spark, path)
+    )
+    put(spark, [("2026-07-01", 1, 2)], path)
+    put(spark, [("2026-07-02", 1, 3)], path)
+    assert content(spark, path) == [("2026-07-01", 1, 2.0), ("2026-07-02", 1, 3.0)]
+
+
 def test_each_table_has_its_own_pending_folder(spark, tmp_path):
     assert _pending(spark, "/a/b") != _pending(spark, "/a_b")
     assert _pending(spark, "/a/b/") == _pending(spark, "/a/b")

@@ -48,6 +48,8 @@ def load_gold(
     as long as every earlier silver load was followed by a gold load: after a run that
     stopped in between, run its batch again or recompute in full.
     """
+    if settings.gold not in ("full", "touched"):
+        raise ValueError(f"unknown gold mode {settings.gold!r}")
     if settings.gold == "touched" and months is not None and table_exists(spark, paths.gold):
         silver = read_slices(spark, paths.silver, SILVER, "month_ref", months)
         stats = gold_after(silver, read_table(spark, paths.gold, GOLD), months)

@@ -30,6 +30,7 @@ from tidemark.sources.tables import (
     table_exists,
 )
 
+
 def clean_batch(bronze: DataFrame) -> DataFrame:
     """Silver rows of one batch's raw ones: typed, complete, one per key, with their month.
 
@@ -55,6 +56,14 @@ def _pending(spark: SparkSession, path: str) -> str:
     return f"{shared_folder(spark)}/tidemark/pending-{name}"
 
 
+def _swap_in(
+    spark: SparkSession, path: str, schema: T.StructType, partition_col: str
+) -> None:
+    pending = _pending(spark, path)
+    replace_slices(read_table(spark, pending, schema), path, [partition_col])
+    drop_folder(spark, pending)
+
+
 def finish_pending(
     spark: SparkSession, path: str, schema: T.StructType, partition_col: str = "month_ref"
 ) -> bool:
@@ -63,11 +72,10 @@ def finish_pending(
     A driver lost during the swap can leave a partition of the target missing. The written
     merge still holds it, and publishing it again gives the same table.
     """
-    pending = _pending(spark, path)
-    if not path_exists(spark, f"{pending}/_SUCCESS"):
+    written = path_exists(spark, f"{_pending(spark, path)}/_SUCCESS")
+    if not (written and table_exists(spark, path)):
         return False
-    replace_slices(read_table(spark, pending, schema), path, [partition_col])
-    drop_folder(spark, pending)
+    _swap_in(spark, path, schema, partition_col)
     return True
 
 
@@ -93,12 +101,13 @@ def upsert_table(
     source = source.select(*schema.fieldNames())
     touched = touched_partitions(source, partition_col)
     if not table_exists(spark, path):
+        drop_folder(spark, _pending(spark, path))
         create_table(source.hint("rebalance", partition_col), path, [partition_col])
         return touched
     target = read_slices(spark, path, schema, partition_col, touched)
     merged = upsert(target, source, key).hint("rebalance", partition_col)
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(_pending(spark, path))
-    finish_pending(spark, path, schema, partition_col)
+    _swap_in(spark, path, schema, partition_col)
     return touched
 
 
