@@ -168,12 +168,20 @@ def test_a_month_with_most_rows_is_split_over_files(spark, tmp_path, hot):
         "'s' AS series_name",
     )
     df = rows.unionByName(other).withColumn("month_ref", month_ref(F.col("obs_date")))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    # AQE splits along the tasks before the exchange, so there must be several of them.
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k",
+        "spark.sql.files.maxPartitionBytes": "256k",
+        "spark.sql.files.openCostInBytes": "0",
+    }
+    for name, value in small.items():
+        spark.conf.set(name, value)
     try:
-        with staged(df, "source") as source:
+        with staged(df.repartition(8), "source") as source:
             upsert_table(source, path)
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        for name in small:
+            spark.conf.unset(name)
     july = [f for f in files_under(path) if f.startswith("month_ref=2026-07")]
     assert (len(july) > 1) is hot
     assert read_table(spark, path, SILVER).count() == size + 10
