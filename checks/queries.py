@@ -36,7 +36,7 @@ from tidemark.operators.history import as_of
 from tidemark.operators.lineage import drop_lineage, select_batch, stamp
 from tidemark.operators.quality import policy_table, profile, quality_report, verdict
 from tidemark.operators.series import evolve, join_series, union_series
-from tidemark.operators.stats import MONTH_ORDER, monthly_stats
+from tidemark.operators.stats import monthly_stats
 from tidemark.operators.upsert import upsert
 from tidemark.plans.bronze import load_bronze
 from tidemark.plans.gold import read_gold

@@ -29,9 +29,13 @@ def paths(tmp_path):
     return Paths(str(tmp_path / "tables"), str(tmp_path / "landing"))
 
 
+def null_last(row):
+    return [(v is None, str(v)) for v in row]
+
+
 def rows_of(df, *columns):
     picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(v is None, str(v)) for v in r])
+    return sorted((tuple(r) for r in picked.collect()), key=null_last)
 
 
 def files_under(folder):

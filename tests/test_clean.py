@@ -1,6 +1,6 @@
 from datetime import date, datetime
 
-from helpers import plan_of, rows_of
+from helpers import null_last, plan_of, rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -48,8 +48,15 @@ def test_typing_then_dropping_keeps_complete_rows(spark):
 
 
 def test_dropped_rows_are_counted_per_series(spark):
-    rows = [(1, 11, 1.0, "a"), (1, 11, 2.0, "a"), (1, 11, None, "a"), (None, 11, 1.0, "a"), (1, 12, None, "b")]
-    df = spark.createDataFrame(rows, "obs_date int, series_code int, value double, series_name string")
+    rows = [
+        (1, 11, 1.0, "a"),
+        (1, 11, 2.0, "a"),
+        (1, 11, None, "a"),
+        (None, 11, 1.0, "a"),
+        (1, 12, None, "b"),
+    ]
+    schema = "obs_date int, series_code int, value double, series_name string"
+    df = spark.createDataFrame(rows, schema)
     assert rows_of(dropped_rows(df)) == [("a", 4, 2, 1), ("b", 1, 1, 0)]
 
 
@@ -69,7 +76,9 @@ def test_the_latest_batch_wins_then_time_then_the_rest(spark):
 
 
 def test_null_keys_are_one_key(spark):
-    df = spark.createDataFrame([(None, 1, 1.0), (None, 1, 2.0)], "obs_date int, series_code int, value double")
+    df = spark.createDataFrame(
+        [(None, 1, 1.0), (None, 1, 2.0)], "obs_date int, series_code int, value double"
+    )
     assert rows_of(dedup(df), "value") == [(2.0,)]
 
 
@@ -117,7 +126,7 @@ def test_dedup_keeps_the_greatest_row_of_each_key(spark, rows):
     best = {}
     for day, code, value in rows:
         best[day, code] = max(value, best.get((day, code), -1))
-    assert rows_of(got) == sorted(((*k, v) for k, v in best.items()), key=lambda r: [(False, str(v)) for v in r])
+    assert rows_of(got) == sorted(((*k, v) for k, v in best.items()), key=null_last)
 
 
 def test_union_matches_columns_by_name(spark):

@@ -15,6 +15,7 @@ from tidemark.schemas import GOLD
 from tidemark.sources.tables import replace_table
 
 OBS = "series_name string, obs_date date, value double"
+CELL = st.tuples(st.sampled_from("ab"), st.integers(0, 70), st.integers(-50, 50))
 
 
 def test_a_single_observation_has_no_deviation(spark):
@@ -36,13 +37,14 @@ def test_series_are_grouped_by_name_and_ordered(spark):
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 70), st.integers(-50, 50)), max_size=40))
+@given(st.lists(CELL, max_size=40))
 def test_statistics_equal_those_of_the_standard_library(spark, cells):
     rows = [(s, date(2026, 1, 1) + timedelta(days=n), float(v)) for s, n, v in cells]
     groups = defaultdict(list)
     for s, day, v in rows:
         groups[s, day.year, day.month].append(v)
-    got = {tuple(r)[:3]: tuple(r)[3:] for r in monthly_stats(spark.createDataFrame(rows, OBS)).collect()}
+    stats = monthly_stats(spark.createDataFrame(rows, OBS)).collect()
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in stats}
     assert got.keys() == groups.keys()
     for key, values in groups.items():
         mean, low, high, deviation = got[key]
@@ -60,7 +62,8 @@ def test_only_three_columns_are_read_and_one_row_per_group_moves(spark, small):
         lines, series_col="l_returnflag", date_col="l_shipdate", value_col="l_quantity"
     )
     plan = plan_of(stats)
-    assert "ReadSchema: struct<l_quantity:double,l_returnflag:string,l_shipdate:timestamp_ntz>" in plan
+    read = "ReadSchema: struct<l_quantity:double,l_returnflag:string,l_shipdate:timestamp_ntz>"
+    assert read in plan
     assert "partial_avg" in plan and "partial_stddev_samp" in plan
     assert plan.index("partial_avg") > plan.index("Exchange hashpartitioning")
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan

@@ -30,8 +30,9 @@ def test_array_elements_become_rows_with_code_and_batch(spark, tmp_path):
 
 
 def test_lines_layout_takes_objects_and_arrays(spark, tmp_path):
-    text = '{"data":"06/07/2026","valor":"1"}\n[{"data":"07/07/2026","valor":"2"},{"data":"08/07/2026"}]\n'
-    land(tmp_path, BATCH, {11: text})
+    one = '{"data":"06/07/2026","valor":"1"}'
+    two = '[{"data":"07/07/2026","valor":"2"},{"data":"08/07/2026"}]'
+    land(tmp_path, BATCH, {11: f"{one}\n{two}\n"})
     got = read_landing(spark, str(tmp_path), layout="lines")
     assert rows_of(got, "obs_date", "value") == [
         ("06/07/2026", "1"),
@@ -83,10 +84,9 @@ def test_window_includes_both_ends(spark):
 
 
 def test_window_on_text_keeps_what_cannot_be_parsed(spark):
-    rows = [("05/07/2026",), ("06/07/2026",), ("13/07/2026",), ("14/07/2026",), ("1/7/2026",), (None,)]
-    got = in_window(
-        spark.createDataFrame(rows, "obs_date string"), BATCH, text_format="dd/MM/yyyy"
-    )
+    texts = ["05/07/2026", "06/07/2026", "13/07/2026", "14/07/2026", "1/7/2026", None]
+    df = spark.createDataFrame([(t,) for t in texts], "obs_date string")
+    got = in_window(df, BATCH, text_format="dd/MM/yyyy")
     assert rows_of(got) == [("06/07/2026",), ("1/7/2026",), ("13/07/2026",), (None,)]
 
 

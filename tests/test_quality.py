@@ -92,7 +92,8 @@ def test_empty_input_fails_on_volume_only(spark):
 
 def test_text_values_are_checked_as_numbers(spark):
     rows = [("01/07/2026", 11, "1.5"), ("02/07/2026", 11, "n/a"), ("03/07/2026", 11, "-2")]
-    got = observed(quality_report(obs(spark, rows, "obs_date string, series_code long, value string"), "x"))
+    df = obs(spark, rows, "obs_date string, series_code long, value string")
+    got = observed(quality_report(df, "x"))
     assert got[NULL_VALUE] == (1, False)
     assert got[NOT_NEGATIVE] == (1, False)
 
@@ -109,7 +110,8 @@ def test_layered_policy_takes_the_layers_own_checks(spark):
     assert checks_for("bronze", columns, policy="layered") == [VOLUME, NULL_DATE, NULL_VALUE]
     assert checks_for("silver", columns, policy="layered") == ALL_CHECKS
     gold = ["series_name", "min_value"]
-    assert checks_for("gold", gold, policy="layered", value_col="min_value") == [VOLUME, NOT_NEGATIVE]
+    got = checks_for("gold", gold, policy="layered", value_col="min_value")
+    assert got == [VOLUME, NOT_NEGATIVE]
     with pytest.raises(ValueError):
         checks_for("gold", gold, policy="none")
 
@@ -182,7 +184,8 @@ CELL = st.tuples(
 @given(st.lists(CELL, max_size=30))
 def test_profile_equals_counting_by_hand(spark, cells):
     rows = [(name, day, 1, value) for name, day, value in cells]
-    df = spark.createDataFrame(rows, "series_name string, obs_date int, series_code int, value double")
+    schema = "series_name string, obs_date int, series_code int, value double"
+    df = spark.createDataFrame(rows, schema)
     got = {r.series_name: r for r in profile(df, ALL_CHECKS, series_col="series_name").collect()}
     assert set(got) == {r[0] for r in rows}
     for name, counts in got.items():

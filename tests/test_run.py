@@ -49,9 +49,8 @@ def test_one_run_fills_all_layers(spark, tmp_path):
     counts = run_batch(spark, SECOND, where, three_series(spark))
     assert [f.name for f in counts.schema] == METRICS.fieldNames()
     names = ("currency", "daily_rate", "monthly_index")
-    assert rows_of(counts) == sorted(
-        [(layer, n, c, SECOND) for layer, c in (("bronze", 8), ("silver", 8), ("gold", 1)) for n in names]
-    )
+    sizes = (("bronze", 8), ("silver", 8), ("gold", 1))
+    assert rows_of(counts) == sorted((la, n, c, SECOND) for la, c in sizes for n in names)
     bronze = read_table(spark, where.bronze, BRONZE)
     assert bronze.schema == BRONZE
     assert bronze.select("ingested_at").distinct().count() == 1
@@ -202,7 +201,8 @@ def test_one_series_can_be_loaded_again_alone(spark, tmp_path):
     assert months == ["2026-07"]
     assert {r.series_name for r in report.collect()} == {"currency"}
     after = files_under(where.bronze)
-    assert {f.split("/")[1] for f in before if after.get(f) != before[f]} == {"series_name=currency"}
+    changed = {f.split("/")[1] for f in before if after.get(f) != before[f]}
+    assert changed == {"series_name=currency"}
     state = silver(spark, where)
     assert state["2026-07-06", "currency"] == 6.5
     assert state["2026-07-06", "daily_rate"] == 6.0

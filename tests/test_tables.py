@@ -33,7 +33,12 @@ def frame(spark, rows):
 
 def test_replacing_a_slice_leaves_the_others_alone(spark, tmp_path):
     path = str(tmp_path / "t")
-    rows = [(i, f"2026-07-{d:02}", s) for i, (d, s) in enumerate((d, s) for d in (6, 13) for s in "ab")]
+    rows = [
+        (0, "2026-07-06", "a"),
+        (1, "2026-07-06", "b"),
+        (2, "2026-07-13", "a"),
+        (3, "2026-07-13", "b"),
+    ]
     replace_slices(frame(spark, rows), path, SLICE)
     before = files_under(path)
     replace_slices(frame(spark, [(9, "2026-07-13", "a")]), path, SLICE)

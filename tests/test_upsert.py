@@ -10,7 +10,7 @@ from tidemark.functions.columns import month_ref
 from tidemark.operators.upsert import upsert
 from tidemark.plans.silver import _pending, finish_pending, upsert_table
 from tidemark.schemas import SILVER
-from tidemark.sources.tables import drop_folder, path_exists, read_table, replace_slices, staged
+from tidemark.sources.tables import drop_folder, path_exists, read_table, staged
 
 ROW = "obs_date int, series_code int, value double"
 
@@ -46,7 +46,8 @@ def test_null_keys_match_nothing(spark):
     assert rows_of(upsert(target, source), "value") == [(1.0,), (2.0,)]
 
 
-TABLE = st.dictionaries(st.tuples(st.integers(0, 3), st.integers(0, 2)), st.integers(0, 9), max_size=8)
+CELL = st.tuples(st.integers(0, 3), st.integers(0, 2))
+TABLE = st.dictionaries(CELL, st.integers(0, 9), max_size=8)
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
@@ -159,7 +160,10 @@ def test_a_month_with_most_rows_is_split_over_files(spark, tmp_path, hot):
     path = str(tmp_path / "silver")
     size = 300_000 if hot else 10
     rows = spark.range(size).selectExpr(
-        "date'2026-07-01' AS obs_date", "rand(1) AS value", "id AS series_code", "'s' AS series_name"
+        "date'2026-07-01' AS obs_date",
+        "rand(1) AS value",
+        "id AS series_code",
+        "'s' AS series_name",
     )
     other = spark.range(10).selectExpr(
         "add_months(date'2025-01-01', cast(id AS int)) AS obs_date",

@@ -36,7 +36,9 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str] = ("obs_date", "value"
     return df.dropna(subset=list(columns))
 
 
-def dedup(df: DataFrame, key: Sequence[str] = KEY, latest: Sequence[str] | None = None) -> DataFrame:
+def dedup(
+    df: DataFrame, key: Sequence[str] = KEY, latest: Sequence[str] | None = None
+) -> DataFrame:
     """One row per key: the highest by ``latest``, then by all remaining columns (NULL
     lowest), so that every run keeps the same row.
 
