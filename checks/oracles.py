@@ -296,6 +296,14 @@ ORACLES: dict[str, str] = {
       UNION ALL
       SELECT layer, batch_ref, series_name, check_name, 0, true, detail FROM raw CROSS JOIN zero
     """,
+    "q_load_dropped": f"""
+      SELECT series_name, count(*) AS row_count,
+             count(*) FILTER (obs_date IS NULL OR value IS NULL) AS incomplete,
+             count(*) FILTER (obs_date IS NOT NULL AND value IS NOT NULL)
+               - count(DISTINCT CASE WHEN value IS NOT NULL THEN obs_date END) AS duplicates,
+             '{WEEK}' AS batch_ref
+      FROM ({TYPED_EVENTS}) GROUP BY ALL
+    """,
     "q_load_silver": f"""
       SELECT obs_date, value, {ORDER_CODE}, series_name,
              strftime(obs_date, '%Y-%m') AS month_ref

@@ -44,8 +44,10 @@ from tidemark.plans.run import run_batch
 from tidemark.plans.settings import Paths, Settings
 from tidemark.plans.silver import load_silver, upsert_table
 from tidemark.schemas import (
+    ALL_CHECKS,
     BRONZE,
     BRONZE_SLICE,
+    DROPPED,
     NO_DUPLICATES,
     QUALITY,
     SILVER,
@@ -380,6 +382,7 @@ def q_schema_merge(spark, sf_dir):
 # -- runs ------------------------------------------------------------------------------
 
 RUN = Settings(layout="lines", window_days=None, policy="layered", source_system="orders")
+LOOSE = replace(RUN, threshold=len(ALL_CHECKS))
 FIRST, SECOND = "1998-03-31", "2001-12-31"
 
 
@@ -417,6 +420,16 @@ def q_load_quality(spark, sf_dir):
     return read_table(spark, paths.quality, QUALITY).drop("dataset")
 
 
+@query
+def q_load_dropped(spark, sf_dir):
+    facts = raw_events(spark, sf_dir).drop("event_id", "series_code")
+    bronze = stamp(join_series(facts, event_series(spark), "series_name"), WEEK, "events")
+    paths = Paths(new_folder(spark, "run"), "")
+    replace_slices(bronze.select(*BRONZE.fieldNames()), paths.bronze, BRONZE_SLICE)
+    load_silver(spark, WEEK, paths, event_series(spark), LOOSE)
+    return read_table(spark, paths.dropped, DROPPED)
+
+
 @query
 def q_load_silver(spark, sf_dir):
     paths = _two_batches(spark, sf_dir)

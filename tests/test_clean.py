@@ -4,7 +4,13 @@ from helpers import null_last, plan_of, rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tidemark.operators.clean import dedup, drop_incomplete, dropped_rows, type_series
+from tidemark.operators.clean import (
+    dedup,
+    drop_incomplete,
+    dropped_between,
+    dropped_rows,
+    type_series,
+)
 from tidemark.operators.lineage import LINEAGE, drop_lineage, select_batch, stamp
 from tidemark.operators.series import evolve, union_series
 
@@ -75,6 +81,17 @@ def test_the_latest_batch_wins_then_time_then_the_rest(spark):
     assert dedup(df).columns == df.columns
 
 
+def test_copies_and_what_was_dropped(spark):
+    rows = [(1, 11, 1.0, "a"), (1, 11, 2.0, "a"), (None, 11, 1.0, "a"), (1, 12, None, "b")]
+    schema = "obs_date int, series_code int, value double, series_name string"
+    df = spark.createDataFrame(rows, schema)
+    kept = dedup(drop_incomplete(df), copies="copies")
+    assert rows_of(kept) == [(1, 11, 2.0, "a", 2)]
+    assert rows_of(dropped_between(df, kept, "copies")) == rows_of(dropped_rows(df))
+    keys = df.select("obs_date", "series_code")
+    assert rows_of(dedup(keys, copies="n")) == [(1, 11, 2), (1, 12, 1), (None, 11, 1)]
+
+
 def test_null_keys_are_one_key(spark):
     df = spark.createDataFrame(
         [(None, 1, 1.0), (None, 1, 2.0)], "obs_date int, series_code int, value double"

@@ -14,6 +14,7 @@ from tidemark.plans.silver import load_silver
 from tidemark.schemas import (
     BRONZE,
     CATALOGUE,
+    DROPPED,
     METRICS,
     QUALITY,
     SILVER,
@@ -149,6 +150,12 @@ def test_missing_values_within_the_tolerance_are_dropped_in_silver(spark, tmp_pa
     where = paths(tmp_path)
     land_all(where, SECOND, s1=[("07/07/2026", None), ("08/07/2026", "5"), ("1/7/2026", "5")])
     counts = run_batch(spark, SECOND, where, three_series(spark), Settings(null_tolerance=1))
+    dropped = read_table(spark, where.dropped, DROPPED)
+    assert rows_of(dropped) == [
+        ("currency", 3, 2, 0, SECOND),
+        ("daily_rate", 8, 0, 0, SECOND),
+        ("monthly_index", 8, 0, 0, SECOND),
+    ]
     assert rows_of(counts.filter("series_name = 'currency'"), "layer", "row_count") == [
         ("bronze", 3),
         ("gold", 1),

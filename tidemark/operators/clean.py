@@ -37,21 +37,28 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str] = ("obs_date", "value"
 
 
 def dedup(
-    df: DataFrame, key: Sequence[str] = KEY, latest: Sequence[str] | None = None
+    df: DataFrame,
+    key: Sequence[str] = KEY,
+    latest: Sequence[str] | None = None,
+    *,
+    copies: str | None = None,
 ) -> DataFrame:
     """One row per key: the highest by ``latest``, then by all remaining columns (NULL
     lowest), so that every run keeps the same row.
 
     ``latest`` defaults to the lineage columns that exist. The maximum is taken before the
-    exchange and again after it: a hot key leaves every task as a single row.
+    exchange and again after it: a hot key leaves every task as a single row. ``copies``
+    names a column that counts the rows each kept row stands for.
     """
     if latest is None:
         latest = [c for c in ("batch_ref", "ingested_at") if c in df.columns]
     rest = [c for c in df.columns if c not in key and c not in latest]
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
     if not [*latest, *rest]:
-        return df.dropDuplicates(list(key))
-    best = df.groupBy(*key).agg(F.max(F.struct(*latest, *rest)).alias("_row"))
-    return best.select(*[c if c in key else F.col("_row")[c].alias(c) for c in df.columns])
+        return df.groupBy(*key).agg(*counted) if copies else df.dropDuplicates(list(key))
+    best = df.groupBy(*key).agg(F.max(F.struct(*latest, *rest)).alias("_row"), *counted)
+    kept = [c if c in key else F.col("_row")[c].alias(c) for c in df.columns]
+    return best.select(*kept, *([copies] if copies else []))
 
 
 def dropped_rows(
@@ -73,3 +80,20 @@ def dropped_rows(
         F.sum(F.col("_rows") - F.col("_complete")).alias("incomplete"),
         F.sum(F.greatest(F.col("_complete") - 1, F.lit(0))).alias("duplicates"),
     )
+
+
+def dropped_between(raw: DataFrame, deduped: DataFrame, copies: str) -> DataFrame:
+    """The columns of ``dropped_rows``, from the rows before cleaning and those that
+    ``dedup`` kept with their ``copies``. Of ``raw`` only the series is read. A key must
+    belong to one series; ``dropped_rows`` does without that, at the price of a pass."""
+    rows = raw.groupBy("series_name").agg(F.count(F.lit(1)).alias("row_count"))
+    kept = deduped.groupBy("series_name").agg(
+        F.sum(copies).alias("_complete"), F.count(F.lit(1)).alias("_kept")
+    )
+    complete = F.coalesce("_complete", F.lit(0))
+    return rows.join(kept, "series_name", "left").select(
+        "series_name",
+        "row_count",
+        (F.col("row_count") - complete).alias("incomplete"),
+        (complete - F.coalesce("_kept", F.lit(0))).alias("duplicates"),
+    )

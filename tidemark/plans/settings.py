@@ -34,6 +34,10 @@ class Paths:
     def quarantine(self) -> str:
         return f"{self.base}/quarantine"
 
+    @property
+    def dropped(self) -> str:
+        return f"{self.base}/dropped"
+
     @property
     def metrics(self) -> str:
         return f"{self.base}/metrics"

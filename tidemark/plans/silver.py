@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import month_ref
-from tidemark.operators.clean import dedup, drop_incomplete, type_series
+from tidemark.operators.clean import (
+    dedup,
+    drop_incomplete,
+    dropped_between,
+    type_series,
+)
 from tidemark.operators.lineage import drop_lineage
 from tidemark.operators.series import join_series
 from tidemark.operators.upsert import upsert
@@ -31,15 +36,17 @@ from tidemark.sources.tables import (
 )
 
 
+COPIES = "copies"
+
+
 def clean_batch(bronze: DataFrame) -> DataFrame:
-    """Silver rows of one batch's raw ones: typed, complete, one per key, with their month.
+    """Silver rows of one batch's raw ones: typed, complete, one per key, with their month
+    and the number of copies of the key.
 
     Lineage goes first: within a batch it decides nothing, and the dedup moves fewer bytes.
     """
-    clean = dedup(drop_incomplete(type_series(drop_lineage(bronze))))
-    return clean.withColumn("month_ref", month_ref(F.col("obs_date"))).select(
-        *SILVER.fieldNames()
-    )
+    clean = dedup(drop_incomplete(type_series(drop_lineage(bronze))), copies=COPIES)
+    return clean.withColumn("month_ref", month_ref(F.col("obs_date")))
 
 
 def touched_partitions(source: DataFrame, column: str = "month_ref") -> list[str]:
@@ -121,10 +128,15 @@ def load_silver(
     """Clean one batch of all ``series`` (or of those in the frame), check it, upsert it.
 
     Only the batch's own slice of bronze is read. The last run wins: replaying an old batch
-    puts its values back. Returns the report and the months touched.
+    puts its values back. The rows dropped on the way are counted per series in a table of
+    their own. Returns the report and the months touched.
     """
     bronze = read_slice(spark, paths.bronze, BRONZE, "batch_ref", batch_ref)
     bronze = join_series(bronze, series.select("series_name").distinct(), "series_name")
     with staged(clean_batch(bronze), "silver") as rows:
+        dropped = dropped_between(bronze, rows, COPIES)
+        replace_slices(
+            dropped.withColumn("batch_ref", F.lit(batch_ref)), paths.dropped, ["batch_ref"]
+        )
         report = audit(rows, "silver", batch_ref, series, paths, settings)
         return report, upsert_table(rows, paths.silver)

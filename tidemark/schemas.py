@@ -68,6 +68,14 @@ METRICS = _struct(
     batch_ref=T.StringType(),
 )
 
+DROPPED = _struct(
+    series_name=T.StringType(),
+    row_count=T.LongType(),
+    incomplete=T.LongType(),
+    duplicates=T.LongType(),
+    batch_ref=T.StringType(),
+)
+
 # One directory per slice. The batch comes first, so that reading or replacing one batch
 # lists only that batch's directories.
 LANDED_SLICE = ["batch_ref", "series_code"]
