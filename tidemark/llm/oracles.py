@@ -1,3 +1,178 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+ALNUM = r"regexp_extract_all(translate(text, '{A}', '{a}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')".format(
+    A="ABCDEFGHIJKLMNOPQRSTUVWXYZ", a="abcdefghijklmnopqrstuvwxyz"
+)
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SPACED = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+
+OP1 = f"""
+WITH items AS (
+    SELECT item_id, {ALNUM} AS w FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+    SELECT item_id, least(10, len(w)) AS size,
+           array_to_string(list_slice(w, i, i + least(10, len(w)) - 1), ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)
+), docs AS (
+    SELECT doc_id, coalesce({ALNUM}, []) AS w FROM documents
+), sizes AS (
+    SELECT DISTINCT size FROM windows
+), spots AS (
+    SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes
+    WHERE len(w) >= size
+), hits AS (
+    SELECT doc_id, i, s.size, item_id
+    FROM (SELECT *, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase FROM spots) s
+    JOIN windows USING (size, phrase)
+), found AS (
+    SELECT doc_id,
+           count(DISTINCT item_id) AS n_items,
+           array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids
+    FROM hits GROUP BY doc_id
+), covered AS (
+    SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS word FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN found USING (doc_id) LEFT JOIN covered USING (doc_id)
+"""
+
+OP3 = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, coalesce({SPACED.format(text=LOWER)}, []) AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1),
+                                          lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    FROM words
+), tokens AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS token FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id
+         AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM sets
+    UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), least AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
+), linked AS (
+    SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id,
+       coalesce(n_links, 0)::BIGINT AS n_links
+FROM sets JOIN least USING (doc_id) LEFT JOIN linked USING (doc_id)
+"""
+
+OP6 = r"""
+WITH parts AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0
+                         THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), urls AS (
+    SELECT page_id,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM parts
+), judged AS (
+    SELECT *, CASE
+        WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/'
+        WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+        END AS rule
+    FROM urls
+)
+SELECT *, CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/')
+               THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
+
+OP9 = r"""
+WITH turns AS (
+    SELECT *, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result'
+                        ELSE 'message' END AS kind,
+           CASE role WHEN 'user' THEN conv_id || '-' || turn
+                     WHEN 'assistant' THEN conv_id || '-' || (turn - 1) END AS call_id
+    FROM conversations
+), placed AS (
+    SELECT t.*, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS seq,
+           CASE WHEN kind <> 'message' THEN EXISTS (
+               SELECT 1 FROM turns o
+               WHERE o.conv_id = t.conv_id AND o.call_id = t.call_id AND o.kind <> t.kind
+                 AND o.kind <> 'message') END AS linked
+    FROM turns t
+)
+SELECT conv_id, turn, kind, seq::BIGINT AS seq, call_id, linked,
+       CASE WHEN kind = 'call' AND length(text) = 0 THEN 1 ELSE 0 END AS n_errors,
+       CASE kind
+           WHEN 'message' THEN '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}'
+           WHEN 'call' THEN '{"arguments":{"text":' || to_json(text) || ',"turn":' || turn
+               || '},"call_id":' || to_json(call_id) || ',"linked":' || linked
+               || ',"name":"reply","role":"user"}'
+           ELSE '{"call_id":' || to_json(call_id) || ',"content":' || to_json(text)
+               || ',"linked":' || linked || ',"role":"assistant"}'
+       END AS json
+FROM placed
+"""
+
+SHORT_LINE = r"""regexp_matches(line, '(?i)\b(home|menu|log ?in|sign ?(in|up)|register|next|previous|back to top|read more|share|subscribe|contact us|about us|sitemap|search)\b')
+             AND len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) <= 6"""
+
+OP10 = rf"""
+WITH words AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           {SPACED.format(text="coalesce(text, '')")} AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM words)
+), repeated AS (
+    SELECT doc_id, count(DISTINCT word) AS n FROM (
+        SELECT doc_id, unnest(range(i, i + 8)) AS word FROM (
+            SELECT *, count(*) OVER (PARTITION BY doc_id, phrase) AS times FROM windows
+        ) WHERE times > 1
+    ) GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, line, len(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS size,
+           NOT regexp_matches(line, '[.!?;:…。]')
+           OR len(regexp_extract_all(line, '[#*$%&|<>]')) * 100 > length(line) * 10
+           OR regexp_matches(line, '([|<>»•→].*){{2}}')
+           OR ({SHORT_LINE})
+           OR regexp_matches(line, '(?i)all rights reserved|copyright|©|cookie|privacy policy|terms of (use|service)|enable javascript|licen[sc]ed under|unsubscribe|powered by') AS fails
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), of_lines AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines,
+           sum(CASE WHEN fails THEN 0 ELSE size END) AS size_left
+    FROM lines GROUP BY doc_id
+), counted AS (
+    SELECT doc_id, len(w)::BIGINT AS n_words,
+           length(array_to_string(w, ''))::BIGINT AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+           coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+           coalesce(size_left, 0) AS size_left
+    FROM words LEFT JOIN repeated USING (doc_id) LEFT JOIN of_lines USING (doc_id)
+), failed AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * size_left >= 50 * word_chars AS kept
+FROM failed
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": OP1,
+    "op3_ngram_jaccard": OP3,
+    "op6_url_filters": OP6,
+    "op9_chat_format": OP9,
+    "op10_quality_rules": OP10,
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import SPACES, let
+from tidemark.llm.shared import SPACES, let, packed, unpacked
 
 # Fixed values of the base rules.
 WINDOW = 8
@@ -25,6 +25,7 @@ BOILERPLATE = (
     r"enable javascript|licen[sc]ed under|unsubscribe|powered by"
 )
 NAVIGATION_WORDS = 6
+SYMBOLS_PER_CENT = 10
 MIN_LEFT_PER_CENT = 50
 
 
@@ -79,11 +80,12 @@ def _covered(hashes: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """A line with words fails if it has no punctuation of sentences at all, is a list of
-    links or a short line of menu words, or is a licence or site notice."""
+    """A line with words fails if it has no punctuation of sentences at all or is strewn with
+    symbols, is a list of links or a short line of menu words, or is a licence or site notice."""
     short = F.size(F.split(F.btrim(line), f"[{SPACES}]+")) <= NAVIGATION_WORDS
     return (
         ~line.rlike(PUNCTUATION)
+        | (F.length(F.regexp_replace(line, SYMBOLS, "")) * 100 > F.length(line) * SYMBOLS_PER_CENT)
         | line.rlike(SEPARATORS)
         | (short & line.rlike(NAVIGATION))
         | line.rlike(BOILERPLATE)
@@ -101,7 +103,11 @@ def judge_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
     A null text counts as none and stays null. Repeated rows stay. Columns with the names of
     the result are replaced. No row moves: there is no exchange.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    added = [
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", "clean_text",
+    ]
+    text = F.col("_text")
     words = F.filter(F.split(text, f"[{SPACES}]+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{SPACES}]"))
     counts = let(
@@ -119,19 +125,19 @@ def judge_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.array_join(F.filter(ls, lambda line: ~line_fails(line)), "\n").alias("clean_text"),
         ),
     )
-    added = [
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        "kept", "clean_text",
-    ]
-    own = [c for c in docs.columns if c not in added or c == text_col]
     n_words, clean = F.col("_counts.n_words"), F.col("_lines.clean_text")
     failed = (n_words < MIN_WORDS) | (
         F.col("_counts.n_repeat_words") * 100 > n_words * REPEATED_PER_CENT
     )
     left = F.length(F.regexp_replace(clean, f"[{SPACES}]+", ""))
     enough = left * 100 >= F.col("_counts.word_chars") * MIN_LEFT_PER_CENT
-    return docs.withColumns({"_counts": counts, "_lines": line_counts}).select(
-        *own,
+    rows = docs.select(
+        packed(docs, added).alias("_row"),
+        F.col(text_col).isNull().alias("_null"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
+    ).withColumns({"_counts": counts, "_lines": line_counts})
+    return rows.select(
+        *unpacked(rows),
         "_counts.n_words",
         "_counts.word_chars",
         F.length(F.regexp_replace(text, SYMBOLS, "")).cast("long").alias("n_symbols"),
@@ -139,5 +145,5 @@ def judge_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "_counts.n_repeat_words",
         failed.alias("base_failed"),
         (~failed & enough).alias("kept"),
-        F.when(F.col(text_col).isNotNull(), clean).alias("clean_text"),
+        F.when(~F.col("_null"), clean).alias("clean_text"),
     )

@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import digests, round_trip
+from tidemark.llm.chat import CALL, MESSAGE, RESULT, format_chats
+from tidemark.llm.decontaminate import contamination
+from tidemark.llm.jaccard import link_documents
+from tidemark.llm.language import held_out, identify, learn
 from tidemark.llm.quality import judge_quality
+from tidemark.llm.secrets import scan_secrets
 from tidemark.llm.shards import kd_shards
 from tidemark.llm.shared import workspace
+from tidemark.llm.tokens import checksums, read_tokens, starts, write_tokens
 from tidemark.llm.urls import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +31,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The vocabulary file; its place is where the installed package of public tokenizers has it.
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+@query
+def op1_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with workspace(spark) as work:
+        return contamination(docs, table(spark, sf_dir, "benchmark"), work).checkpoint()
+
+
+@query
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = docs.withColumn("held_out", held_out(F.col("doc_id")))
+    model = learn(docs.filter(~F.col("held_out")).select(F.col("doc_id").alias("id"), "lang", "text"))
+    return identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+@query
+def op3_ngram_jaccard(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with workspace(spark) as work:
+        linked = link_documents(docs, work, size=3, percent=90)
+        return linked.drop("_id", "first").checkpoint()
+
+
 SHARDS = 40
 
 
@@ -52,6 +92,12 @@ def op4_kd_shards(spark, sf_dir):
         ).checkpoint()
 
 
+@query
+def op5_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digests(round_trip(docs, vocabulary()))
+
+
 # The rules that the contract states.
 URL_RULES = """
     VALUES ('org', '/', 'allow'),
@@ -68,6 +114,65 @@ def op6_url_filters(spark, sf_dir):
     return judge_urls(pages, spark.sql(f"SELECT * FROM {URL_RULES}")).drop("url")
 
 
+@query
+def op7_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with workspace(spark) as work:
+        return scan_secrets(docs, work).checkpoint()
+
+
+@query
+def op8_token_files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with workspace(spark) as work:
+        path = f"{work.path}/tokens"
+        write_tokens(docs, path, vocabulary())
+        sums = checksums(read_tokens(spark, path)).join(starts(spark, path), ["part", "pack"])
+        return sums.select(
+            "doc_id", (F.col("pack_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
+        ).checkpoint()
+
+
+# The tool that conversations are taken to call: a user's turn is a call whose result is the
+# next turn, if that is the assistant's.
+REPLY = {
+    "type": "object",
+    "required": ["text", "turn"],
+    "properties": {
+        "text": {"type": "string", "minLength": 1},
+        "turn": {"type": "integer", "minimum": 0},
+    },
+}
+
+
+@query
+def op9_chat_format(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    kind = (
+        F.when(F.col("role") == "user", F.lit(CALL))
+        .when(F.col("role") == "assistant", F.lit(RESULT))
+        .otherwise(F.lit(MESSAGE))
+    )
+    called = F.when(F.col("role") == "assistant", F.col("turn") - 1).otherwise(F.col("turn"))
+    arguments = F.to_json(F.struct("text", "turn"), {"ignoreNullFields": "false"})
+    events = turns.select(
+        "*",
+        kind.alias("kind"),
+        F.when(F.col("role").isin("user", "assistant"), F.concat(
+            F.col("conv_id").cast("string"), F.lit("-"), called.cast("string")
+        )).alias("call_id"),
+        F.when(F.col("role") == "user", F.lit("reply")).alias("name"),
+        F.when(F.col("role") == "user", arguments).alias("arguments"),
+        F.lit(None).cast("array<string>").alias("needs"),
+    )
+    with workspace(spark) as work:
+        formatted = format_chats(events, {"reply": REPLY}, work)
+        return formatted.select(
+            "conv_id", "turn", "kind", "seq", "call_id", "linked",
+            F.size("errors").alias("n_errors"), "json",
+        ).checkpoint()
+
+
 @query
 def op10_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,6 +57,27 @@ def workspace(spark: SparkSession) -> Iterator[Work]:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def send(spark: SparkSession, value) -> Broadcast:
+    """Broadcast a value of bounded size, with the classes of this package that it uses."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast):
+    return pickle.loads(sent.value)
+
+
+def packed(rows: DataFrame, leave: list[str]) -> Column:
+    """All columns but some as one, so that their names cannot clash with an operator's own.
+    :func:`unpacked` brings them back."""
+    held = [F.col(f"`{c}`") for c in rows.columns if c not in leave]
+    return F.struct(F.lit(0).cast("byte").alias("_"), *held)
+
+
+def unpacked(rows: DataFrame, column: str = "_row") -> list[Column]:
+    names = rows.schema[column].dataType.names[1:]
+    return [F.col(column).getField(c).alias(c) for c in names]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once per row, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import ascii_lower
+from tidemark.llm.shared import ascii_lower, packed, unpacked
 
 SALTS = 32
 
@@ -70,10 +70,9 @@ def judge_urls(
     columns of ``pages`` with the names of the result are replaced by it.
     """
     added = ["host", "path", "rule", "verdict"]
-    own = [c for c in pages.columns if c not in added]
     host, path = host_and_path(F.col(url_col))
     urls = pages.select(
-        F.struct(*own).alias("_row"), host.alias("host"), path.alias("path")
+        packed(pages, added).alias("_row"), host.alias("host"), path.alias("path")
     ).withColumn("_id", F.monotonically_increasing_id())
 
     labels = F.split("host", r"\.", -1)
@@ -135,7 +134,7 @@ def judge_urls(
     )
     verdict = F.when(F.col("_best.blocks"), F.lit("block")).otherwise(F.lit("allow"))
     return best.select(
-        *[F.col("_row").getField(c).alias(c) for c in own],
+        *unpacked(best),
         "host",
         "path",
         F.col("_best.rule").alias("rule"),
