@@ -36,12 +36,14 @@ def _sorted(rows: list[tuple]) -> list[tuple]:
     return sorted(rows, key=lambda row: [(v is not None, str(v)) for v in row])
 
 
-def difference(spark: SparkSession, con, sf_dir: str, name: str) -> str | None:
+def difference(
+    spark: SparkSession, con, sf_dir: str, name: str, queries=QUERIES, oracles=ORACLES
+) -> str | None:
     """What differs between a query and its SQL; None if nothing does."""
-    frame = QUERIES[name](spark, sf_dir)
+    frame = queries[name](spark, sf_dir)
     columns = sorted(frame.columns)
     mine = _sorted([tuple(row) for row in frame.select(*columns).collect()])
-    relation = con.sql(ORACLES[name])
+    relation = con.sql(oracles[name])
     if sorted(relation.columns) != columns:
         return f"columns {columns} against {sorted(relation.columns)}"
     theirs_types = dict(zip(relation.columns, map(str, relation.types)))
