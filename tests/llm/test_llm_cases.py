@@ -217,7 +217,7 @@ def test_nested_rules(spark):
 def test_secrets(spark, odd):
     made = random.Random(7)
     key = "".join(made.choices(string.ascii_letters + string.digits, k=48))
-    more = f"here {key} stands. 12345678901234567890123 abcabcabcabcabcabcabcabcabcabc"
+    more = f"here {key} stands. 12345678901234567890123 xyzxyzxyzxyzxyzxyzxyzxyzxyzxyz"
     frame = odd.unionByName(odd.limit(1).withColumn("text", F.lit(more)))
     with workspace(spark) as work:
         found = secrets.scan_secrets(frame, work)
