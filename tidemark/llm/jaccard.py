@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -138,14 +138,18 @@ def _levels(profiles: DataFrame) -> np.ndarray:
 
 
 def _short_lists(sent, size: int, percent: int):
-    """Entries (token, node, size) of the inverted lists of each set's rarest shingles: as many
-    as leave no room for a link without one of them. A task writes each set once."""
+    """Entries (token, node, size, most) of the inverted lists of each set's rarest shingles: as
+    many as leave no room for a link without one of them. A task writes each set once.
+
+    ``most`` is the positional bound: a set whose first shingle in common is this one, and which
+    therefore shares at most what follows, can link only if it has no more shingles.
+    """
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, levels, seen = Hasher(), sent.value, set()
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(0)):
-                entries, nodes, sizes = [], [], []
+                entries, nodes, sizes, bounds = [], [], [], []
                 for tokens in token_sets(data, offsets, size, hasher):
                     if not len(tokens):
                         continue
@@ -158,12 +162,19 @@ def _short_lists(sent, size: int, percent: int):
                     keys = level << np.uint64(TOKEN_BITS) | tokens
                     entries.append(np.sort(keys)[:kept])
                     nodes.append(np.frombuffer(name, dtype=">i8", count=1).astype(np.int64))
-                    sizes.append(kept)
+                    sizes.append(len(tokens))
+                    left = len(tokens) - np.arange(kept)
+                    bounds.append((100 + percent) * left // percent - len(tokens))
                 if entries:
-                    tokens = np.concatenate(entries).view(np.int64)
-                    nodes = np.repeat(np.concatenate(nodes), sizes)
+                    counts = [len(e) for e in entries]
+                    columns = [
+                        np.concatenate(entries).view(np.int64),
+                        np.repeat(np.concatenate(nodes), counts),
+                        np.repeat(np.array(sizes, dtype=np.int32), counts),
+                        np.concatenate(bounds).astype(np.int32),
+                    ]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(tokens), pa.array(nodes)], ["token", "node"]
+                        [pa.array(c) for c in columns], ["token", "node", "size", "most"]
                     )
 
     return enter
@@ -238,8 +249,10 @@ class Forest:
         return hung, self.root[hung]
 
 
-def may_link(sizes: np.ndarray, bitmaps: list[bytes], percent: int, forest: Forest) -> None:
-    """Join those whose sizes and bitmaps allow a link."""
+def may_link(
+    sizes: np.ndarray, most: np.ndarray, bitmaps: list[bytes], percent: int, forest: Forest
+) -> None:
+    """Join those whose sizes, positional bounds and bitmaps allow a link."""
     widths = np.array([len(b) for b in bitmaps])
     matrices = {
         w: np.frombuffer(b"".join(b for b in bitmaps if len(b) == w), dtype=np.uint64).reshape(-1, w // 8)
@@ -257,9 +270,7 @@ def may_link(sizes: np.ndarray, bitmaps: list[bytes], percent: int, forest: Fore
             found = [np.array([i])]
             for places, theirs in others:
                 both = sizes[i] + sizes[places]
-                fits = percent * np.maximum(sizes[i], sizes[places]) <= 100 * np.minimum(
-                    sizes[i], sizes[places]
-                )
+                fits = (sizes[places] <= most[i]) & (sizes[i] <= most[places])
                 differ = np.bitwise_count(theirs ^ mine).sum(axis=1, dtype=np.int64)
                 fits &= differ * (100 + percent) <= both * (100 - percent)
                 found.append(places[fits])
@@ -275,10 +286,11 @@ def _met(percent: int):
             nodes, first = np.unique(nodes, return_index=True)
             if len(nodes) < 2:
                 continue
-            sizes = block.column("size").to_numpy()[first]
+            sizes = block.column("size").to_numpy()[first].astype(np.int64)
+            most = block.column("most").to_numpy()[first]
             bits = block.column("bits").to_pylist()
             forest = Forest(len(nodes))
-            may_link(sizes, [bits[i] for i in first], percent, forest)
+            may_link(sizes, most, [bits[i] for i in first], percent, forest)
             hung, roots = forest.edges()
             if len(hung):
                 yield pa.RecordBatch.from_arrays(
@@ -435,17 +447,28 @@ def link_documents(
         "classes",
     )
 
-    # Short lists with two classes or more.
+    # Of the short lists, the entries with another class of a fitting size next to them.
     text = rows.select("_text")
-    entries = text.mapInArrow(_short_lists(levels, size, percent), "token bigint, node bigint")
-    of_token = Window.partitionBy("token")
-    shared = entries.withColumns(
-        {"_lo": F.min("node").over(of_token), "_hi": F.max("node").over(of_token)}
-    ).filter(F.col("_lo") < F.col("_hi"))
-    shared = work.write(shared.select("token", "node").distinct(), "shared")
+    entries = text.mapInArrow(
+        _short_lists(levels, size, percent), "token bigint, node bigint, size int, most int"
+    )
+    by_size = Window.partitionBy("token").orderBy("size", "node")
+
+    def next_to(step: int) -> Column:
+        other = F.lag(F.struct("size", "node"), step).over(by_size)
+        fits = other["size"] <= F.col("most")
+        if step > 0:
+            fits = other["size"] * 100 >= F.col("size") * percent
+        return fits & (other["node"] != F.col("node"))
+
+    near = F.coalesce(next_to(1), F.lit(False)) | F.coalesce(next_to(-1), F.lit(False))
+    shared = entries.withColumn("_near", near).filter("_near").drop("_near").distinct()
+    shared = work.write(shared, "shared")
     lengths = shared.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / LIST_BLOCK).alias("n"))
-    members = shared.join(classes.select("node", "size", "bits"), "node")
-    blocks = _blocks(members, "token", lengths).select("token", "i", "j", "node", "size", "bits")
+    members = shared.join(classes.select("node", "bits"), "node")
+    blocks = _blocks(members, "token", lengths).select(
+        "token", "i", "j", "node", "size", "most", "bits"
+    )
     blocks = blocks.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     near = components(blocks.mapInArrow(_met(percent), "a bigint, b bigint"), work, "near")
     near = work.write(near, "near")
