@@ -10,6 +10,12 @@ from tidemark.llm.queries import table, vocabulary
 from tidemark.llm.shared import workspace
 
 
+@pytest.fixture(scope="module")
+def small():
+    """The smallest scale has too few documents for a secret to reach the fourth stage."""
+    return "/root/testdata/sf0.01"
+
+
 @pytest.fixture(scope="module")
 def stages(spark, small):
     """Rows before the first stage and after each."""

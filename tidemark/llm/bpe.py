@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import received, send
+from tidemark.llm.shared import packed, piped, received, send, unpacked
 from tidemark.llm.words import CHUNK, Hasher, chunks, list_column
 
 # Words longer than this are hashed by another function than the running sum.
@@ -144,6 +144,17 @@ def _cut_endings(codes, kind, fresh, start) -> None:
 # -- merging ---------------------------------------------------------------------------
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places ``start`` to ``start + size`` - 1 of all slices, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The slices ``values[start:start + size]``, one after the other."""
+    return values[spread(starts, sizes)]
+
+
 def merge_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, v: Vocabulary):
     """Ids of words, as one flat array and the number of ids of each word.
 
@@ -152,56 +163,60 @@ def merge_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, v: Vocab
     without a pair leave the array.
     """
     sizes = ends - starts
-    word = np.repeat(np.arange(len(sizes)), sizes)
-    place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    symbols = v.byte_ids[data[np.repeat(starts, sizes) + place]]
-    done_word, done_place, done_symbols = [], [], []
+    word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    symbols = v.byte_ids[gathered(data, starts, sizes)]
     none = len(v.pair_keys)
-    while len(symbols):
-        keys = symbols[:-1] << 32 | symbols[1:]
+
+    def look_up(at: np.ndarray) -> None:
+        """Rank, and place in the table, of the pairs that start at some symbols."""
+        at = at[at < len(symbols) - 1]
+        keys = symbols[at] << 32 | symbols[at + 1]
         found = np.searchsorted(v.pair_keys, keys)
         found[found == none] = 0
-        hit = (v.pair_keys[found] == keys) & (word[:-1] == word[1:])
-        rank = np.where(hit, v.pair_ranks[found], none)
+        hit = (v.pair_keys[found] == keys) & (word[at] == word[at + 1])
+        rank[at] = np.where(hit, v.pair_ranks[found], none)
+        pair[at] = found
+
+    rank = np.full(len(symbols), none, dtype=np.int32)
+    pair = np.zeros(len(symbols), dtype=np.int32)
+    look_up(np.arange(len(symbols)))
+    out_ids = np.empty(len(symbols), dtype=np.int32)
+    out_sizes = np.zeros(len(sizes), dtype=np.int64)
+    # Words that are done leave their ids at the place of their first byte.
+    home = np.cumsum(sizes) - sizes
+    while len(symbols):
         first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-        lowest = np.minimum.reduceat(np.r_[rank, none], first)
-        per_symbol = np.diff(np.r_[first, len(symbols)])
-        wanted = np.repeat(lowest, per_symbol)
-        merge = (rank == wanted[:-1]) & hit
+        count = np.diff(np.r_[first, len(symbols)])
+        lowest = np.minimum.reduceat(rank, first)
+        done = lowest == none
+        if done.any():
+            over = np.repeat(done, count)
+            finished = word[first[done]]
+            out_sizes[finished] = count[done]
+            out_ids[spread(home[finished], count[done])] = symbols[over]
+            symbols, word, rank, pair = (x[~over] for x in (symbols, word, rank, pair))
+            count, lowest = count[~done], lowest[~done]
+            if not len(symbols):
+                break
+        at = np.flatnonzero(rank == np.repeat(lowest, count))
         # Of overlapping pairs (aaa), every second one merges, from the left.
-        at = np.flatnonzero(merge)
-        if len(at):
-            run = np.r_[True, np.diff(at) != 1]
-            since = np.arange(len(at)) - np.flatnonzero(run)[np.cumsum(run) - 1]
-            at = at[since % 2 == 0]
-        symbols[at] = v.pair_merged[found[at]]
+        run = np.r_[True, np.diff(at) != 1]
+        since = np.arange(len(at)) - np.flatnonzero(run)[np.cumsum(run) - 1]
+        at = at[since % 2 == 0]
+        symbols[at] = v.pair_merged[pair[at]]
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
-        over = wanted == none
-        if over.any():
-            done_word.append(word[over])
-            done_place.append(place[over])
-            done_symbols.append(symbols[over])
-            keep &= ~over
-        symbols, word, place = symbols[keep], word[keep], place[keep]
-    if not done_word:
-        return np.empty(0, dtype=np.int32), np.zeros(len(sizes), dtype=np.int64)
-    word = np.concatenate(done_word)
-    order = np.lexsort((np.concatenate(done_place), word))
-    ids = np.concatenate(done_symbols)[order].astype(np.int32)
-    return ids, np.bincount(word, minlength=len(sizes))
+        symbols, word, rank, pair = (x[keep] for x in (symbols, word, rank, pair))
+        # Only pairs with a merged symbol are new.
+        at -= np.arange(len(at))
+        rank[at] = none
+        look_up(np.concatenate([at, np.maximum(at - 1, 0)]))
+    return out_ids[spread(home, out_sizes)], out_sizes
 
 
 Encoder = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The slices ``values[start:start + size]``, one after the other."""
-    ends = np.cumsum(sizes)
-    places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-    return values[places]
-
-
 class WordIds:
     """Ids of the words seen so far, by hash; new words go through ``encode`` once."""
 
@@ -231,13 +246,11 @@ class WordIds:
         if not known.all():
             new = first[~known]
             ids, sizes = self.encode(data, starts[new], ends[new])
-            hashes = np.concatenate([self.hashes, words[~known]])
-            order = np.argsort(hashes, kind="stable")
-            begin = len(self.ids) + np.cumsum(sizes) - sizes
-            self.starts = np.concatenate([self.starts, begin])[order]
-            self.sizes = np.concatenate([self.sizes, sizes])[order]
+            begin, places = len(self.ids) + np.cumsum(sizes) - sizes, at[~known]
+            self.hashes = np.insert(self.hashes, places, words[~known])
+            self.starts = np.insert(self.starts, places, begin)
+            self.sizes = np.insert(self.sizes, places, sizes)
             self.ids = np.concatenate([self.ids, ids])
-            self.hashes = hashes[order]
             at = np.searchsorted(self.hashes, words)
         at = at[inverse]
         return gathered(self.ids, self.starts[at], self.sizes[at]), self.sizes[at]
@@ -382,36 +395,48 @@ def _digested(ids_at: int, text_at: int):
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
+        def sha(text: str) -> str:
+            return hashlib.sha256(text.encode()).hexdigest()
+
         for batch in batches:
             ids = batch.column(ids_at)
-            out = []
-            for row in range(len(ids)):
-                values = ids[row].values
-                text = ",".join(map(str, values.to_pylist())) if values is not None else ""
-                out.append(hashlib.sha256(text.encode()).hexdigest())
-            texts = batch.column(text_at).to_pylist()
-            decoded = [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
+            counts = pc.fill_null(pc.list_value_length(ids), 0)
+            values = list(map(str, ids.flatten().to_pylist()))
+            ends = np.cumsum(counts.to_numpy()).tolist()
+            joined = [sha(",".join(values[a:b])) for a, b in zip([0, *ends], ends)]
+            decoded = [sha(t.as_py() or "") for t in batch.column(text_at)]
             kept = [c for i, c in enumerate(batch.columns) if i not in (ids_at, text_at)]
             names = [n for i, n in enumerate(batch.schema.names) if i not in (ids_at, text_at)]
-            counts = pc.fill_null(pc.list_value_length(ids), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*kept, counts, pa.array(out), pa.array(decoded)],
+                [*kept, counts.cast(pa.int64()), pa.array(joined), pa.array(decoded)],
                 [*names, "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
     return digest
 
 
-def digests(rows: DataFrame, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """Replace ids and text by n_tokens, ids_sha256 (of the decimal ids joined by commas) and
-    decoded_sha256."""
-    function = _digested(rows.columns.index(ids_col), rows.columns.index(text_col))
-    kept = rows.drop(ids_col, text_col)
-    added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return rows.mapInArrow(function, _schema(kept, added))
+def round_trip(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """Encode each whole text, decode its ids, and give both as digests beside the other
+    columns: n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256.
+
+    Encoding and decoding are those of :func:`encode` and :func:`decode`, in one Python worker
+    that holds a chunk of texts at a time. A null text is empty. Columns named like the result
+    are replaced.
+    """
+    added = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    sent = _sent(docs.sparkSession, path)
+    rows = docs.select(packed(docs, [*added, text_col]).alias("_row"), F.col(text_col).alias("_text"))
 
+    def without_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2)], [batch.schema.names[0], "ids"]
+            )
 
-def round_trip(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """The other columns of each row with its ids and the text that they decode to."""
-    encoded = encode(docs, path, text_col)
-    return decode(encoded.select(*[F.col(f"`{c}`") for c in encoded.columns if c != text_col]), path)
+    schema = f"_row {rows.schema['_row'].dataType.simpleString()}"
+    made = piped(
+        rows,
+        [_encoding(sent, 1), without_text, _decoding(sent, 1), _digested(1, 2)],
+        f"{schema}, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    )
+    return made.select(*unpacked(made), *added)

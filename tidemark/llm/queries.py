@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import digests, round_trip
+from tidemark.llm.bpe import round_trip
 from tidemark.llm.chat import CALL, MESSAGE, RESULT, format_chats
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.jaccard import link_documents
@@ -95,7 +95,7 @@ def op4_kd_shards(spark, sf_dir):
 @query
 def op5_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digests(round_trip(docs, vocabulary()))
+    return round_trip(docs, vocabulary())
 
 
 # The rules that the contract states.

@@ -66,6 +66,18 @@ def received(sent: Broadcast):
     return pickle.loads(sent.value)
 
 
+def piped(rows: DataFrame, steps: list[Callable], schema: str) -> DataFrame:
+    """Several functions over Arrow batches as one, so that a task has one Python worker and
+    hands single batches from step to step."""
+
+    def run(batches):
+        for step in steps:
+            batches = step(batches)
+        return batches
+
+    return rows.mapInArrow(run, schema)
+
+
 def packed(rows: DataFrame, leave: list[str]) -> Column:
     """All columns but some as one, so that their names cannot clash with an operator's own.
     :func:`unpacked` brings them back."""
