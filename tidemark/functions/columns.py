@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import Column
@@ -13,8 +14,10 @@ DECIMALS = 4
 
 
 def parse_date(text: Column, fmt: str = DATE_FORMAT) -> Column:
-    """Date of a text, NULL where the text does not follow ``fmt`` exactly."""
-    return F.try_to_date(text, fmt)
+    """Date of a text, NULL where the text does not follow ``fmt`` exactly. A format of
+    digits has a fixed width: signs and longer years are not dates."""
+    digits = "".join(r"\d" if c.isalpha() else re.escape(c) for c in fmt)
+    return F.when(text.rlike(rf"\A{digits}\z"), F.try_to_date(text, fmt))
 
 
 def parse_number(text: Column) -> Column:

@@ -47,8 +47,10 @@ def dedup(
     lowest), so that every run keeps the same row.
 
     ``latest`` defaults to the lineage columns that exist. The maximum is taken before the
-    exchange and again after it: a hot key leaves every task as a single row. ``copies``
-    names a column that counts the rows each kept row stands for.
+    exchange and again after it: a hot key leaves every task as a single row. With one column
+    besides the key, both sides are hash aggregates; a struct of several has no mutable buffer,
+    and Spark sorts for it. ``copies`` names a column that counts the rows each kept row stands
+    for.
     """
     if latest is None:
         latest = [c for c in ("batch_ref", "ingested_at") if c in df.columns]
@@ -56,6 +58,10 @@ def dedup(
     counted = [F.count(F.lit(1)).alias(copies)] if copies else []
     if not [*latest, *rest]:
         return df.groupBy(*key).agg(*counted) if copies else df.dropDuplicates(list(key))
+    if len([*latest, *rest]) == 1:
+        only = F.max(*latest, *rest).alias(*latest, *rest)
+        best = df.groupBy(*key).agg(only, *counted)
+        return best.select(*df.columns, *([copies] if copies else []))
     best = df.groupBy(*key).agg(F.max(F.struct(*latest, *rest)).alias("_row"), *counted)
     kept = [c if c in key else F.col("_row")[c].alias(c) for c in df.columns]
     return best.select(*kept, *([copies] if copies else []))

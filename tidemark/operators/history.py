@@ -9,12 +9,24 @@ from tidemark.functions.columns import check_batch_ref
 from tidemark.operators.clean import dedup, drop_incomplete, type_series
 
 
-def as_of(bronze: DataFrame, batch_ref: str) -> DataFrame:
+def as_of(
+    bronze: DataFrame, batch_ref: str, quality: DataFrame | None = None, threshold: int = 0
+) -> DataFrame:
     """Silver as it stood after ``batch_ref``, had the batches run in order: of all
     complete rows of batches up to then, the latest batch's row per key.
 
-    Unlike upserts, which follow the order of the runs, this follows the batch order: a
+    Bronze also holds batches that silver's gate refused. With the saved reports as ``quality``
+    only batches count of which silver has a report and no series failed more than
+    ``threshold`` checks. Unlike upserts, which follow the order of the runs, this follows the batch order: a
     replayed old batch does not come back.
     """
     until = bronze.filter(F.col("batch_ref") <= check_batch_ref(batch_ref))
+    if quality is not None:
+        per_series = (
+            quality.filter(F.col("layer") == "silver")
+            .groupBy("batch_ref", "series_name")
+            .agg(F.count_if(~F.col("passed")).alias("failures"))
+        )
+        worst = per_series.groupBy("batch_ref").agg(F.max("failures").alias("failures"))
+        until = until.join(worst.filter(F.col("failures") <= threshold), "batch_ref", "left_semi")
     return dedup(drop_incomplete(type_series(until)))

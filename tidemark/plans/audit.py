@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.quality import checks_for, enforce, quality_report
 from tidemark.plans.settings import Paths, Settings
 from tidemark.schemas import QUALITY, QUALITY_SLICE
-from tidemark.sources.tables import read_slice, replace_slices
+from tidemark.sources.tables import read_slice, replace_series
 
 
 def audit(
@@ -22,7 +22,8 @@ def audit(
     value_col: str = "value",
     extra: DataFrame | None = None,
 ) -> DataFrame:
-    """Report on ``candidate``, saved for the batch and layer; raises if it does not pass.
+    """Report on ``candidate``'s ``series``, saved for the batch and layer; raises if it does
+    not pass. Reports on other series of the batch, from other loads, are kept.
 
     The saved report feeds the gate and later the run's counts, so that the candidate is
     aggregated once. It is kept when the gate stops the run, too.
@@ -40,8 +41,12 @@ def audit(
     if extra is not None:
         report = report.unionByName(extra)
     stamped = report.withColumns({"batch_ref": F.lit(batch_ref), "layer": F.lit(layer)})
-    replace_slices(stamped, paths.quality, QUALITY_SLICE)
+    slice_folder = [f"batch_ref={batch_ref}/layer={layer}"]
+    replace_series(
+        stamped, paths.quality, QUALITY, QUALITY_SLICE, batch_ref, series, owned=slice_folder
+    )
     saved = read_slice(spark, paths.quality, QUALITY, "batch_ref", batch_ref)
-    saved = saved.filter(F.col("layer") == layer)
+    names = series.select("series_name").distinct()
+    saved = saved.filter(F.col("layer") == layer).join(names, "series_name", "left_semi")
     enforce(saved, settings.threshold)
     return saved

@@ -6,14 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.lineage import stamp
-from tidemark.operators.series import join_series
+from tidemark.operators.series import check_series, join_series, only_series, series_bucket
 from tidemark.plans.audit import audit
 from tidemark.plans.settings import Paths, Settings
-from tidemark.schemas import BRONZE, BRONZE_SLICE, DATE_FORMAT
-from tidemark.sources.landing import CORRUPT, in_window, read_landing, split_corrupt
-from tidemark.sources.tables import replace_slices, staged
+from tidemark.schemas import ACCOUNTING, BRONZE, BRONZE_SLICE, DATE_FORMAT, QUARANTINE
+from tidemark.sources.landing import (
+    CORRUPT,
+    inside_window,
+    landed_counts,
+    read_landing,
+    split_corrupt,
+)
+from tidemark.sources.tables import read_slice, replace_owned, replace_series, staged
 
 CORRUPT_CHECK = "corrupt_documents"
+IN_WINDOW = "_in_window"
 
 
 def _corrupt_report(broken: DataFrame) -> DataFrame:
@@ -28,6 +35,54 @@ def _corrupt_report(broken: DataFrame) -> DataFrame:
     )
 
 
+def bronze_folders(series: DataFrame, batch_ref: str) -> list[str]:
+    """The folders of a batch that hold the series; there is a fixed number of them."""
+    buckets = series.select(series_bucket(F.col("series_name")).alias("n")).distinct().collect()
+    return [f"batch_ref={batch_ref}/series_bucket={row.n}" for row in buckets]
+
+
+def _account(
+    rows: DataFrame, batch_ref: str, paths: Paths, series: DataFrame, settings: Settings
+) -> None:
+    """Save what became of every landed row of the batch, per code.
+
+    Rows of codes that this load does not handle are counted as uncatalogued, until a load
+    that does has accounted for them.
+    """
+    spark = rows.sparkSession
+    count = F.count(F.lit(1))
+    broken = F.col(CORRUPT).isNotNull()
+    mine = rows.groupBy("series_code").agg(
+        count.alias("landed"),
+        F.count_if(~broken & F.col(IN_WINDOW)).alias("bronze"),
+        F.count_if(~broken & ~F.col(IN_WINDOW)).alias("out_of_window"),
+        F.lit(0).cast("long").alias("uncatalogued"),
+        F.count_if(broken).alias("broken"),
+    )
+    codes = series.select("series_code").distinct()
+    known = read_slice(spark, paths.accounting, ACCOUNTING, "batch_ref", batch_ref)
+    known = known.filter("uncatalogued = 0").join(codes, "series_code", "left_anti")
+    landed = landed_counts(spark, paths.landing, batch_ref, settings.layout)
+    others = (
+        landed.join(codes, "series_code", "left_anti")
+        .join(known.select("series_code"), "series_code", "left_anti")
+        .select(
+            "series_code",
+            "landed",
+            *[F.lit(0).cast("long").alias(c) for c in ("bronze", "out_of_window")],
+            F.col("landed").alias("uncatalogued"),
+            F.lit(0).cast("long").alias("broken"),
+        )
+    )
+    counts = mine.unionByName(others).withColumn("batch_ref", F.lit(batch_ref))
+    replace_owned(
+        counts.unionByName(known).select(*ACCOUNTING.fieldNames()),
+        paths.accounting,
+        ["batch_ref"],
+        [f"batch_ref={batch_ref}"],
+    )
+
+
 def load_bronze(
     spark: SparkSession,
     batch_ref: str,
@@ -35,29 +90,39 @@ def load_bronze(
     series: DataFrame,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Land one batch of all ``series``: name, stamp, check, replace their slices.
+    """Land one batch of ``series``: name, stamp, check, replace all that bronze holds of them
+    for the batch, also where nothing landed this time. Other series are neither read nor
+    changed. Returns the report.
 
     The payloads are parsed once, into a staged copy that all later steps read. No step
     shuffles the observations except the duplicate check, which moves keys and counts.
-    All series are checked before any is published. Returns the report.
+    All series are checked before any is published. What became of every landed row is
+    counted per code, those outside the window and of unknown codes included.
     """
+    check_series(series)
     landed = read_landing(
         spark, paths.landing, batch_ref, layout=settings.layout, on_error=settings.on_error
     )
+    landed = only_series(landed, series, "series_code")
+    if settings.on_error != "quarantine":
+        landed = landed.withColumn(CORRUPT, F.lit(None).cast("string"))
+    inside = F.lit(True)
     if settings.window_days is not None:
-        landed = in_window(landed, batch_ref, settings.window_days, text_format=DATE_FORMAT)
-    named = join_series(landed, series.select("series_code", "series_name"))
+        inside = inside_window(batch_ref, settings.window_days, text_format=DATE_FORMAT)
+    named = join_series(landed.withColumn(IN_WINDOW, inside), series.select("series_code", "series_name"))
     candidate = stamp(named, batch_ref, settings.source_system)
-    with staged(candidate, "bronze") as rows:
+    candidate = candidate.withColumn("series_bucket", series_bucket(F.col("series_name")))
+    with staged(candidate, "bronze") as staged_rows:
+        _account(staged_rows, batch_ref, paths, series, settings)
+        rows, broken = split_corrupt(staged_rows)
+        rows = rows.filter(IN_WINDOW).drop(IN_WINDOW)
         extra = None
         if settings.on_error == "quarantine":
-            rows, broken = split_corrupt(rows)
-            replace_slices(
-                broken.select("batch_ref", "series_name", "series_code", CORRUPT, "ingested_at"),
-                paths.quarantine,
-                BRONZE_SLICE,
-            )
+            replace_series(broken, paths.quarantine, QUARANTINE, ["batch_ref"], batch_ref, series)
             extra = _corrupt_report(broken)
         report = audit(rows, "bronze", batch_ref, series, paths, settings, extra=extra)
-        replace_slices(rows.select(*BRONZE.fieldNames()), paths.bronze, BRONZE_SLICE)
+        replace_series(
+            rows, paths.bronze, BRONZE, BRONZE_SLICE, batch_ref, series,
+            owned=bronze_folders(series, batch_ref),
+        )
     return report

@@ -10,27 +10,50 @@ from pyspark.sql import functions as F
 from tidemark.operators.stats import MONTH_ORDER, monthly_stats
 from tidemark.plans.audit import audit
 from tidemark.plans.settings import Paths, Settings
-from tidemark.schemas import GOLD, SILVER
+from tidemark.plans.silver import finish_pending
+from tidemark.schemas import GOLD, SILVER, UNPUBLISHED
 from tidemark.sources.tables import (
+    drop_folder,
+    path_exists,
     read_slices,
     read_table,
+    replace_slices,
     replace_table,
     staged,
     table_exists,
 )
 
+MONTH = "month_ref"
+
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """Gold in its documented order, which files alone do not guarantee."""
-    return read_table(spark, path, GOLD).orderBy(*MONTH_ORDER)
+    return read_table(spark, path, GOLD).select(*GOLD.fieldNames()).orderBy(*MONTH_ORDER)
+
+
+def with_month(stats: DataFrame) -> DataFrame:
+    """Statistics with their month, by which gold is partitioned."""
+    return stats.withColumn(MONTH, F.format_string("%04d-%02d", "obs_year", "obs_month"))
+
+
+def gold_with(stats: DataFrame, gold: DataFrame, months: Sequence[str]) -> DataFrame:
+    """``gold`` with the rows of ``months`` replaced by ``stats``."""
+    kept = with_month(gold).filter(~F.col(MONTH).isin(list(months)))
+    return kept.select(*GOLD.fieldNames()).unionByName(stats.select(*GOLD.fieldNames()))
 
 
 def gold_after(silver: DataFrame, gold: DataFrame, months: Sequence[str]) -> DataFrame:
     """``gold`` with the statistics of ``months`` replaced by those of ``silver``, which holds
     these months in full."""
-    month = F.format_string("%04d-%02d", "obs_year", "obs_month")
-    kept = gold.filter(~month.isin(list(months)))
-    return kept.unionByName(monthly_stats(silver, ordered=False))
+    return gold_with(monthly_stats(silver, ordered=False), gold, months)
+
+
+def unpublished_months(spark: SparkSession, paths: Paths) -> list[str]:
+    """Months that silver loads have changed since gold was last published."""
+    if not path_exists(spark, paths.unpublished):
+        return []
+    rows = read_table(spark, paths.unpublished, UNPUBLISHED).distinct().collect()
+    return sorted(row.month_ref for row in rows)
 
 
 def load_gold(
@@ -39,24 +62,35 @@ def load_gold(
     paths: Paths,
     series: DataFrame,
     settings: Settings = Settings(),
-    months: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Recompute the monthly statistics, check them, replace gold. Returns the report.
+    """Recompute the monthly statistics, check those of ``series``, publish. Returns the report.
 
-    By default the whole of silver is read (three columns of it). With ``gold="touched"``
-    and the months a silver load returned, only those months are. That gives the same gold
-    as long as every earlier silver load was followed by a gold load: after a run that
-    stopped in between, run its batch again or recompute in full.
+    By default the whole of silver is read (three columns of it) and gold replaced. With
+    ``gold="touched"`` only months are read and replaced that silver loads have changed since
+    gold was last published, by this run or an earlier one that stopped. Silver notes them
+    before it changes, and they are forgotten after gold is published, so both modes give the
+    same gold. Where gold is not there in full, it is recomputed in full.
     """
     if settings.gold not in ("full", "touched"):
         raise ValueError(f"unknown gold mode {settings.gold!r}")
-    if settings.gold == "touched" and months is not None and table_exists(spark, paths.gold):
-        silver = read_slices(spark, paths.silver, SILVER, "month_ref", months)
-        stats = gold_after(silver, read_table(spark, paths.gold, GOLD), months)
+    finish_pending(spark, paths.silver, SILVER)
+    months = None
+    if settings.gold == "touched" and table_exists(spark, paths.gold):
+        months = unpublished_months(spark, paths)
+        silver = read_slices(spark, paths.silver, SILVER, MONTH, months)
     else:
-        stats = monthly_stats(read_table(spark, paths.silver, SILVER), ordered=False)
+        silver = read_table(spark, paths.silver, SILVER)
     value_col = "min_value" if settings.policy == "layered" else "value"
-    with staged(stats, "gold") as rows:
-        report = audit(rows, "gold", batch_ref, series, paths, settings, value_col=value_col)
-        replace_table(rows.orderBy(*MONTH_ORDER), paths.gold)
+    with staged(monthly_stats(silver, ordered=False), "gold") as rows:
+        whole = rows
+        if months is not None:
+            whole = gold_with(rows, read_gold(spark, paths.gold), months)
+        mine = whole.join(series.select("series_name").distinct(), "series_name", "left_semi")
+        report = audit(mine, "gold", batch_ref, series, paths, settings, value_col=value_col)
+        ordered = with_month(rows).orderBy(*MONTH_ORDER)
+        if months is None:
+            replace_table(ordered, paths.gold, [MONTH])
+        else:
+            replace_slices(ordered, paths.gold, [MONTH])
+        drop_folder(spark, paths.unpublished)
     return report

@@ -33,15 +33,16 @@ def run_batch(
     """Bronze, silver and gold for one batch, each after the one before; a layer that does
     not pass its checks stops the run with its table untouched.
 
-    The number of Spark actions does not depend on the number of series. Returns the run's
-    counts, which are also kept as a table.
+    The number of Spark actions does not depend on the number of series. Returns the counts of
+    the batch, which are also kept as a table; those of series that are not in ``series`` stay
+    as their own run left them.
     """
     check_batch_ref(batch_ref)
     if series is None:
         series = series_dimension(spark)
     load_bronze(spark, batch_ref, paths, series, settings)
-    _, months = load_silver(spark, batch_ref, paths, series, settings)
-    load_gold(spark, batch_ref, paths, series, settings, months)
+    load_silver(spark, batch_ref, paths, series, settings)
+    load_gold(spark, batch_ref, paths, series, settings)
     quality = read_slice(spark, paths.quality, QUALITY, "batch_ref", batch_ref)
     replace_slices(layer_counts(quality), paths.metrics, ["batch_ref"])
     return read_slice(spark, paths.metrics, METRICS, "batch_ref", batch_ref)

@@ -38,6 +38,14 @@ class Paths:
     def dropped(self) -> str:
         return f"{self.base}/dropped"
 
+    @property
+    def accounting(self) -> str:
+        return f"{self.base}/accounting"
+
+    @property
+    def unpublished(self) -> str:
+        return f"{self.base}/unpublished"
+
     @property
     def metrics(self) -> str:
         return f"{self.base}/metrics"
@@ -49,7 +57,7 @@ class Settings:
     the number of missing rows a null check lets through. ``window_days=None`` takes the
     landed batch whole. ``gold`` is "full" or "touched" (see ``load_gold``)."""
 
-    layout: str = "array"
+    layout: str = "lines"
     on_error: str = "fail"
     window_days: int | None = 7
     source_system: str = SOURCE_SYSTEM

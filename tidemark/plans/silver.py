@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +17,11 @@ from tidemark.operators.clean import (
     type_series,
 )
 from tidemark.operators.lineage import drop_lineage
-from tidemark.operators.series import join_series
+from tidemark.operators.series import check_series, only_series, series_bucket
 from tidemark.operators.upsert import upsert
 from tidemark.plans.audit import audit
 from tidemark.plans.settings import Paths, Settings
-from tidemark.schemas import BRONZE, KEY, SILVER
+from tidemark.schemas import BRONZE, DROPPED, KEY, SILVER, UNPUBLISHED
 from tidemark.sources.tables import (
     create_table,
     drop_folder,
@@ -29,6 +29,7 @@ from tidemark.sources.tables import (
     read_slice,
     read_slices,
     read_table,
+    replace_series,
     replace_slices,
     shared_folder,
     staged,
@@ -43,19 +44,30 @@ def clean_batch(bronze: DataFrame) -> DataFrame:
     """Silver rows of one batch's raw ones: typed, complete, one per key, with their month
     and the number of copies of the key.
 
-    Lineage goes first: within a batch it decides nothing, and the dedup moves fewer bytes.
+    Lineage goes first: within a batch it decides nothing, and the dedup moves fewer bytes. A
+    code has one name, so the name can be part of the key: what is left is one value, whose
+    maximum is hashed and not sorted for.
     """
-    clean = dedup(drop_incomplete(type_series(drop_lineage(bronze))), copies=COPIES)
+    raw = drop_lineage(bronze).drop("series_bucket")
+    clean = dedup(
+        drop_incomplete(type_series(raw)), [*KEY, "series_name"], latest=[], copies=COPIES
+    )
     return clean.withColumn("month_ref", month_ref(F.col("obs_date")))
 
 
-def touched_partitions(source: DataFrame, column: str = "month_ref") -> list[str]:
-    """Partition values that occur in ``source``.
+def touched_partitions(
+    source: DataFrame, column: str = "month_ref", key: Sequence[str] = KEY
+) -> list[str]:
+    """Partition values that occur in ``source``; an error if it holds a key twice.
 
     They come to the driver because the target's directories are picked there. A calendar
-    bounds them: twelve values for each year of data.
+    bounds them: twelve values for each of the years 0 to 9999 that dates can have.
     """
-    return sorted(row[0] for row in source.select(column).distinct().collect())
+    per_key = source.groupBy(column, *[c for c in key if c != column]).count()
+    rows = per_key.groupBy(column).agg(F.max("count").alias("most")).collect()
+    if any(row.most > 1 for row in rows):
+        raise ValueError(f"a key ({', '.join(key)}) occurs twice in the source of an upsert")
+    return sorted(row[0] for row in rows)
 
 
 def _pending(spark: SparkSession, path: str) -> str:
@@ -93,12 +105,14 @@ def upsert_table(
     *,
     key: Sequence[str] = KEY,
     partition_col: str = "month_ref",
+    before: Callable[[list[str]], None] | None = None,
 ) -> list[str]:
     """Upsert ``source`` into the table at ``path``, which the first call creates.
 
     ``source`` is read several times: hand in a written table. Only partitions that occur
     in it are listed, read and replaced; hence ``partition_col`` must be a function of the
-    key. Returns those partitions.
+    key. Returns those partitions, which ``before`` is told before the table changes. Raises
+    if ``source`` holds a key twice.
 
     Rows are rebalanced by partition before they are written: without that, every task
     would add a file to every partition. AQE splits a partition too large for one task.
@@ -106,9 +120,12 @@ def upsert_table(
     spark = source.sparkSession
     finish_pending(spark, path, schema, partition_col)
     source = source.select(*schema.fieldNames())
-    touched = touched_partitions(source, partition_col)
+    touched = touched_partitions(source, partition_col, key)
+    if before:
+        before(touched)
     if not table_exists(spark, path):
         drop_folder(spark, _pending(spark, path))
+        drop_folder(spark, path)
         create_table(source.hint("rebalance", partition_col), path, [partition_col])
         return touched
     target = read_slices(spark, path, schema, partition_col, touched)
@@ -127,16 +144,26 @@ def load_silver(
 ) -> tuple[DataFrame, list[str]]:
     """Clean one batch of all ``series`` (or of those in the frame), check it, upsert it.
 
-    Only the batch's own slice of bronze is read. The last run wins: replaying an old batch
-    puts its values back. The rows dropped on the way are counted per series in a table of
-    their own. Returns the report and the months touched.
+    Only the batch's own folders of these series are read. The last run wins: replaying an old
+    batch puts its values back. The rows dropped on the way are counted per series in a table of
+    their own. The months touched are noted for gold before silver changes. Returns the report
+    and those months.
     """
+    check_series(series)
+    names = series.select("series_name")
     bronze = read_slice(spark, paths.bronze, BRONZE, "batch_ref", batch_ref)
-    bronze = join_series(bronze, series.select("series_name").distinct(), "series_name")
+    buckets = names.withColumn("series_bucket", series_bucket(F.col("series_name")))
+    bronze = only_series(bronze, buckets, "series_bucket").join(names, "series_name", "left_semi")
+
+    def note(months: list[str]) -> None:
+        rows = spark.createDataFrame([(m,) for m in months], UNPUBLISHED)
+        rows.coalesce(1).write.mode("append").parquet(paths.unpublished)
+
     with staged(clean_batch(bronze), "silver") as rows:
         dropped = dropped_between(bronze, rows, COPIES)
-        replace_slices(
-            dropped.withColumn("batch_ref", F.lit(batch_ref)), paths.dropped, ["batch_ref"]
-        )
+        replace_series(
+            dropped.withColumn("batch_ref", F.lit(batch_ref)), paths.dropped, DROPPED,
+            ["batch_ref"], batch_ref, series,
+        )
         report = audit(rows, "silver", batch_ref, series, paths, settings)
-        return report, upsert_table(rows, paths.silver)
+        return report, upsert_table(rows, paths.silver, before=note)

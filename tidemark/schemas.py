@@ -30,8 +30,9 @@ BRONZE = _struct(
     series_code=T.LongType(),
     ingested_at=T.TimestampType(),
     source_system=T.StringType(),
-    batch_ref=T.StringType(),
     series_name=T.StringType(),
+    batch_ref=T.StringType(),
+    series_bucket=T.IntegerType(),
 )
 SILVER = _struct(
     obs_date=T.DateType(),
@@ -68,6 +69,26 @@ METRICS = _struct(
     batch_ref=T.StringType(),
 )
 
+# What became of a batch's landed rows, per code.
+ACCOUNTING = _struct(
+    series_code=T.LongType(),
+    landed=T.LongType(),
+    bronze=T.LongType(),
+    out_of_window=T.LongType(),
+    uncatalogued=T.LongType(),
+    broken=T.LongType(),
+    batch_ref=T.StringType(),
+)
+QUARANTINE = _struct(
+    _corrupt_record=T.StringType(),
+    series_code=T.LongType(),
+    ingested_at=T.TimestampType(),
+    series_name=T.StringType(),
+    batch_ref=T.StringType(),
+)
+# Months that silver holds and gold may not.
+UNPUBLISHED = _struct(month_ref=T.StringType())
+
 DROPPED = _struct(
     series_name=T.StringType(),
     row_count=T.LongType(),
@@ -77,9 +98,9 @@ DROPPED = _struct(
 )
 
 # One directory per slice. The batch comes first, so that reading or replacing one batch
-# lists only that batch's directories.
+# lists only that batch's directories. Bronze has a fixed number of directories per batch.
 LANDED_SLICE = ["batch_ref", "series_code"]
-BRONZE_SLICE = ["batch_ref", "series_name"]
+BRONZE_SLICE = ["batch_ref", "series_bucket"]
 QUALITY_SLICE = ["batch_ref", "layer"]
 
 # The natural key of an observation. Silver is partitioned by a function of it.
@@ -108,6 +129,12 @@ ALL_CHECKS = [VOLUME, NULL_DATE, NULL_VALUE, NOT_NEGATIVE, NO_DUPLICATES]
 def series_dimension(
     spark: SparkSession, series: Iterable[tuple] = tuple(CATALOGUE)
 ) -> DataFrame:
-    """The series table from (name, code, frequency[, allow_negative]) rows."""
+    """The series table from (name, code, frequency[, allow_negative]) rows. Names and codes
+    must be unique."""
     rows = [(*row, False) if len(row) == 3 else tuple(row) for row in series]
+    for place, kind in ((0, "name"), (1, "code")):
+        values = [row[place] for row in rows]
+        twice = [v for v in values if values.count(v) > 1] if len(set(values)) < len(values) else []
+        if twice:
+            raise ValueError(f"series {kind} {twice[0]!r} occurs twice")
     return spark.createDataFrame(rows, SERIES)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from tidemark.functions.columns import check_batch_ref, parse_date, window_bound
 from tidemark.schemas import DATE_FIELD, VALUE_FIELD
 
 CORRUPT = "_corrupt_record"
+NO_OBSERVATION = "neither a date nor a value"
 
 
 def read_landing(
@@ -19,19 +20,21 @@ def read_landing(
     root: str,
     batch_ref: str | None = None,
     *,
-    layout: str = "array",
+    layout: str = "lines",
     on_error: str = "fail",
     date_field: str = DATE_FIELD,
     value_field: str = VALUE_FIELD,
 ) -> DataFrame:
     """Observations under ``root/batch_ref=…/series_code=…/``, one row per array element.
 
-    ``layout="array"`` takes one JSON document per file; Spark cannot split such a file, so
-    large feeds should use ``layout="lines"`` (one object or array per line). With a
-    ``batch_ref`` only that batch's directories are listed.
+    ``layout="lines"`` takes one object or array per line. ``layout="array"`` takes one JSON
+    document per file, which Spark can neither split nor read in parts. With a ``batch_ref``
+    only that batch's directories are listed.
 
-    ``on_error="fail"`` stops at the first broken document. ``on_error="quarantine"``
-    keeps it as a row with its text in ``_corrupt_record``; see ``split_corrupt``.
+    A document that is no JSON, or an object with neither a date nor a value (such as an error
+    message), is broken. ``on_error="fail"`` stops at the first one. ``on_error="quarantine"``
+    keeps it as a row with its text in ``_corrupt_record``, or ``NO_OBSERVATION`` if it was
+    JSON; see ``split_corrupt``.
     """
     if layout not in ("array", "lines"):
         raise ValueError(f"unknown layout {layout!r}")
@@ -55,7 +58,19 @@ def read_landing(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )
-    return raw.withColumnsRenamed({date_field: "obs_date", value_field: "value"})
+    rows = raw.withColumnsRenamed({date_field: "obs_date", value_field: "value"})
+    empty = F.col("obs_date").isNull() & F.col("value").isNull()
+    if quarantine:
+        broken = F.when(empty, F.coalesce(CORRUPT, F.lit(NO_OBSERVATION)))
+        return rows.withColumn(CORRUPT, F.coalesce(broken, F.col(CORRUPT)))
+    stop = F.raise_error(F.lit(f"MALFORMED_DOCUMENT: {NO_OBSERVATION}"))
+    return rows.withColumn("value", F.when(empty, stop.cast("string")).otherwise(F.col("value")))
+
+
+def landed_counts(spark: SparkSession, root: str, batch_ref: str, layout: str) -> DataFrame:
+    """Documents' rows per code of a batch, whatever they hold."""
+    landed = read_landing(spark, root, batch_ref, layout=layout, on_error="quarantine")
+    return landed.groupBy("series_code").agg(F.count(F.lit(1)).alias("landed"))
 
 
 def split_corrupt(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -68,24 +83,28 @@ def split_corrupt(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return landed.filter(~broken).drop(CORRUPT), landed.filter(broken)
 
 
-def in_window(
-    df: DataFrame,
+def inside_window(
     batch_ref: str,
     days: int = 7,
     *,
     date_col: str = "obs_date",
     text_format: str | None = None,
-) -> DataFrame:
-    """Rows dated in ``[batch_ref - days, batch_ref]``, both ends included.
+) -> Column:
+    """Whether a row is dated in ``[batch_ref - days, batch_ref]``, both ends included.
 
     With ``text_format`` the date column is text, and a row whose text cannot be parsed is
-    kept: raw data stays whole until silver drops and counts such rows. Text is compared
+    inside: raw data stays whole until silver drops and counts such rows. Text is compared
     with a list of the window's dates, which parses it once where two bounds would twice.
     """
     first, last = window_bounds(F.lit(check_batch_ref(batch_ref)), days)
     if text_format is None:
-        return df.filter(F.col(date_col).between(first, last))
+        return F.col(date_col).between(first, last)
     end = date.fromisoformat(batch_ref)
     dates = [end - timedelta(days=n) for n in range(days + 1)]
     inside = parse_date(F.col(date_col), text_format).isin(dates)
-    return df.filter(F.coalesce(inside, F.lit(True)))
+    return F.coalesce(inside, F.lit(True))
+
+
+def in_window(df: DataFrame, batch_ref: str, days: int = 7, **options) -> DataFrame:
+    """The rows that are ``inside_window``."""
+    return df.filter(inside_window(batch_ref, days, **options))

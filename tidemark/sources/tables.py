@@ -8,12 +8,10 @@ mixture for a moment.
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -25,18 +23,12 @@ PLAIN_VALUE = re.compile(r"[A-Za-z0-9_.-]+")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
-
-    A local session without that setting gets a fresh temporary folder. On a cluster a
-    machine-local folder would lose data, so a missing setting is an error there.
-    """
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session, or the
+    checkpoint folder that was set on its context. The engine never picks one itself."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.isLocal():
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -63,8 +55,22 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table was created at ``path``."""
-    return path_exists(spark, path)
+    """Whether a table was created at ``path`` in full: a driver lost during its first write,
+    or while it was replaced as a whole, leaves a folder that is no table."""
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
+def _data_files(spark: SparkSession, path: str) -> dict[str, set[str]]:
+    """Data files by folder under ``path``, its own ones included; only names are listed."""
+    fs, folder = _file_system(spark, path)
+    found: dict[str, set[str]] = {}
+    if fs.exists(folder):
+        files = fs.listFiles(folder, True)
+        while files.hasNext():
+            file = files.next().getPath()
+            if not file.getName().startswith(("_", ".")):
+                found.setdefault(file.getParent().toString(), set()).add(file.getName())
+    return found
 
 
 def read_table(
@@ -82,19 +88,17 @@ def read_slices(
 ) -> DataFrame:
     """The rows of some values of a table's leading partition column.
 
-    Only those directories are listed, so the cost does not grow with the table's history.
-    A slice that was never written adds no rows.
+    Only those directories are looked at, each by its own path, so the cost does not grow with
+    the table's history. A slice that was never written adds no rows.
     """
     unsafe = [v for v in values if not PLAIN_VALUE.fullmatch(v)]
     if unsafe:
         raise ValueError(f"not a plain partition value: {unsafe[0]!r}")
-    folders = f"{path}/{column}={{{','.join(values)}}}"
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(folders)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    folders = [f"{path}/{column}={value}" for value in values]
+    folders = [folder for folder in folders if path_exists(spark, folder)]
+    if not folders:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
 def read_slice(
@@ -120,7 +124,7 @@ def create_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 def replace_slices(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace exactly the partitions that occur in ``df``; all others stay.
 
-    An empty frame replaces nothing: check the volume first. Lost tasks and executors only
+    A partition that gets no rows is not replaced: see ``replace_owned``. Lost tasks and executors only
     repeat work, since files become visible when the whole job commits.
     """
     (
@@ -132,9 +136,53 @@ def replace_slices(df: DataFrame, path: str, partition_by: Sequence[str]) -> Non
     )
 
 
-def replace_table(df: DataFrame, path: str) -> None:
+def replace_owned(
+    df: DataFrame, path: str, partition_by: Sequence[str], owned: Sequence[str]
+) -> None:
+    """Replace all that the folders ``owned`` under ``path`` hold, be ``df`` empty there or
+    not. ``df`` may read from ``path``.
+
+    Partitions that get rows are swapped by the write. A partition that still has the files of
+    before got none, and is dropped after the write committed; losing the driver in between
+    leaves what a repeated load replaces.
+    """
+    spark = df.sparkSession
+    before = {k: v for o in owned for k, v in _data_files(spark, f"{path}/{o}").items()}
+    replace_slices(df, path, partition_by)
+    after = {k: v for o in owned for k, v in _data_files(spark, f"{path}/{o}").items()}
+    for folder, files in before.items():
+        if after.get(folder) == files:
+            drop_folder(spark, folder)
+
+
+def replace_series(
+    new: DataFrame,
+    path: str,
+    schema: T.StructType,
+    partition_by: Sequence[str],
+    batch_ref: str,
+    series: DataFrame,
+    *,
+    on: str = "series_name",
+    owned: Sequence[str] | None = None,
+) -> None:
+    """Replace a batch's rows of ``series``, whether they have new ones or not; rows of other
+    series stay. Only the batch's folder is read, or of it the folders ``owned``."""
+    spark = new.sparkSession
+    owned = [f"batch_ref={batch_ref}"] if owned is None else owned
+    folders = [f"{path}/{o}" for o in owned if path_exists(spark, f"{path}/{o}")]
+    if folders:
+        old = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+        kept = old.join(series.select(on).distinct(), on, "left_anti")
+        new = new.select(*schema.fieldNames()).unionByName(kept.select(*schema.fieldNames()))
+    replace_owned(new.select(*schema.fieldNames()), path, partition_by, owned)
+
+
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a whole table. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    frame = _columns_last(df, partition_by)
+    static = frame.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    static.partitionBy(*partition_by).parquet(path)
 
 
 @contextmanager
