@@ -2,11 +2,45 @@
 
 from __future__ import annotations
 
+import tempfile
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.series import series_bucket
 from tidemark.schemas import DATE_FORMAT, series_dimension
-from tidemark.sources.tables import new_folder
+from tidemark.sources import tables
+
+# Folders that the running query has made.
+_made: list[str] = []
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    _made.append(tables.new_folder(spark, label))
+    return _made[-1]
+
+
+def cleaned(function: Callable[[SparkSession, str], DataFrame]):
+    """A query that drops the tables it wrote. Its result is checkpointed for that. A session
+    without a shared folder gets one: the engine never picks it."""
+
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        context = spark.sparkContext
+        if not context.getCheckpointDir():
+            named = spark.conf.get("spark.checkpoint.dir", None)
+            context.setCheckpointDir(named or tempfile.mkdtemp(prefix="shared-"))
+        del _made[:]
+        try:
+            result = function(spark, sf_dir)
+            return result.checkpoint() if _made else result
+        finally:
+            for path in _made:
+                tables.drop_folder(spark, path)
+
+    return run
 
 # Fixed values of the test tables: event types and order priorities, each one a series.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -32,12 +66,19 @@ def week_start(ts: Column) -> Column:
     return F.date_format(F.date_trunc("week", ts), "yyyy-MM-dd")
 
 
+def known(name: str, values: list[str]) -> Column:
+    """A column whose values are all listed; another value stops the query, so that joins with
+    the listed series lose no rows unseen."""
+    stop = F.raise_error(F.concat(F.lit(f"{name} has a value that is not listed: "), F.col(name)))
+    return F.when(F.col(name).isin(values), F.col(name)).otherwise(stop.cast("string"))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as observations: the type is the series, the week its batch."""
     return table(spark, sf_dir, "events").select(
         "event_id",
         "user_id",
-        F.col("event_type").alias("series_name"),
+        known("event_type", EVENT_TYPES).alias("series_name"),
         F.col("ts").cast("date").alias("obs_date"),
         "value",
         week_start(F.col("ts")).alias("batch_ref"),
@@ -48,7 +89,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as observations: the priority is the series."""
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        F.col("o_orderpriority").alias("series_name"),
+        known("o_orderpriority", PRIORITIES).alias("series_name"),
         F.col("o_orderdate").cast("date").alias("obs_date"),
         F.col("o_totalprice").alias("value"),
     )
@@ -80,8 +121,9 @@ def as_bronze(rows: DataFrame) -> DataFrame:
         "series_code",
         F.lit("2024-02-01 00:00:00").cast("timestamp").alias("ingested_at"),
         F.lit("events").alias("source_system"),
-        "batch_ref",
         "series_name",
+        "batch_ref",
+        series_bucket(F.col("series_name")).alias("series_bucket"),
     )
 
 

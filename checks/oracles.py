@@ -85,6 +85,18 @@ MERGED = f"""
 """
 
 ORDER_CODE = "CAST(left(series_name, 1) AS BIGINT) AS series_code"
+EVENT_CODE = """CAST(CASE series_name WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
+                   WHEN 'signup' THEN 4 WHEN 'view' THEN 5 END AS BIGINT) AS series_code"""
+
+DEFECTS = f"""
+  SELECT series_name, CASE
+           WHEN series_name = 'view' THEN 'uncatalogued'
+           WHEN series_name = 'error'
+             OR series_name = 'signup' AND obs_date = DATE '2024-01-15' THEN 'broken'
+           WHEN obs_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-15' THEN 'bronze'
+           ELSE 'out' END AS kind
+  FROM ({EVENTS})
+"""
 
 
 def monthly(rows: str) -> str:
@@ -209,13 +221,18 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT series_name, 'sem_duplicatas', duplicate, duplicate = 0 FROM filled
     """,
     "q_quality_layered": f"""
-      WITH policy(layer, check_name) AS (VALUES
+      WITH lowest AS (SELECT min(c_acctbal) AS min_value FROM customer GROUP BY c_nationkey),
+      policy(layer, check_name) AS (VALUES
         ('bronze', 'volume_minimo'), ('bronze', 'nulos_data'), ('bronze', 'nulos_valor'),
         ('silver', 'volume_minimo'), ('silver', 'nulos_data'), ('silver', 'nulos_valor'),
-        ('silver', 'valor_positivo'), ('silver', 'sem_duplicatas'),
-        ('gold', 'volume_minimo'), ('gold', 'valor_positivo'))
+        ('silver', 'valor_positivo'), ('silver', 'sem_duplicatas'))
       SELECT layer, check_name, observed, passed
       FROM policy JOIN ({CUSTOMER_REPORT}) USING (check_name)
+      UNION ALL
+      SELECT 'gold', 'volume_minimo', count(*), count(*) > 0 FROM lowest
+      UNION ALL
+      SELECT 'gold', 'valor_positivo', count(*) FILTER (min_value < 0),
+             count(*) FILTER (min_value < 0) = 0 FROM lowest
     """,
     "q_gate_verdict": f"""
       SELECT dataset, count(*) FILTER (NOT passed) AS failures,
@@ -225,7 +242,11 @@ ORACLES: dict[str, str] = {
       FROM ({CUSTOMER_REPORT}) CROSS JOIN (VALUES (0), (1), (2)) t(threshold)
       GROUP BY dataset, threshold
     """,
-    "q_gold_union": ORDERS,
+    "q_gold_union": f"""
+      SELECT series_name, obs_date, value FROM ({ORDERS})
+      UNION ALL
+      SELECT series_name, obs_date, value FROM ({EVENTS})
+    """,
     "q_gold_monthly": monthly(ORDERS),
     "q_gold_publish": monthly(ORDERS),
     "q_gold_lineitem": monthly(
@@ -235,12 +256,9 @@ ORACLES: dict[str, str] = {
           FROM lineitem
         """
     ),
-    "q_gold_single_obs": """
-      SELECT CAST(l_shipdate AS DATE) AS obs_date, l_suppkey AS series_code,
-             count(*) AS row_count, round(min(l_extendedprice), 4) AS min_value,
-             round(stddev_samp(l_extendedprice), 4) AS stddev_value
-      FROM lineitem GROUP BY ALL
-    """,
+    "q_gold_single_obs": monthly("""
+      SELECT CAST(l_orderkey AS VARCHAR) AS series_name, CAST(l_shipdate AS DATE) AS obs_date,
+             floor(l_extendedprice) AS value FROM lineitem"""),
     "q_dim_join": f"""
       SELECT series_name, CAST(series_code AS BIGINT) AS series_code, count(*) AS row_count
       FROM ({ORDERS})
@@ -310,5 +328,72 @@ ORACLES: dict[str, str] = {
       FROM ({MERGED})
     """,
     "q_run_gold": monthly(MERGED),
-    "q_run_gold_touched": monthly(MERGED),
+    "q_run_gold_touched": monthly(f"""
+      SELECT series_name, obs_date,
+             max(floor(value)) + CASE WHEN year(obs_date) = 1996 THEN 2
+               WHEN strftime(obs_date, '%Y-%m') = '1999-05' THEN 1 ELSE 0 END AS value
+      FROM ({ORDERS}) GROUP BY series_name, obs_date"""),
+    "q_load_bronze_empty": f"""
+      WITH held AS (
+        SELECT series_name, count(*) FILTER (series_name <> '1-URGENT') AS n,
+               count(DISTINCT obs_date) FILTER (series_name <> '1-URGENT') AS dates
+        FROM ({ORDERS}) GROUP BY ALL)
+      SELECT 'bronze' AS layer, series_name, n AS observed, n AS bronze_rows FROM held
+      UNION ALL SELECT 'silver', series_name, dates, n FROM held
+    """,
+    "q_load_one_series": f"""
+      WITH landed AS (
+        SELECT * FROM ({ORDERS})
+        WHERE series_name <> '2-HIGH' OR obs_date >= DATE '1998-03-15'),
+      counts AS (
+        SELECT series_name, count(*) AS n, count(DISTINCT obs_date) AS dates FROM landed GROUP BY ALL),
+      months AS (
+        SELECT series_name, count(DISTINCT date_trunc('month', obs_date)) AS n
+        FROM ({ORDERS}) GROUP BY ALL)
+      SELECT 'rows of bronze' AS what, series_name, n FROM counts
+      UNION ALL SELECT 'rows of silver', series_name, dates FROM counts
+      UNION ALL SELECT 'rows of gold', series_name, n FROM months
+      UNION ALL SELECT 'duplicates', series_name, n - dates FROM counts
+      UNION ALL SELECT 'passed', series_name, 10 FROM counts
+    """,
+    "q_load_accounting": f"""
+      SELECT {EVENT_CODE}, count(*) AS landed,
+             count(*) FILTER (kind = 'bronze') AS bronze,
+             count(*) FILTER (kind = 'out') AS out_of_window,
+             count(*) FILTER (kind = 'uncatalogued') AS uncatalogued,
+             count(*) FILTER (kind = 'broken') AS broken,
+             true AS adds_up, true AS held
+      FROM ({DEFECTS}) GROUP BY series_name
+    """,
+    "q_load_quarantine": f"""
+      SELECT series_name, count(*) AS documents,
+             count(*) FILTER (series_name = 'signup') AS messages,
+             count(*) AS observed, false AS passed
+      FROM ({DEFECTS}) WHERE kind = 'broken' GROUP BY ALL
+    """,
+    "q_load_as_of": f"""
+      SELECT obs_date, {ORDER_CODE}, series_name, value, true AS as_in_silver FROM ({MERGED})
+    """,
+    "q_load_defaults": f"""
+      WITH days AS (
+             SELECT series_name, obs_date, floor(sum(value)) AS value FROM ({EVENTS})
+             WHERE obs_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-15' GROUP BY ALL),
+           sizes AS (
+             SELECT series_name, count(*) AS n,
+                    count(*) FILTER (series_name = 'view' AND obs_date = DATE '2024-01-10') AS gaps,
+                    count(*) FILTER (series_name = 'error' AND value > 0) AS negative
+             FROM days GROUP BY ALL)
+      SELECT 'bronze' AS layer, series_name, 'volume_minimo' AS check_name, n AS observed,
+             true AS passed FROM sizes
+      UNION ALL SELECT 'bronze', series_name, 'nulos_data', 0, true FROM sizes
+      UNION ALL SELECT 'bronze', series_name, 'nulos_valor', gaps, true FROM sizes
+      UNION ALL SELECT 'bronze', series_name, 'valor_positivo', negative, true FROM sizes
+      UNION ALL SELECT 'bronze', series_name, 'sem_duplicatas', 0, true FROM sizes
+      UNION ALL SELECT 'silver', series_name, 'volume_minimo', n - gaps, true FROM sizes
+      UNION ALL SELECT 'silver', series_name, 'nulos_data', 0, true FROM sizes
+      UNION ALL SELECT 'silver', series_name, 'nulos_valor', 0, true FROM sizes
+      UNION ALL SELECT 'silver', series_name, 'valor_positivo', negative, true FROM sizes
+      UNION ALL SELECT 'silver', series_name, 'sem_duplicatas', 0, true FROM sizes
+      UNION ALL SELECT 'gold', series_name, 'volume_minimo', 1, true FROM sizes
+    """,
 }

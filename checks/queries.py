@@ -15,9 +15,11 @@ from checks.inputs import (
     PRIORITIES,
     WEEK,
     as_bronze,
+    cleaned,
     event_series,
     events,
     land,
+    new_folder,
     order_series,
     orders,
     payload,
@@ -34,32 +36,46 @@ from tidemark.functions.columns import (
 from tidemark.operators.clean import dedup, drop_incomplete, dropped_rows, type_series
 from tidemark.operators.history import as_of
 from tidemark.operators.lineage import drop_lineage, select_batch, stamp
-from tidemark.operators.quality import policy_table, profile, quality_report, verdict
-from tidemark.operators.series import evolve, join_series, union_series
+from tidemark.operators.quality import (
+    QualityError,
+    checks_for,
+    profile,
+    quality_report,
+    verdict,
+)
+from tidemark.operators.series import evolve, join_series, series_bucket, union_series
 from tidemark.operators.stats import monthly_stats
 from tidemark.operators.upsert import upsert
-from tidemark.plans.bronze import load_bronze
+from tidemark.plans.bronze import CORRUPT_CHECK, bronze_folders, load_bronze
 from tidemark.plans.gold import read_gold
 from tidemark.plans.run import run_batch
 from tidemark.plans.settings import Paths, Settings
 from tidemark.plans.silver import load_silver, upsert_table
 from tidemark.schemas import (
+    ACCOUNTING,
     ALL_CHECKS,
     BRONZE,
     BRONZE_SLICE,
     DROPPED,
+    METRICS,
     NO_DUPLICATES,
     QUALITY,
+    QUARANTINE,
+    REPORT,
     SILVER,
     VOLUME,
     series_dimension,
 )
-from tidemark.sources.landing import in_window, read_landing, split_corrupt
+from tidemark.sources.landing import (
+    NO_OBSERVATION,
+    in_window,
+    read_landing,
+    split_corrupt,
+)
 from tidemark.sources.tables import (
-    drop_folder,
-    new_folder,
     read_slice,
     read_table,
+    replace_series,
     replace_slices,
     replace_table,
     staged,
@@ -69,7 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[function.__name__] = function
+    QUERIES[function.__name__] = cleaned(function)
     return function
 
 
@@ -137,7 +153,10 @@ def q_bronze_replace(spark, sf_dir):
     replace_slices(as_bronze(facts), path, BRONZE_SLICE)
     again = facts.filter((F.col("series_name") == "click") & (F.col("batch_ref") == WEEK))
     again = again.withColumn("value", F.col("value") + 100)
-    replace_slices(as_bronze(again), path, BRONZE_SLICE)
+    click = event_series(spark).filter("series_name = 'click'")
+    replace_series(
+        as_bronze(again), path, BRONZE, BRONZE_SLICE, WEEK, click, owned=bronze_folders(click, WEEK)
+    )
     rows = read_table(spark, path, BRONZE)
     return rows.groupBy("series_name", "batch_ref").agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -151,7 +170,8 @@ def q_bronze_batch(spark, sf_dir):
     path = new_folder(spark, "bronze")
     replace_slices(as_bronze(facts), path, BRONZE_SLICE)
     rows = read_slice(spark, path, BRONZE, "batch_ref", WEEK)
-    return drop_lineage(rows).withColumn("value", parse_number(F.col("value")))
+    rows = drop_lineage(rows).drop("series_bucket")
+    return rows.withColumn("value", parse_number(F.col("value")))
 
 
 @query
@@ -280,15 +300,29 @@ def q_quality_series(spark, sf_dir):
 
 @query
 def q_quality_layered(spark, sf_dir):
-    report = _customer_report(spark, sf_dir)
-    return policy_table(spark).join(report, "check_name").select(
-        "layer", "check_name", "observed", "passed"
+    # Bronze and silver check the balances, gold the least balance per nation.
+    customers = table(spark, sf_dir, "customer")
+    lowest = customers.groupBy("c_nationkey").agg(F.min("c_acctbal").alias("min_value"))
+    frames = {"bronze": customers, "silver": customers, "gold": lowest}
+    reports = []
+    for layer, frame in frames.items():
+        columns = {
+            "date_col": "c_mktsegment",
+            "value_col": "min_value" if layer == "gold" else "c_acctbal",
+            "key": ["c_nationkey", "c_mktsegment"],
+        }
+        checks = checks_for(layer, frame.columns, policy="layered", **columns)
+        reports.append(quality_report(frame, layer, checks=checks, **columns))
+    return union_series(reports).select(
+        F.col("dataset").alias("layer"), "check_name", "observed", "passed"
     )
 
 
 @query
 def q_gate_verdict(spark, sf_dir):
-    report = _customer_report(spark, sf_dir)
+    path = new_folder(spark, "report")
+    replace_table(_customer_report(spark, sf_dir), path)
+    report = read_table(spark, path, REPORT)
     verdicts = union_series(verdict(report, threshold) for threshold in (0, 1, 2))
     return verdicts.drop("series_name")
 
@@ -298,8 +332,10 @@ def q_gate_verdict(spark, sf_dir):
 
 @query
 def q_gold_union(spark, sf_dir):
-    rows = orders(spark, sf_dir)
-    return union_series(rows.filter(F.col("series_name") == name) for name in PRIORITIES)
+    # Two tables whose columns are the same but for their order.
+    first = orders(spark, sf_dir).select("series_name", "obs_date", "value")
+    second = events(spark, sf_dir).select("value", "obs_date", "series_name")
+    return union_series([first, second])
 
 
 @query
@@ -328,15 +364,13 @@ def q_gold_lineitem(spark, sf_dir):
 
 @query
 def q_gold_single_obs(spark, sf_dir):
-    price = F.col("l_extendedprice")
-    days = table(spark, sf_dir, "lineitem").groupBy(
-        F.col("l_shipdate").cast("date").alias("obs_date"), F.col("l_suppkey").alias("series_code")
-    )
-    return days.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.round(F.min(price), 4).alias("min_value"),
-        F.round(F.stddev_samp(price), 4).alias("stddev_value"),
+    # Each order is a series: most of its months have a single observation.
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("series_name"),
+        F.col("l_shipdate").cast("date").alias("obs_date"),
+        F.floor("l_extendedprice").cast("double").alias("value"),
     )
+    return monthly_stats(lines)
 
 
 # -- dimension and schema --------------------------------------------------------------
@@ -344,6 +378,7 @@ def q_gold_single_obs(spark, sf_dir):
 
 @query
 def q_dim_join(spark, sf_dir):
+    # The join is an inner one: facts of two of the five priorities have no row in this table.
     few = series_dimension(spark, [(n, i, "daily") for i, n in enumerate(PRIORITIES[:3], 1)])
     named = join_series(orders(spark, sf_dir), few, "series_name")
     return named.groupBy("series_name", "series_code").agg(
@@ -383,7 +418,7 @@ def q_schema_merge(spark, sf_dir):
 
 RUN = Settings(layout="lines", window_days=None, policy="layered", source_system="orders")
 LOOSE = replace(RUN, threshold=len(ALL_CHECKS))
-FIRST, SECOND = "1998-03-31", "2001-12-31"
+FIRST, MIDDLE, SECOND = "1998-03-31", "2000-06-30", "2001-12-31"
 
 
 def _two_batches(spark, sf_dir):
@@ -405,9 +440,8 @@ def q_load_bronze(spark, sf_dir):
     paths = _two_batches(spark, sf_dir)
     for batch_ref in (FIRST, SECOND, FIRST):
         load_bronze(spark, batch_ref, paths, order_series(spark), RUN)
-    drop_folder(spark, paths.landing)
-    rows = read_table(spark, paths.bronze, BRONZE)
-    return rows.withColumn("value", F.col("value").cast("long")).drop("ingested_at")
+    rows = read_table(spark, paths.bronze, BRONZE).drop("ingested_at", "series_bucket")
+    return rows.withColumn("value", F.col("value").cast("long"))
 
 
 @query
@@ -416,7 +450,6 @@ def q_load_quality(spark, sf_dir):
     for batch_ref in (FIRST, SECOND):
         load_bronze(spark, batch_ref, paths, order_series(spark), RUN)
         load_silver(spark, batch_ref, paths, order_series(spark), RUN)
-    drop_folder(spark, paths.landing)
     return read_table(spark, paths.quality, QUALITY).drop("dataset")
 
 
@@ -424,6 +457,7 @@ def q_load_quality(spark, sf_dir):
 def q_load_dropped(spark, sf_dir):
     facts = raw_events(spark, sf_dir).drop("event_id", "series_code")
     bronze = stamp(join_series(facts, event_series(spark), "series_name"), WEEK, "events")
+    bronze = bronze.withColumn("series_bucket", series_bucket(F.col("series_name")))
     paths = Paths(new_folder(spark, "run"), "")
     replace_slices(bronze.select(*BRONZE.fieldNames()), paths.bronze, BRONZE_SLICE)
     load_silver(spark, WEEK, paths, event_series(spark), LOOSE)
@@ -436,7 +470,6 @@ def q_load_silver(spark, sf_dir):
     for batch_ref in (FIRST, SECOND):
         load_bronze(spark, batch_ref, paths, order_series(spark), RUN)
         load_silver(spark, batch_ref, paths, order_series(spark), RUN)
-    drop_folder(spark, paths.landing)
     return read_table(spark, paths.silver, SILVER)
 
 
@@ -446,23 +479,194 @@ def q_run_counts(spark, sf_dir):
     landing = land(rows.withColumn("batch_ref", F.lit(SECOND)), "landing")
     paths = Paths(new_folder(spark, "run"), landing)
     counts = run_batch(spark, SECOND, paths, order_series(spark), RUN)
-    drop_folder(spark, landing)
     return counts
 
 
-def _gold_of_two_runs(spark, sf_dir, settings):
+@query
+def q_run_gold(spark, sf_dir):
     paths = _two_batches(spark, sf_dir)
     for batch_ref in (FIRST, SECOND):
-        run_batch(spark, batch_ref, paths, order_series(spark), settings)
-    drop_folder(spark, paths.landing)
+        run_batch(spark, batch_ref, paths, order_series(spark), RUN)
     return read_gold(spark, paths.gold)
 
 
 @query
-def q_run_gold(spark, sf_dir):
-    return _gold_of_two_runs(spark, sf_dir, RUN)
+def q_run_gold_touched(spark, sf_dir):
+    # Of three batches, the middle one revises 1996 and stops after silver; the last one has a
+    # single month.
+    rows = join_series(orders(spark, sf_dir), order_series(spark), "series_name")
+    rows = rows.withColumn("value", F.floor("value"))
+    batches = [
+        rows.withColumn("batch_ref", F.lit(FIRST)),
+        rows.filter(F.year("obs_date") == 1996)
+        .withColumn("value", F.col("value") + 2)
+        .withColumn("batch_ref", F.lit(MIDDLE)),
+        rows.filter(month_ref(F.col("obs_date")) == "1999-05")
+        .withColumn("value", F.col("value") + 1)
+        .withColumn("batch_ref", F.lit(SECOND)),
+    ]
+    paths = Paths(new_folder(spark, "run"), land(union_series(batches), "landing"))
+    settings, series = replace(RUN, gold="touched"), order_series(spark)
+    run_batch(spark, FIRST, paths, series, settings)
+    load_bronze(spark, MIDDLE, paths, series, settings)
+    load_silver(spark, MIDDLE, paths, series, settings)
+    run_batch(spark, SECOND, paths, series, settings)
+    return read_gold(spark, paths.gold)
 
 
 @query
-def q_run_gold_touched(spark, sf_dir):
-    return _gold_of_two_runs(spark, sf_dir, replace(RUN, gold="touched"))
+def q_load_bronze_empty(spark, sf_dir):
+    # A series lands again without rows: nothing of it may be left.
+    rows = join_series(orders(spark, sf_dir), order_series(spark), "series_name")
+    rows = rows.withColumn("batch_ref", F.lit(SECOND))
+    series, base = order_series(spark), new_folder(spark, "run")
+    again = rows.filter("series_name <> '1-URGENT'")
+    for landed in (rows, again):
+        paths = Paths(base, land(landed, "landing"))
+        load_bronze(spark, SECOND, paths, series, replace(RUN, threshold=1))
+    load_silver(spark, SECOND, paths, series, LOOSE)
+    bronze = read_table(spark, paths.bronze, BRONZE)
+    held = bronze.groupBy("series_name").agg(F.count(F.lit(1)).alias("held"))
+    volumes = read_table(spark, paths.quality, QUALITY).filter(F.col("check_name") == VOLUME)
+    return volumes.join(held, "series_name", "left").select(
+        "layer", "series_name", "observed", F.coalesce("held", F.lit(0)).alias("bronze_rows")
+    )
+
+
+@query
+def q_load_one_series(spark, sf_dir):
+    # One of five series runs again alone; another one is signed and not in that frame.
+    rows = join_series(orders(spark, sf_dir), order_series(spark), "series_name")
+    urgent = F.col("series_name") == "1-URGENT"
+    value = F.floor("value")
+    rows = rows.withColumn("value", F.when(urgent, -value).otherwise(value))
+    rows = rows.withColumn("batch_ref", F.lit(SECOND))
+    signed = order_series(spark).withColumn("allow_negative", F.col("series_name") == "1-URGENT")
+    base = new_folder(spark, "run")
+    run_batch(spark, SECOND, Paths(base, land(rows, "landing")), signed, RUN)
+    high = signed.filter("series_name = '2-HIGH'")
+    later = rows.filter(F.col("obs_date") >= "1998-03-15")
+    paths = Paths(base, land(later, "landing"))
+    run_batch(spark, SECOND, paths, high, RUN)
+    quality = read_table(spark, paths.quality, QUALITY)
+    return union_series(
+        [
+            read_table(spark, paths.metrics, METRICS).select(
+                F.concat(F.lit("rows of "), "layer").alias("what"), "series_name",
+                F.col("row_count").alias("n"),
+            ),
+            read_table(spark, paths.dropped, DROPPED).select(
+                F.lit("duplicates").alias("what"), "series_name", F.col("duplicates").alias("n")
+            ),
+            quality.groupBy("series_name").agg(F.count_if("passed").alias("n")).select(
+                F.lit("passed").alias("what"), "series_name", "n"
+            ),
+        ]
+    )
+
+
+def _landed_with_defects(spark, sf_dir):
+    """Events as one batch, by whose window many are out of date. Errors are cut off before
+    their end; signups of the window's last date are error messages."""
+    rows = join_series(events(spark, sf_dir), event_series(spark), "series_name")
+    rows = rows.withColumn("batch_ref", F.lit("2024-01-15"))
+    cut = F.left(payload(), F.length(payload()) - 2)
+    text = F.when(F.col("series_name") == "error", cut)
+    message = (F.col("series_name") == "signup") & (F.col("obs_date") == "2024-01-15")
+    text = text.when(message, F.lit('{"erro":"service unavailable"}')).otherwise(payload())
+    return Paths(new_folder(spark, "run"), land(rows, "landing", text))
+
+
+@query
+def q_load_accounting(spark, sf_dir):
+    # Views are not in the catalogue; the window is the default one.
+    paths = _landed_with_defects(spark, sf_dir)
+    series = event_series(spark).filter("series_name <> 'view'")
+    settings = Settings(on_error="quarantine", threshold=len(ALL_CHECKS) + 1)
+    load_bronze(spark, "2024-01-15", paths, series, settings)
+    held = read_table(spark, paths.bronze, BRONZE).groupBy("series_code").count()
+    counts = read_table(spark, paths.accounting, ACCOUNTING).join(held, "series_code", "left")
+    parts = F.col("bronze") + F.col("out_of_window") + F.col("uncatalogued") + F.col("broken")
+    return counts.select(
+        "series_code", "landed", "bronze", "out_of_window", "uncatalogued", "broken",
+        (parts == F.col("landed")).alias("adds_up"),
+        (F.coalesce("count", F.lit(0)) == F.col("bronze")).alias("held"),
+    )
+
+
+@query
+def q_load_quarantine(spark, sf_dir):
+    paths = _landed_with_defects(spark, sf_dir)
+    settings = Settings(on_error="quarantine", threshold=len(ALL_CHECKS) + 1)
+    load_bronze(spark, "2024-01-15", paths, event_series(spark), settings)
+    kept = read_table(spark, paths.quarantine, QUARANTINE)
+    message = F.col("_corrupt_record") == NO_OBSERVATION
+    counts = kept.groupBy("series_name").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(message).alias("messages")
+    )
+    report = read_table(spark, paths.quality, QUALITY).filter(F.col("check_name") == CORRUPT_CHECK)
+    return counts.join(report, "series_name").select(
+        "series_name", "documents", "messages", "observed", "passed"
+    )
+
+
+@query
+def q_load_as_of(spark, sf_dir):
+    # Silver refuses the middle batch for its negative values; bronze holds it.
+    rows = join_series(orders(spark, sf_dir), order_series(spark), "series_name")
+    rows = rows.withColumn("value", F.floor("value"))
+    batches = [
+        rows.filter(F.col("obs_date") <= FIRST).withColumn("batch_ref", F.lit(FIRST)),
+        rows.withColumn("value", -F.col("value")).withColumn("batch_ref", F.lit(MIDDLE)),
+        rows.filter(F.col("obs_date") >= "1998-03-15")
+        .withColumn("value", F.col("value") + 1)
+        .withColumn("batch_ref", F.lit(SECOND)),
+    ]
+    paths = Paths(new_folder(spark, "run"), land(union_series(batches), "landing"))
+    for batch_ref in (FIRST, MIDDLE, SECOND):
+        load_bronze(spark, batch_ref, paths, order_series(spark), RUN)
+        try:
+            load_silver(spark, batch_ref, paths, order_series(spark), RUN)
+        except QualityError:
+            if batch_ref != MIDDLE:
+                raise
+    bronze = read_table(spark, paths.bronze, BRONZE)
+    state = as_of(bronze, SECOND, read_table(spark, paths.quality, QUALITY))
+    silver = read_table(spark, paths.silver, SILVER).select("obs_date", "series_code", "value")
+    state = state.select("obs_date", "series_code", "series_name", "value")
+    same = F.col("value") == F.col("in_silver")
+    return state.join(
+        silver.withColumnRenamed("value", "in_silver"), ["obs_date", "series_code"], "left"
+    ).select("obs_date", "series_code", "series_name", "value", same.alias("as_in_silver"))
+
+
+@query
+def q_load_defaults(spark, sf_dir):
+    # Daily sums as one JSON array per series, through the default window and policy. Errors
+    # are signed, and views lack the value of one date.
+    days = events(spark, sf_dir).groupBy("series_name", "obs_date").agg(
+        F.floor(F.sum("value")).alias("total")
+    )
+    missing = (F.col("series_name") == "view") & (F.col("obs_date") == "2024-01-10")
+    total = F.when(F.col("series_name") == "error", -F.col("total")).otherwise(F.col("total"))
+    value = F.when(missing, F.lit("n/a")).otherwise(total.cast("string"))
+    days = join_series(days.withColumn("value", value), event_series(spark), "series_name")
+    # At most one element for each date of the table.
+    documents = days.groupBy("series_code").agg(
+        F.to_json(
+            F.collect_list(
+                F.struct(
+                    payload_date(F.col("obs_date")).alias("data"), F.col("value").alias("valor")
+                )
+            )
+        ).alias("document")
+    )
+    landing = land(
+        documents.withColumn("batch_ref", F.lit("2024-01-15")), "landing", F.col("document")
+    )
+    signed = event_series(spark).withColumn("allow_negative", F.col("series_name") == "error")
+    paths = Paths(new_folder(spark, "run"), landing)
+    settings = Settings(layout="array", null_tolerance=1)
+    run_batch(spark, "2024-01-15", paths, signed, settings)
+    quality = read_table(spark, paths.quality, QUALITY)
+    return quality.select("layer", "series_name", "check_name", "observed", "passed")
