@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import packed, received, send, unpacked
+from tidemark.llm.shared import packed, piped, received, send, unpacked
 from tidemark.llm.words import chunks, lowered_table
 
 # Families of languages. A language that is not listed is a family of its own.
@@ -37,6 +37,8 @@ SAMPLE_PER_LANGUAGE = 500
 MOST_LANGUAGES = 200
 FEATURES = 1 << 12
 SIZES = (1, 2, 3, 4)
+# Rows whose counts a task holds at once.
+ROWS = 256
 ROUNDS, PENALTY = 300, 1e-4
 LETTERS = lowered_table(bytes([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
@@ -168,7 +170,7 @@ def predict(x: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, last, data, offsets in chunks(batch.column(1)):
+        for first, last, data, offsets in chunks(batch.column(1), rows=ROWS):
             rows = frequencies(ngram_counts(data, offsets)).astype(np.float32)
             names = batch.column(0).slice(first, last - first)
             vectors = pa.array([r.tobytes() for r in rows], pa.binary())
@@ -189,7 +191,7 @@ def learn(rows: DataFrame) -> Model:
         size = F.when(F.col("lang") == r["lang"], F.lit(r["n"])).otherwise(size)
     chosen = F.pmod(F.xxhash64("id"), size) < SAMPLE_PER_LANGUAGE
     sample = rows.filter(chosen).select("lang", "text")
-    found = sample.mapInArrow(_features, "lang string, features binary").toArrow()
+    found = piped(sample, [_features], "lang string, features binary").toArrow()
     languages = found.column("lang").to_pylist()
     vectors = [np.frombuffer(v, dtype=np.float32) for v in found.column("features").to_pylist()]
     x = np.array(vectors, dtype=np.float64).reshape(len(vectors), FEATURES)
@@ -200,7 +202,7 @@ def _predicted(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = received(sent)
         for batch in batches:
-            for first, last, data, offsets in chunks(batch.column(2)):
+            for first, last, data, offsets in chunks(batch.column(2), rows=ROWS):
                 lettered = batch.column(1).slice(first, last - first).to_numpy(zero_copy_only=False)
                 languages = np.full(last - first, UNDETERMINED, dtype=object)
                 scores = np.zeros(last - first)
@@ -229,7 +231,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
         F.col(text_col).alias("_text"),
     )
     schema = f"_row {rows.schema['_row'].dataType.simpleString()}, lang_pred string, score double"
-    found = rows.mapInArrow(_predicted(send(docs.sparkSession, model)), schema)
+    found = piped(rows, [_predicted(send(docs.sparkSession, model))], schema)
     return found.select(*unpacked(found), "lang_pred", "score")
 
 

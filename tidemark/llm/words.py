@@ -56,19 +56,24 @@ ALNUM = lowered_table(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61
 SPACED = lowered_table(b"\x20\x09\x0a\x0b\x0c\x0d")
 
 
-def chunks(texts: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Ranges of rows with their bytes and the rows' byte offsets; a null text is empty."""
+def chunks(
+    texts: pa.Array, limit: int = CHUNK, rows: int = 1 << 16
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Ranges of rows with their bytes and the rows' byte offsets; a null text is empty. A range
+    has at most ``rows`` rows, and at most ``limit`` bytes if it has more than one."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)
-    offsets = offsets[texts.offset : texts.offset + len(texts) + 1]
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
+    wide = pa.types.is_large_string(texts.type)
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64 if wide else np.int32)
+    offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     held = texts.buffers()[2]
     data = np.frombuffer(held, dtype=np.uint8) if held else np.empty(0, dtype=np.uint8)
     first = 0
     while first < len(texts):
         last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
-        last = min(max(last, first + 1), len(texts))
+        last = min(max(last, first + 1), first + rows, len(texts))
         yield first, last, data[offsets[first] : offsets[last]], (
             offsets[first : last + 1] - offsets[first]
         )
