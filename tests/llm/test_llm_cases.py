@@ -249,7 +249,7 @@ def test_token_files(spark, odd):
     library = Tokenizer.from_file(vocabulary())
     with workspace(spark) as work:
         path = f"{work.path}/tokens"
-        tokens.write_tokens(odd, path, vocabulary())
+        tokens.write_tokens(odd, path, vocabulary(), work)
         read = tokens.read_tokens(spark, path).join(tokens.starts(spark, path), ["part", "pack"])
         rows = sorted(read.collect(), key=lambda r: r["pack_start"] + r["before"])
         start = 0
@@ -268,7 +268,7 @@ def test_token_files(spark, odd):
         assert both(tuple(r) for r in some) == both(e for e in expected if e[0] in (3, 7))
     with workspace(spark) as work:
         path = f"{work.path}/none"
-        tokens.write_tokens(odd.limit(0), path, vocabulary())
+        tokens.write_tokens(odd.limit(0), path, vocabulary(), work)
         assert tokens.read_tokens(spark, path).count() == 0
 
 

@@ -22,8 +22,8 @@ from tidemark.llm.words import CHUNK, Hasher, chunks, list_column
 
 # Words longer than this are hashed by another function than the running sum.
 LONG_WORD = 256
-# Words kept with their ids between chunks; more than that, and a task starts anew.
-KNOWN_WORDS = 400_000
+# Words that a task keeps with their ids, some 50 bytes each; beyond, it starts anew.
+KNOWN_WORDS = 600_000
 
 # Classes of characters in the pattern of byte-level BPE.
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
@@ -342,9 +342,9 @@ def _encoding(sent, at: int):
         known = WordIds(lambda data, starts, ends: merge_words(data, starts, ends, v))
         for batch in batches:
             for first, last, ids, counts in encode_texts(batch.column(at), v, known):
-                kept = [c.slice(first, last - first) for c in batch.columns]
+                held = [c.slice(first, last - first) for c in batch.columns]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, list_column(pa.array(ids, pa.int32()), counts)],
+                    [*held, list_column(pa.array(ids, pa.int32()), counts)],
                     [*batch.schema.names, "ids"],
                 )
 
@@ -380,7 +380,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """
     docs = docs.drop("ids") if text_col != "ids" else docs
     function = _encoding(_sent(docs.sparkSession, path), docs.columns.index(text_col))
-    return docs.mapInArrow(function, _schema(docs, "ids array<int>"))
+    return piped(docs, [function], _schema(docs, "ids array<int>"))
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
@@ -388,7 +388,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     empty text; a column named ``decoded`` is replaced."""
     rows = rows.drop("decoded") if ids_col != "decoded" else rows
     function = _decoding(_sent(rows.sparkSession, path), rows.columns.index(ids_col))
-    return rows.mapInArrow(function, _schema(rows, "decoded string"))
+    return piped(rows, [function], _schema(rows, "decoded string"))
 
 
 def _digested(ids_at: int, text_at: int):
@@ -405,10 +405,10 @@ def _digested(ids_at: int, text_at: int):
             ends = np.cumsum(counts.to_numpy()).tolist()
             joined = [sha(",".join(values[a:b])) for a, b in zip([0, *ends], ends)]
             decoded = [sha(t.as_py() or "") for t in batch.column(text_at)]
-            kept = [c for i, c in enumerate(batch.columns) if i not in (ids_at, text_at)]
+            held = [c for i, c in enumerate(batch.columns) if i not in (ids_at, text_at)]
             names = [n for i, n in enumerate(batch.schema.names) if i not in (ids_at, text_at)]
             yield pa.RecordBatch.from_arrays(
-                [*kept, counts.cast(pa.int64()), pa.array(joined), pa.array(decoded)],
+                [*held, counts.cast(pa.int64()), pa.array(joined), pa.array(decoded)],
                 [*names, "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import Work, numbered, packed, unpacked
+from tidemark.llm.shared import Work, numbered, packed, piped, unpacked
 
 MESSAGE, CALL, RESULT = "message", "call", "result"
 # Corrections of the order go along chains of events that lie in the wrong order; a chain of
@@ -176,7 +176,7 @@ def format_chats(events: DataFrame, schemas: dict[str, dict], work: Work) -> Dat
     inputs = ["_row", "_key", "kind", "role", "text", "call_id", "name", "arguments", "linked"]
     row = rows.schema["_row"].dataType.simpleString()
     schema = f"_row {row}, _key bigint, errors array<string>, json string"
-    lines = ordered.select(*inputs).mapInArrow(_serialized(schemas), schema)
+    lines = piped(ordered.select(*inputs), [_serialized(schemas)], schema)
     keys = ordered.select("conv_id", "_rank", "_depth", "_turn", "_key", "linked")
     places = numbered(keys, "conv_id", ["_rank", "_depth", "_turn", "_key"], "seq", work, "places")
     lines = lines.join(places.select("_key", "seq", "linked"), "_key")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import Work, packed, unpacked
+from tidemark.llm.shared import Work, packed, piped, unpacked
 from tidemark.llm.words import (
     ALNUM,
     Hasher,
@@ -166,8 +166,8 @@ def contamination(
         F.col(text_col).alias("_text"),
     )
 
-    rows = items.select(F.col("item_id").cast("string"), "text").mapInArrow(_windows, WINDOWS)
-    windows = work.write(rows, "windows")
+    texts = items.select(F.col("item_id").cast("string"), "text")
+    windows = work.write(piped(texts, [_windows], WINDOWS), "windows")
     of_items = windows.select("phrase", "item_id").distinct()
     held = windows.select("phrase", "size", "h", "at", "width").distinct()
 
@@ -175,12 +175,9 @@ def contamination(
     table, widths = _slots(held)
     if not widths:
         widths = [SHINGLE]
-    counts = (
-        docs.select("_text")
-        .mapInArrow(_counted(spark.sparkContext.broadcast(table), widths), "h bigint, n bigint")
-        .groupBy("h")
-        .agg(F.sum("n").alias("n"))
-    )
+    count = _counted(spark.sparkContext.broadcast(table), widths)
+    counts = piped(docs.select("_text"), [count], "h bigint, n bigint")
+    counts = counts.groupBy("h").agg(F.sum("n").alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "h", "width"))
     prefix = held.join(counts, "h", "left").groupBy("phrase", "size").agg(rarest.alias("p"))
     prefix = work.write(prefix.select("phrase", "size", "p.h", "p.at", "p.width"), "prefix")
@@ -189,7 +186,7 @@ def contamination(
     scan = _scanned(spark.sparkContext.broadcast(table), widths or [SHINGLE])
     row = docs.schema["_row"].dataType.simpleString()
     schema = f"_row {row}, _id bigint, n_words bigint, _found {CANDIDATES}"
-    scanned = work.write(docs.mapInArrow(scan, schema), "scanned")
+    scanned = work.write(piped(docs, [scan], schema), "scanned")
 
     # Length and positional bounds, then the words themselves.
     begin = F.col("pos") - F.col("at")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import Work, packed, unpacked
+from tidemark.llm.shared import Work, packed, piped, unpacked
 from tidemark.llm.words import SPACED, Hasher, chunks, inside_rows, mixed, shingles, split
 
 # Counters of how often shingles occur, by their hash, and slots of the filter of classes.
@@ -429,7 +429,7 @@ def link_documents(
         f"_row {row_type}, _id bigint, n_shingles bigint, name binary, bits binary, "
         "slots array<int>, counts array<bigint>"
     )
-    profiles = work.write(rows.mapInArrow(_profiled(size), schema), "profiles")
+    profiles = work.write(piped(rows, [_profiled(size)], schema), "profiles")
     levels = broadcast(_levels(profiles))
     documents = profiles.filter(F.col("_id").isNotNull()).drop("slots", "counts")
     own_id = F.col("_row").getField(id_col)
@@ -449,9 +449,8 @@ def link_documents(
 
     # Of the short lists, the entries with another class of a fitting size next to them.
     text = rows.select("_text")
-    entries = text.mapInArrow(
-        _short_lists(levels, size, percent), "token bigint, node bigint, size int, most int"
-    )
+    lists = _short_lists(levels, size, percent)
+    entries = piped(text, [lists], "token bigint, node bigint, size int, most int")
     by_size = Window.partitionBy("token").orderBy("size", "node")
 
     def next_to(step: int) -> Column:
@@ -470,14 +469,15 @@ def link_documents(
         "token", "i", "j", "node", "size", "most", "bits"
     )
     blocks = blocks.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    near = components(blocks.mapInArrow(_met(percent), "a bigint, b bigint"), work, "near")
+    near = components(piped(blocks, [_met(percent)], "a bigint, b bigint"), work, "near")
     near = work.write(near, "near")
 
     # Whole sets of the clusters, and the search inside each.
     wanted = np.zeros(SLOTS, dtype=bool)
     slots = near.select(F.expr(f"v & {SLOTS - 1}").alias("slot")).distinct().toArrow()
     wanted[slots.column(0).to_numpy()] = True
-    sets = text.mapInArrow(_whole_sets(broadcast(wanted), size), "name binary, tokens binary")
+    whole = _whole_sets(broadcast(wanted), size)
+    sets = piped(text, [whole], "name binary, tokens binary")
     sets = (
         sets.withColumn("v", _node("name"))
         .join(near, "v")
@@ -494,7 +494,8 @@ def link_documents(
         "cluster", "i", "j", "sub", "name", "copies", "tokens"
     )
     blocks = blocks.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    found = work.write(blocks.mapInArrow(_searched(percent), "a binary, b binary, n bigint"), "found")
+    searched = piped(blocks, [_searched(percent)], "a binary, b binary, n bigint")
+    found = work.write(searched, "found")
     roots = components(found.filter(F.col("b").isNotNull()).select("a", "b"), work, "linked")
     linked = found.filter(F.col("b").isNull()).groupBy("a").agg(F.sum("n").alias("links"))
 

@@ -16,7 +16,7 @@ from tidemark.llm.quality import judge_quality
 from tidemark.llm.secrets import scan_secrets
 from tidemark.llm.shards import kd_shards
 from tidemark.llm.shared import workspace
-from tidemark.llm.tokens import checksums, read_tokens, starts, write_tokens
+from tidemark.llm.tokens import read_checksums, starts, write_tokens
 from tidemark.llm.urls import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,8 +126,8 @@ def op8_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     with workspace(spark) as work:
         path = f"{work.path}/tokens"
-        write_tokens(docs, path, vocabulary())
-        sums = checksums(read_tokens(spark, path)).join(starts(spark, path), ["part", "pack"])
+        write_tokens(docs, path, vocabulary(), work)
+        sums = read_checksums(spark, path).join(starts(spark, path), ["part", "pack"])
         return sums.select(
             "doc_id", (F.col("pack_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
         ).checkpoint()

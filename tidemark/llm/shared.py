@@ -68,16 +68,33 @@ def received(sent: Broadcast):
 
 def piped(rows: DataFrame, steps: list[Callable], schema: str) -> DataFrame:
     """Several functions over Arrow batches as one, so that a task has one Python worker and
-    hands single batches from step to step."""
+    hands single batches from step to step. At the end of a task the worker gives its memory
+    back: Spark keeps idle workers for later tasks, beside those that run."""
 
     def run(batches):
         for step in steps:
             batches = step(batches)
-        return batches
+        try:
+            yield from batches
+        finally:
+            give_back()
 
     return rows.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where its C library can."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def packed(rows: DataFrame, leave: list[str]) -> Column:
     """All columns but some as one, so that their names cannot clash with an operator's own.
     :func:`unpacked` brings them back."""

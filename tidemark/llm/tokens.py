@@ -17,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import WordIds, encode_texts, load_vocabulary
-from tidemark.llm.shared import received, send
+from tidemark.llm.bpe import WordIds, encode_texts, gathered, load_vocabulary, spread
+from tidemark.llm.shared import Work, piped, received, send
 from tidemark.llm.words import list_column
 
 END = 0
+# Words that the library is given at once, as lines of a text.
+LINES = 2000
 LEVEL = 3
 # Bounds of the sample that the dictionary is trained on, and of the dictionary.
 SAMPLE_DOCUMENTS = 1000
@@ -33,91 +35,131 @@ PACK_DOCUMENTS = 1 << 13
 
 INDEX = "array<struct<doc_id:bigint,offset:bigint,length:int,n_tokens:bigint>>"
 PACKS = f"part int, pack int, n_tokens bigint, dictionary string, payload binary, docs {INDEX}"
-FRAMES = "part int, pack int, doc_id bigint, before bigint, frame binary"
 DOCUMENTS = "part int, pack int, doc_id bigint, before bigint, ids array<int>"
 
 
 def _library(spec: str):
-    """An encoder of words by the tokenizers library."""
+    """An encoder of words by the tokenizers library.
+
+    Words that are not white space go in texts of a line each: the library's own cutting
+    parts them again, and no id but that of the line's end has its byte. One thread, as the
+    other cores have tasks of their own.
+    """
+    import os
+
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(spec)
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def encode(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        words = [data[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)]
-        ids = [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        return np.array([i for word in ids for i in word], dtype=np.int32), sizes
-
-    return encode
+    def ids_of(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    line_end = ids_of(["\n"])[0][0]
 
-def _ended(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The end id after each row's ids."""
-    return np.insert(ids, np.cumsum(counts), END), counts + 1
-
+    def encode(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        sizes = ends - starts
+        line_ends = np.r_[0, np.cumsum(data == 0x0A)]
+        plain = (data[ends - 1] > 0x20) & (line_ends[ends] == line_ends[starts])
+        lines = np.full(int((sizes[plain] + 1).sum()), 0x0A, dtype=np.uint8)
+        stops = np.cumsum(sizes[plain] + 1)
+        lines[spread(stops - 1 - sizes[plain], sizes[plain])] = gathered(
+            data, starts[plain], sizes[plain]
+        )
+        pieces = np.split(lines, stops[LINES::LINES]) if len(stops) else []
+        found = np.array(
+            [i for ids in ids_of([p.tobytes().decode() for p in pieces]) for i in ids],
+            dtype=np.int32,
+        )
+        cuts = np.flatnonzero(found == line_end)
+        rest = np.flatnonzero(~plain)
+        others = ids_of([data[starts[i] : ends[i]].tobytes().decode() for i in rest])
+        counts = np.zeros(len(starts), dtype=np.int64)
+        counts[plain] = np.diff(np.r_[-1, cuts]) - 1
+        counts[rest] = [len(ids) for ids in others]
+        out = np.empty(int(counts.sum()), dtype=np.int32)
+        begins = np.cumsum(counts) - counts
+        out[spread(begins[plain], counts[plain])] = found[found != line_end]
+        for i, ids in zip(rest, others, strict=True):
+            out[begins[i] : begins[i] + len(ids)] = ids
+        return out, counts
 
-def _serialized(spec: str, vocabulary, kind: str):
-    """Per chunk of an Arrow column: rows and their serialized ids."""
-    known = WordIds(_library(spec))
+    return encode
 
-    def serialize(texts: pa.Array):
-        for first, _, ids, counts in encode_texts(texts, vocabulary, known):
-            ids, counts = _ended(ids, counts)
-            data, stops = ids.astype(kind).tobytes(), np.cumsum(counts) * np.dtype(kind).itemsize
-            start = 0
-            for row, (stop, n) in enumerate(zip(stops.tolist(), counts.tolist(), strict=True)):
-                yield first + row, data[start:stop], n
-                start = stop
 
-    return serialize
+def _documents(ids: np.ndarray, counts: np.ndarray, kind: str) -> Iterator[bytes]:
+    """The serialized ids of each row, the end id included."""
+    data = np.insert(ids, np.cumsum(counts), END).astype(kind).tobytes()
+    stops = np.cumsum(counts + 1) * np.dtype(kind).itemsize
+    start = 0
+    for stop in stops.tolist():
+        yield data[start:stop]
+        start = stop
 
 
 def _samples(sent, kind: str):
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        serialize = _serialized(*received(sent), kind)
+        spec, vocabulary = received(sent)
+        known = WordIds(_library(spec))
         for batch in batches:
-            data = [data[:SAMPLE_BYTES] for _, data, _ in serialize(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["data"])
+            for _, _, ids, counts in encode_texts(batch.column(0), vocabulary, known):
+                data = [d[:SAMPLE_BYTES] for d in _documents(ids, counts, kind)]
+                yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["data"])
 
     return sample
 
 
-def _packed(sent, kind: str, dictionary: bytes, name: str):
-    """Rows (part, doc_id, text), in order, as packs."""
+def _framed(sent, kind: str, dictionary: bytes):
+    """Rows (doc_id, text) as (doc_id, n_tokens, frame)."""
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        serialize = _serialized(*received(sent), kind)
+        spec, vocabulary = received(sent)
+        known = WordIds(_library(spec))
         shared = zstandard.ZstdCompressionDict(dictionary)
-        compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
+        shared.precompute_compress(level=LEVEL)
+        compressor = zstandard.ZstdCompressor(dict_data=shared)
+        for batch in batches:
+            for first, last, ids, counts in encode_texts(batch.column(1), vocabulary, known):
+                frames = [compressor.compress(d) for d in _documents(ids, counts, kind)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, last - first),
+                        pa.array(counts + 1, pa.int64()),
+                        pa.array(frames, pa.binary()),
+                    ],
+                    ["doc_id", "n_tokens", "frame"],
+                )
+
+    return frame
+
+
+def _packed(name: str):
+    """Rows (part, doc_id, n_tokens, frame), in order, as packs."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, size, frames, docs, part = 0, 0, [], [], 0
+        index_type = pa.list_(pa.struct([
+            ("doc_id", pa.int64()), ("offset", pa.int64()), ("length", pa.int32()),
+            ("n_tokens", pa.int64()),
+        ]))
 
         def packed() -> pa.RecordBatch:
             columns = [
                 [part], [number], [sum(d["n_tokens"] for d in docs)], [name], [b"".join(frames)],
-            ]
+            ]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.binary()]
-            index = pa.array([docs], pa.list_(pa.struct([
-                ("doc_id", pa.int64()), ("offset", pa.int64()), ("length", pa.int32()),
-                ("n_tokens", pa.int64()),
-            ])))
             columns = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             names = ["part", "pack", "n_tokens", "dictionary", "payload", "docs"]
-            return pa.RecordBatch.from_arrays([*columns, index], names)
+            return pa.RecordBatch.from_arrays([*columns, pa.array([docs], index_type)], names)
 
         for batch in batches:
-            parts, ids = batch.column(0), batch.column(1)
-            for row, data, n in serialize(batch.column(2)):
-                frame = compressor.compress(data)
-                part = parts[row].as_py()
-                docs.append({
-                    "doc_id": ids[row].as_py(), "offset": size, "length": len(frame),
-                    "n_tokens": n,
-                })
+            columns = [c.to_pylist() for c in batch.columns]
+            for part, doc_id, n, frame in zip(*columns, strict=True):
+                docs.append({"doc_id": doc_id, "offset": size, "length": len(frame), "n_tokens": n})
                 frames.append(frame)
                 size += len(frame)
                 if size >= PACK_BYTES or len(docs) >= PACK_DOCUMENTS:
@@ -129,9 +171,10 @@ def _packed(sent, kind: str, dictionary: bytes, name: str):
     return pack
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str) -> None:
+def write_tokens(docs: DataFrame, path: str, vocabulary: str, work: Work) -> None:
     """Encode each whole text with the tokenizers library, append id ``END``, and write all
-    ids to the folder ``path``, documents in ascending order of doc_id.
+    ids to the folder ``path``, documents in ascending order of doc_id. What is sorted are the
+    compressed frames.
 
     The library encodes each distinct word of a task once: byte-level BPE works word by word.
     A null text has no ids but the end. A null doc_id comes first. Rows with the same doc_id are
@@ -143,21 +186,24 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str) -> None:
     loaded = load_vocabulary(vocabulary)
     kind = "<u2" if len(loaded.piece_offsets) <= 2**16 else "<u4"
     sent = send(spark, (spec, loaded))
-    docs = docs.select("doc_id", F.col("text").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
 
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(max(docs.count(), 1)))
     chosen = docs.filter(hashed < SAMPLE_DOCUMENTS).select("text").limit(SAMPLE_DOCUMENTS)
-    samples = [r["data"] for r in chosen.mapInArrow(_samples(sent, kind), "data binary").collect()]
-    dictionary = train_dictionary(samples)
+    samples = piped(chosen, [_samples(sent, kind)], "data binary").collect()
+    dictionary = train_dictionary([r["data"] for r in samples])
     name = hashlib.sha256(dictionary).hexdigest()
     rows = [(name, int(kind[-1]), dictionary)]
     spark.createDataFrame(rows, "hash string, width int, data binary").coalesce(1).write.parquet(
         f"{path}/dictionary"
     )
-    # The text's hash keeps rows with one doc_id from being a single range.
-    ranged = docs.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id")
-    parts = ranged.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    parts.mapInArrow(_packed(sent, kind, dictionary, name), PACKS).write.parquet(f"{path}/packs")
+    frame = _framed(sent, kind, dictionary)
+    frames = piped(docs, [frame], "doc_id bigint, n_tokens bigint, frame binary")
+    frames = work.write(frames, "frames")
+    # The frame's hash keeps rows with one doc_id from being a single range.
+    ranged = frames.repartitionByRange("doc_id", F.xxhash64("frame")).sortWithinPartitions("doc_id")
+    parts = ranged.select(F.spark_partition_id().alias("part"), "doc_id", "n_tokens", "frame")
+    piped(parts, [_packed(name)], PACKS).write.parquet(f"{path}/packs")
 
 
 def train_dictionary(samples: list[bytes]) -> bytes:
@@ -217,10 +263,12 @@ def _dictionary(spark: SparkSession, path: str) -> tuple[bytes, int]:
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """All documents of a folder: part, pack, doc_id, the ids before it in its pack, and ids."""
-    packs = spark.read.parquet(f"{path}/packs").select("part", "pack", "payload", "docs")
-    return packs.mapInArrow(_unpack, FRAMES).mapInArrow(
-        _decompressed(*_dictionary(spark, path)), DOCUMENTS
-    )
+    steps = [_unpack, _decompressed(*_dictionary(spark, path))]
+    return piped(_payloads(spark, path), steps, DOCUMENTS)
+
+
+def _payloads(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/packs").select("part", "pack", "payload", "docs")
 
 
 def read_documents(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
@@ -235,10 +283,9 @@ def read_documents(spark: SparkSession, path: str, wanted: DataFrame) -> DataFra
         .agg(F.collect_list("d").alias("docs"))
     )
     cut = packs.select("part", "pack", "payload").join(index, ["part", "pack"])
-    frames = cut.select("part", "pack", "payload", "docs").mapInArrow(_unpack, FRAMES)
-    return frames.mapInArrow(_decompressed(*_dictionary(spark, path)), DOCUMENTS).select(
-        "doc_id", "ids"
-    )
+    steps = [_unpack, _decompressed(*_dictionary(spark, path))]
+    found = piped(cut.select("part", "pack", "payload", "docs"), steps, DOCUMENTS)
+    return found.select("doc_id", "ids")
 
 
 def starts(spark: SparkSession, path: str) -> DataFrame:
@@ -267,7 +314,9 @@ def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def checksums(documents: DataFrame) -> DataFrame:
-    """Number of ids and their crc32 as little-endian 32-bit integers, in place of the ids."""
+def read_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """Like ``read_tokens``, with the number of ids and their crc32 as little-endian 32-bit
+    integers in place of the ids."""
+    steps = [_unpack, _decompressed(*_dictionary(spark, path)), _checksums]
     kept = "part int, pack int, doc_id bigint, before bigint"
-    return documents.mapInArrow(_checksums, f"{kept}, n_tokens bigint, ids_crc32 bigint")
+    return piped(_payloads(spark, path), steps, f"{kept}, n_tokens bigint, ids_crc32 bigint")
