@@ -23,6 +23,9 @@ MIN_SCORE = 0.35
 SHINGLE, PERCENT = 5, 80
 
 ROW = "_pipeline_row"
+# Up to so many row numbers (some 50 MB) are sent to all tasks, so that the texts stay where they
+# are; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -31,7 +34,8 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    return docs.join(dropped, ROW, "left_anti").drop(ROW)
+    few = dropped.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(dropped) if few else dropped, ROW, "left_anti").drop(ROW)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
