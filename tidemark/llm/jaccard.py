@@ -26,8 +26,9 @@ TOKEN_BITS = 56
 # Members of a short list, and sets and shingles of a cluster, that one block holds.
 LIST_BLOCK = 1024
 SET_BLOCK, TOKEN_BLOCK = 512, 1 << 20
-# A bitmap has at least as many bits as the set has shingles, within these bounds.
-LEAST_BITS, MOST_BITS = 64, 2048
+# A bitmap has at least half as many bits as the set has shingles, within these bounds. Sets
+# without relation then differ in about half the bits, far more than similar sets may.
+LEAST_BITS, MOST_BITS = 256, 1 << 14
 # Weight of a probe against a step of the merge (DivideSkip).
 PROBE = 1.0
 
@@ -60,7 +61,7 @@ def bitmap(tokens: np.ndarray) -> bytes:
     """One bit per slot of the set's shingles: whether their number there is odd. Two sets
     differ in at least as many shingles as their bitmaps do in bits."""
     bits = LEAST_BITS
-    while bits < min(len(tokens), MOST_BITS):
+    while bits < min(len(tokens) / 2, MOST_BITS):
         bits *= 2
     odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
