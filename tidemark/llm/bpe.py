@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import packed, piped, received, send, unpacked
-from tidemark.llm.words import CHUNK, Hasher, chunks, list_column
+from tidemark.llm.words import Hasher, chunks, list_column
 
 # Words longer than this are hashed by another function than the running sum.
 LONG_WORD = 256
@@ -261,7 +261,7 @@ def encode_texts(
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Ranges of rows with the flat ids and number of ids of each; a null text has none."""
     special = regex.compile("|".join(map(regex.escape, sorted(v.specials, key=len)[::-1])))
-    for first, last, data, offsets in chunks(texts, CHUNK // 2):
+    for first, last, data, offsets in chunks(texts):
         text = data.tobytes().decode()
         codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
         widths = np.ones(len(codes), dtype=np.int64)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 PIECE = 1 << 18
 # Any odd numbers do; all hashes of a job must use the same ones.
 BASE = 0x9E3779B97F4A7C15
