@@ -18,9 +18,6 @@ from tidemark.llm.queries import table, vocabulary
 from tidemark.llm.secrets import redact_secrets
 from tidemark.llm.shared import workspace
 
-# A document goes if no language is found, or if the best one is hardly surer than the others:
-# with two families of two languages, a score is 0.25 at least. Texts in two languages stay.
-MIN_SCORE = 0.26
 SHINGLE, PERCENT = 5, 80
 
 ROW = "_pipeline_row"
@@ -40,11 +37,13 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language is found, with that language."""
+    """Keep documents in one or two learned languages, with the language found.
+
+    The score does not decide: the better of two languages has half of the chances at least,
+    however little a text is like either.
+    """
     model = learn(docs.select(F.col("doc_id").alias("id"), "lang", "text"))
-    found = identify(docs, model).filter(
-        (F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)
-    )
+    found = identify(docs, model, evidence=True).filter((F.col("lang_pred") != "und") & F.col("known"))
     return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 

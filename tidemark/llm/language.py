@@ -40,6 +40,12 @@ SIZES = (1, 2, 3, 4)
 # Rows whose counts a task holds at once.
 ROWS = 256
 ROUNDS, PENALTY = 300, 1e-4
+# Evidence that a text is of a learned language: share of even chances mixed into a language's
+# n-grams, and n-grams after which a longer text's likelihood is no surer.
+SMOOTH, ENOUGH = 0.02, 200
+# A text is unknown if it lies below its language's median by so many times as this quantile of
+# the language's labelled rows does.
+QUANTILE, MARGIN = 0.01, 2.5
 LETTERS = lowered_table(bytes([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
 
@@ -86,11 +92,20 @@ class Machine:
     bias: float
 
 
+@dataclass(frozen=True)
+class Evidence:
+    """Chances of n-grams (a row per language), and the least fit of a text of each language."""
+
+    chances: np.ndarray
+    limits: np.ndarray
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
     families: list[Machine]
     within: list[Machine]
+    evidence: Evidence
 
 
 def fit_machine(x: np.ndarray, positive: np.ndarray, yes: str, no: str) -> Machine:
@@ -116,8 +131,70 @@ def fit_machine(x: np.ndarray, positive: np.ndarray, yes: str, no: str) -> Machi
     return Machine(yes, no, weights, float(b - mean @ weights))
 
 
-def fit(x: np.ndarray, languages: list[str]) -> Model:
-    """Machines between all pairs of families, and between all pairs of languages in each."""
+def _gram_chances(x: np.ndarray, names: np.ndarray, kinds: list[str]) -> np.ndarray:
+    mean = [x[names == k].mean(axis=0, dtype=np.float64) for k in kinds]
+    return (1 - SMOOTH) * np.array(mean).reshape(len(kinds), FEATURES) + SMOOTH / FEATURES
+
+
+def fitness(x: np.ndarray, grams: np.ndarray, chances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The likeliest language of each row, and how far the row's likelihood lies above what is
+    expected of that language, in units that allow a short text more.
+
+    The likelihood is that of the best language or of an even mixture of the best two, so a
+    text in two languages is as likely as a text in one.
+    """
+    logs = np.log(chances)
+    expected = (chances * logs).sum(axis=1)
+    alone = x @ logs.T
+    order = np.argsort(-alone, axis=1)
+    first = order[:, 0]
+    best = alone[np.arange(len(x)), first]
+    if len(chances) > 1:
+        pairs, at = np.unique(order[:, :2], axis=0, return_inverse=True)
+        for i, (a, b) in enumerate(pairs):
+            rows = at.reshape(-1) == i
+            both = x[rows] @ np.log((chances[a] + chances[b]) / 2)
+            best[rows] = np.maximum(best[rows], both)
+    unit = np.sqrt(1 / np.maximum(grams, 1) + 1 / ENOUGH)
+    return first, (best - expected[first]) / unit
+
+
+def fit_evidence(
+    x: np.ndarray, grams: np.ndarray, names: np.ndarray, held: np.ndarray, kinds: list[str]
+) -> Evidence:
+    """Limits come from rows that are not held out, each under chances of the other half of
+    them, so that no row speaks for itself. A language without such rows has no limit."""
+    half = np.zeros(len(names), dtype=bool)
+    for k in kinds:
+        half[np.flatnonzero((names == k) & ~held)[::2]] = True
+    fits = np.full(len(names), np.nan)
+    for side, other in ((half, ~half & ~held), (~half & ~held, half)):
+        known = [k for k in kinds if (names[other] == k).any()]
+        if known:
+            chances = _gram_chances(x[other], names[other], known)
+            rows = np.flatnonzero(side)
+            for at in range(0, len(rows), ROWS):
+                some = rows[at : at + ROWS]
+                fits[some] = fitness(x[some], grams[some], chances)[1]
+    limits = np.full(len(kinds), -np.inf)
+    for i, k in enumerate(kinds):
+        own = fits[(names == k) & ~np.isnan(fits)]
+        if len(own):
+            low, middle = np.quantile(own, [QUANTILE, 0.5])
+            limits[i] = middle - MARGIN * (middle - low)
+    return Evidence(_gram_chances(x, names, kinds), limits)
+
+
+def is_known(x: np.ndarray, grams: np.ndarray, evidence: Evidence) -> np.ndarray:
+    """Whether each row is likely enough under the learned languages."""
+    language, fits = fitness(x, grams, evidence.chances)
+    return fits >= evidence.limits[language]
+
+
+def fit(x: np.ndarray, languages: list[str], grams: np.ndarray, held: np.ndarray) -> Model:
+    """Machines between all pairs of families, and between all pairs of languages in each;
+    evidence of the languages. ``grams`` is the number of n-grams of each row, ``held`` whether
+    it is held out from setting limits."""
     names = np.array(languages, dtype=object)
     of = np.array([family(n) for n in languages], dtype=object)
 
@@ -132,7 +209,8 @@ def fit(x: np.ndarray, languages: list[str]) -> Model:
     within = []
     for group in sorted(set(of)):
         within += pairs(names, [k for k in kinds if family(k) == group])
-    return Model(kinds, pairs(of, sorted(set(of))), within)
+    evidence = fit_evidence(x, grams, names, held, kinds)
+    return Model(kinds, pairs(of, sorted(set(of))), within, evidence)
 
 
 def _vote(
@@ -171,10 +249,15 @@ def predict(x: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, last, data, offsets in chunks(batch.column(1), rows=ROWS):
-            rows = frequencies(ngram_counts(data, offsets)).astype(np.float32)
+            counts = ngram_counts(data, offsets)
+            rows = frequencies(counts).astype(np.float32)
             names = batch.column(0).slice(first, last - first)
             vectors = pa.array([r.tobytes() for r in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([names, vectors], ["lang", "features"])
+            held = batch.column(2).slice(first, last - first)
+            yield pa.RecordBatch.from_arrays(
+                [names, vectors, pa.array(counts.sum(axis=1)), held],
+                ["lang", "features", "grams", "held"],
+            )
 
 
 def learn(rows: DataFrame) -> Model:
@@ -190,16 +273,19 @@ def learn(rows: DataFrame) -> Model:
     for r in known:
         size = F.when(F.col("lang") == r["lang"], F.lit(r["n"])).otherwise(size)
     chosen = F.pmod(F.xxhash64("id"), size) < SAMPLE_PER_LANGUAGE
-    sample = rows.filter(chosen).select("lang", "text")
-    found = piped(sample, [_features], "lang string, features binary").toArrow()
+    sample = rows.filter(chosen).select("lang", "text", held_out(F.col("id")).alias("held"))
+    schema = "lang string, features binary, grams double, held boolean"
+    found = piped(sample, [_features], schema).toArrow()
     languages = found.column("lang").to_pylist()
     vectors = b"".join(v.as_py() for v in found.column("features"))
+    grams = found.column("grams").to_numpy()
+    held = found.column("held").to_numpy().astype(bool)
     del found
     x = np.frombuffer(vectors, dtype=np.float32).reshape(len(languages), FEATURES)
-    return fit(x, languages)
+    return fit(x, languages, grams, held)
 
 
-def _predicted(sent):
+def _predicted(sent, evidence: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = received(sent)
         for batch in batches:
@@ -207,33 +293,48 @@ def _predicted(sent):
                 lettered = batch.column(1).slice(first, last - first).to_numpy(zero_copy_only=False)
                 languages = np.full(last - first, UNDETERMINED, dtype=object)
                 scores = np.zeros(last - first)
+                known = np.zeros(last - first, dtype=bool)
                 if model.languages and lettered.any():
-                    x = frequencies(ngram_counts(data, offsets))[lettered]
+                    counts = ngram_counts(data, offsets)[lettered]
+                    x = frequencies(counts)
                     languages[lettered], scores[lettered] = predict(x, model)
+                    if evidence:
+                        known[lettered] = is_known(x, counts.sum(axis=1), model.evidence)
                 row = batch.column(0).slice(first, last - first)
-                yield pa.RecordBatch.from_arrays(
-                    [row, pa.array(languages, pa.string()), pa.array(scores)],
-                    ["_row", "lang_pred", "score"],
-                )
+                columns = [row, pa.array(languages, pa.string()), pa.array(scores)]
+                names = ["_row", "lang_pred", "score"]
+                if evidence:
+                    columns.append(pa.array(known))
+                    names.append("known")
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def identify(
+    docs: DataFrame, model: Model, text_col: str = "text", evidence: bool = False
+) -> DataFrame:
     """Add lang_pred and score (0 to 1) to each row, from its whole text alone.
 
     A null text, or one without a letter, is ``und`` with score 0; so is every text if nothing
     was learned. Repeated rows stay; columns with the names of the result are replaced.
+
+    With ``evidence``, ``known`` is added: whether the text's n-grams are likely enough under
+    the learned languages, compared with their labelled rows. It does not depend on how many
+    languages or families there are. A few letters prove little and are known; so is a text
+    that is likeliest in a language of which a single row was learned.
     """
+    added = ["lang_pred", "score"] + ["known"] * evidence
     lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(
-        packed(docs, ["lang_pred", "score"]).alias("_row"),
+        packed(docs, added).alias("_row"),
         lettered.alias("_lettered"),
         F.col(text_col).alias("_text"),
     )
     schema = f"_row {rows.schema['_row'].dataType.simpleString()}, lang_pred string, score double"
-    found = piped(rows, [_predicted(send(docs.sparkSession, model))], schema)
-    return found.select(*unpacked(found), "lang_pred", "score")
+    schema += ", known boolean" * evidence
+    found = piped(rows, [_predicted(send(docs.sparkSession, model), evidence)], schema)
+    return found.select(*unpacked(found), *added)
 
 
 def held_out(doc_id: Column) -> Column:
