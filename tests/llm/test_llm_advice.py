@@ -6,7 +6,9 @@ import string
 import pytest
 
 import corpus_pipeline
+from tidemark.llm import secrets
 from tidemark.llm.queries import table
+from tidemark.llm.shared import workspace
 
 FOREIGN = [
     "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on "
@@ -40,3 +42,28 @@ def test_language_stage_rejects_unlearned_texts(spark, languages):
     assert not left & {r[0] for r in odd}
     assert {r[0] for r in fine} <= left
     assert len(left & {r[0] for r in clean}) >= 0.998 * len(clean)
+
+
+def test_secrets_in_runs_of_both_alphabets(spark):
+    made = random.Random(5)
+    plain = string.ascii_letters + string.digits
+    url = "".join(made.choices(plain + "-_", k=60))
+    std = "".join(made.choices(plain + "+/", k=60))
+    joint = "".join("".join(made.choices(plain, k=8)) + "/-"[i % 2] for i in range(14))
+    assert set(url) & set("-_") and set(std) & set("+/")
+    texts = [
+        f"see https://é.example/reset/{url} now", f"it is key_{std} here",
+        f"both /{url}/key-{std}, and more", joint, "a/long/path_of/some-plain/words_and/so-on_it/goes",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    with workspace(spark) as work:
+        rows = {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(frame, work).collect()}
+    spans = [{t[int(a) : int(b)] for k, a, b in (s.split(":") for s in rows[i].split(",") if s)}
+             for i, t in enumerate(texts)]
+    assert url in spans[0] and std in spans[1] and joint in spans[3] and not spans[4]
+    assert url in spans[2] and std in spans[2]
+    clean = [r["text"] for r in secrets.redact_secrets(frame).orderBy("doc_id").collect()]
+    assert clean[0] == "see https://é.example/reset/[SECRET] now"
+    assert clean[1] == "it is key_[SECRET] here"
+    assert url not in clean[2] and std not in clean[2] and clean[2].endswith(", and more")
+    assert clean[3:] == ["[SECRET]", texts[4]]

@@ -16,8 +16,11 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # AKIA[A-Z0-9]+ of 20 characters or more
 HEX = r"[0-9a-f]{24,}"  # [0-9a-f]+ of 24 characters or more
 ASSIGN_LEAST = 6
 
-# Tokens that are tested: runs of characters that encodings use.
+# Tokens that are tested: runs of characters that encodings use. A run that mixes the signs of
+# the two base64 alphabets is tested in parts, split at the signs of either one.
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
+LEAST = 20
+SIGNS = [r"[+/]", r"[_-]"]
 # Encodings, smallest alphabet first. Digits alone are no encoding of secrets.
 ENCODINGS = [
     (r"^[0-9]+$", ""),
@@ -31,6 +34,7 @@ ENCODINGS = [
     (r"^[A-Za-z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     (r"^[A-Za-z0-9+/]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     (r"^[A-Za-z0-9_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    (r"^[A-Za-z0-9+/_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"),
 ]
 # How often two characters of ordinary text are the same, in letters and in what looks like hex.
 COINCIDENCE, HEX_COINCIDENCE = 0.0667, 0.2
@@ -223,10 +227,62 @@ def text_chance(token: Column) -> Column:
     return let(_alphabet(token), tested)
 
 
+def run_parts(run: Column) -> Column:
+    """What is tested of a run of token characters, as (at, end, value): place in the run and
+    chance to be text. A run that holds signs of both base64 alphabets may be a secret of one of
+    them beside a path or a name, so its longest parts within each alphabet are tested; of
+    parts that overlap, all but the one least like text get chance 1. If no part is long
+    enough, the whole run is tested, and so is any other run.
+    """
+    def part(at: Column, token: Column) -> Column:
+        return F.struct(at.cast("long").alias("at"), token.alias("token"))
+
+    def split(sign: str) -> Column:
+        return let(F.split(run, sign, -1), lambda ps: F.filter(
+            F.zip_with(
+                _before(F.transform(ps, lambda p: F.length(p).cast("long") + 1)), ps, part
+            ),
+            lambda p: F.length(p["token"]) >= LEAST,
+        ))
+
+    mixed = run.rlike(SIGNS[0]) & run.rlike(SIGNS[1])
+    whole = F.array(part(F.lit(0), run))
+    several = let(F.concat(*[split(sign) for sign in SIGNS]), lambda ps: (
+        F.when(F.size(ps) > 0, ps).otherwise(whole)
+    ))
+    tested = F.transform(F.when(mixed, several).otherwise(whole), lambda p: F.struct(
+        text_chance(p["token"]).alias("value"),
+        p["at"].alias("at"),
+        (p["at"] + F.length(p["token"])).cast("long").alias("end"),
+    ))
+
+    def apart(done: Column, p: Column) -> Column:
+        covered = F.exists(
+            done, lambda q: (q["value"] < 1) & (q["at"] < p["end"]) & (p["at"] < q["end"])
+        )
+        value = F.when(covered, F.lit(1.0)).otherwise(p["value"])
+        return F.concat(done, F.array(F.struct(
+            p["at"].alias("at"), p["end"].alias("end"), value.alias("value")
+        )))
+
+    none = F.array().cast("array<struct<at:bigint,end:bigint,value:double>>")
+    return F.aggregate(F.array_sort(tested), none, apart)
+
+
+def _runs(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+
 def token_spans(text: Column) -> Column:
     """Spans of all tokens that are long enough to be tested, with their chance to be text."""
-    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    return _spans(text, TOKEN, "random", F.transform(tokens, text_chance))
+    runs = _spans(text, TOKEN, "random", F.transform(_runs(text), lambda r: F.lit(0.0)))
+    return F.flatten(F.zip_with(runs, F.transform(_runs(text), run_parts), lambda s, parts: (
+        F.transform(parts, lambda p: F.struct(
+            (s["start"] + p["at"]).alias("start"), s["order"].alias("order"),
+            (s["start"] + p["end"]).alias("end"), s["kind"].alias("kind"),
+            p["value"].alias("value"),
+        ))
+    )))
 
 
 def limit(tokens: DataFrame) -> float:
@@ -293,10 +349,12 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET
     the random tokens of what is left. Rows and other columns stay as they are; a null text
     stays null."""
 
-    def replaced(text: Column, pattern: str, secret) -> Column:
+    def marked(match: Column, secret: Column) -> Column:
+        return F.when(secret, F.lit(mark)).otherwise(match)
+
+    def replaced(text: Column, pattern: str, secret, put=marked) -> Column:
         matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        told = secret(text)
-        marks = F.zip_with(matches, told, lambda m, s: F.when(s, F.lit(mark)).otherwise(m))
+        marks = F.zip_with(matches, secret(text), put)
         whole = F.array_join(
             F.flatten(F.zip_with(
                 F.split(text, pattern, -1), marks,
@@ -320,15 +378,31 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET
             replaced(a, ACCESS, always(ACCESS)), lambda b: replaced(b, HEX, always(HEX))
         ))
 
-    def chances(t: Column) -> Column:
-        return F.transform(F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0)), text_chance)
+    def parts(t: Column) -> Column:
+        return F.transform(_runs(t), run_parts)
 
     text = base(F.col(text_col))
-    tokens = docs.filter(F.col(text_col).rlike(TOKEN)).select(F.explode(let(text, chances)).alias("value"))
-    most = limit(tokens)
+    tokens = docs.filter(F.col(text_col).rlike(TOKEN)).select(
+        F.explode(F.flatten(let(text, parts))).alias("part")
+    )
+    most = limit(tokens.select("part.value"))
 
     def random(t: Column) -> Column:
-        return F.transform(chances(t), lambda c: c <= most)
+        return F.transform(parts(t), lambda ps: F.filter(ps, lambda p: p["value"] <= most))
+
+    def parts_marked(run: Column, secret: Column) -> Column:
+        start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("to"))
+
+        def put(done: Column, p: Column) -> Column:
+            gap = F.substr(run, (done["to"] + 1).cast("int"), (p["at"] - done["to"]).cast("int"))
+            return F.struct(
+                F.concat(done["out"], gap, F.lit(mark)).alias("out"), p["end"].alias("to")
+            )
+
+        def end(done: Column) -> Column:
+            return F.concat(done["out"], F.substr(run, (done["to"] + 1).cast("int")))
+
+        return F.aggregate(F.array_sort(secret), start, put, end)
 
-    clean = let(text, lambda t: replaced(t, TOKEN, random)) if most > 0 else text
+    clean = let(text, lambda t: replaced(t, TOKEN, random, parts_marked)) if most > 0 else text
     return docs.withColumn(text_col, F.when(F.col(text_col).isNotNull(), clean))
