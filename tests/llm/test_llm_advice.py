@@ -6,7 +6,7 @@ import string
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import secrets
+from tidemark.llm import chat, secrets
 from tidemark.llm.queries import table
 from tidemark.llm.shared import workspace
 
@@ -67,3 +67,52 @@ def test_secrets_in_runs_of_both_alphabets(spark):
     assert clean[1] == "it is key_[SECRET] here"
     assert url not in clean[2] and std not in clean[2] and clean[2].endswith(", and more")
     assert clean[3:] == ["[SECRET]", texts[4]]
+
+
+EVENTS = (
+    "conv_id bigint, turn int, kind string, role string, text string, call_id string, "
+    "name string, arguments string, needs array<string>"
+)
+
+
+def in_order(spark, rows):
+    frame = spark.createDataFrame(rows, EVENTS)
+    with workspace(spark) as work:
+        found = chat.format_chats(frame, {}, work).collect()
+    assert len(found) == len(rows)
+    return [(r["kind"], r["call_id"]) for r in sorted(found, key=lambda r: r["seq"])]
+
+
+def event(turn, kind, name, needs=None):
+    return (1, turn, kind, "assistant", "t", name, "f", None, needs)
+
+
+def test_long_chains_are_ordered(spark):
+    n = 200
+    rows = []
+    for i in range(n):  # Turns are the reverse of what the calls need.
+        rows.append(event(2 * (n - i) + 1, "call", f"c{i}", [f"c{i - 1}"] if i else None))
+        rows.append(event(2 * (n - i), "result", f"c{i}"))
+    expected = [(kind, f"c{i}") for i in range(n) for kind in ("call", "result")]
+    assert in_order(spark, rows) == expected
+    # The first call has a late turn, all others are in order.
+    rows = [event(10_000, "call", "c0"), event(1, "result", "c0")]
+    for i in range(1, n):
+        rows.append(event(2 * i, "call", f"c{i}", [f"c{i - 1}"]))
+        rows.append(event(2 * i + 1, "result", f"c{i}"))
+    assert in_order(spark, rows) == expected
+
+
+def test_only_cycles_keep_the_order_of_turns(spark):
+    rows = [
+        event(0, "result", "z"), event(1, "call", "z", ["y"]),
+        event(2, "result", "x"), event(3, "call", "x", ["y"]),
+        event(4, "call", "y", ["x"]), event(5, "result", "y"),
+        event(6, "result", "a"), event(7, "call", "a"),
+    ]
+    found = in_order(spark, rows)
+    cycle = [e for e in found if e[1] in ("x", "y")]
+    assert cycle == [("result", "x"), ("call", "x"), ("call", "y"), ("result", "y")]
+    # What only follows a cycle, and what has nothing to do with it, is put in order.
+    assert found.index(("result", "y")) < found.index(("call", "z")) < found.index(("result", "z"))
+    assert found.index(("call", "a")) < found.index(("result", "a"))

@@ -9,12 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.components import components
 from tidemark.llm.shared import Work, numbered, packed, piped, unpacked
 
 MESSAGE, CALL, RESULT = "message", "call", "result"
-# Corrections of the order go along chains of events that lie in the wrong order; a chain of
-# more corrections than this is taken for a cycle.
-ROUNDS = 64
+# Edges whose places a task makes at once.
+EDGES = 10_000
 
 # Types of JSON schemas.
 TYPES = {
@@ -96,35 +96,124 @@ def _serialized(schemas: dict[str, dict]):
     return serialize
 
 
+def _cycles(after: dict[int, list[int]]) -> dict[int, int]:
+    """A number for the cycle of each vertex: those that reach each other have the same one, and
+    a vertex on no cycle has its own (Tarjan, without recursion)."""
+    index, low, cycle, open_, path = {}, {}, {}, set(), []
+    for start in after:
+        if start in index:
+            continue
+        index[start] = low[start] = len(index)
+        path.append(start)
+        open_.add(start)
+        stack = [(start, iter(after[start]))]
+        while stack:
+            u, rest = stack[-1]
+            for v in rest:
+                if v not in index:
+                    index[v] = low[v] = len(index)
+                    path.append(v)
+                    open_.add(v)
+                    stack.append((v, iter(after[v])))
+                    break
+                if v in open_:
+                    low[u] = min(low[u], index[v])
+            else:
+                stack.pop()
+                if stack:
+                    low[stack[-1][0]] = min(low[stack[-1][0]], low[u])
+                if low[u] == index[u]:
+                    while True:
+                        v = path.pop()
+                        open_.discard(v)
+                        cycle[v] = low[u]
+                        if v == u:
+                            break
+    return cycle
+
+
+def places(edges: list[tuple[int, int]], turns: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """Rank and depth of each vertex: the latest turn among the vertex and those it depends on,
+    and the longest way from there. Edges between vertices of one cycle do not count; all
+    others do, also those to and from a cycle."""
+    after = {v: [] for v in turns}
+    for u, v in edges:
+        after[u].append(v)
+    cycle = _cycles(after)
+    waits = dict.fromkeys(turns, 0)
+    for u, v in edges:
+        waits[v] += cycle[u] != cycle[v]
+    at = {v: (turn, 0) for v, turn in turns.items()}
+    ready = [v for v, n in waits.items() if not n]
+    while ready:
+        u = ready.pop()
+        rank, depth = at[u]
+        for v in after[u]:
+            if cycle[u] != cycle[v]:
+                at[v] = max(at[v], (rank, depth + 1))
+                waits[v] -= 1
+                if not waits[v]:
+                    ready.append(v)
+    return at
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of the vertices of edges (root, u, v, from, to), of which those of a component
+    follow each other; ``from`` and ``to`` are the turns of ``u`` and ``v``."""
+
+    def made(edges, turns) -> pa.RecordBatch:
+        at = places(edges, turns)
+        keys = pa.array(at.keys(), pa.int64())
+        ranks, depths = (pa.array([p[i] for p in at.values()], pa.int64()) for i in (0, 1))
+        return pa.RecordBatch.from_arrays([keys, ranks, depths], ["_key", "_rank", "_depth"])
+
+    last, edges, turns = None, [], {}
+    for batch in batches:
+        for root, u, v, turn_u, turn_v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            # Components are taken together until they are many, as a batch has its price.
+            if root != last and len(edges) >= EDGES:
+                yield made(edges, turns)
+                edges, turns = [], {}
+            last = root
+            edges.append((u, v))
+            turns[u], turns[v] = turn_u, turn_v
+    if edges:
+        yield made(edges, turns)
+
+
 def _ordered(events: DataFrame, edges: DataFrame, work: Work) -> DataFrame:
     """Add ``_rank`` and ``_depth``: after sorting by them, each event comes after those it
-    depends on. An event keeps its turn as its rank unless something it needs comes later."""
-    keys = events.select(
-        "_key", F.col("_turn").alias("_rank"), F.lit(0).cast("long").alias("_depth")
+    depends on, but for events of one cycle, which need each other. An event keeps its turn as
+    its rank unless something it needs comes later.
+
+    Only components of the dependencies that hold an edge against the turns are gone through,
+    each by one task, which holds its keys and turns.
+    """
+    turns = events.select("_key", "_turn")
+    edges = work.write(
+        edges.distinct()
+        .join(turns.select(F.col("_key").alias("u"), F.col("_turn").alias("from")), "u")
+        .join(turns.select(F.col("_key").alias("v"), F.col("_turn").alias("to")), "v")
+        .select("u", "v", "from", "to"),
+        "edges",
+    )
+    late = edges.filter(F.col("from") >= F.col("to"))
+    rank, depth = F.col("_turn").alias("_rank"), F.lit(0).cast("long").alias("_depth")
+    if late.isEmpty():
+        return events.select("*", rank, depth)
+    roots = components(edges.select(F.col("u").alias("a"), F.col("v").alias("b")), work, "order")
+    roots = work.write(roots.select(F.col("v").alias("u"), "root"), "order-roots")
+    wrong = late.join(roots, "u").select("root").distinct()
+    inside = edges.join(roots.join(wrong, "root"), "u").select("root", "u", "v", "from", "to")
+    inside = inside.repartition("root").sortWithinPartitions("root")
+    schema = "_key bigint, _rank bigint, _depth bigint"
+    moved = work.write(piped(inside, [_placed], schema), "order-places")
+    moved = moved.select("_key", F.struct("_rank", "_depth").alias("_at"))
+    return events.join(moved, "_key", "left").select(
+        *events.columns,
+        F.coalesce("_at._rank", "_turn").alias("_rank"),
+        F.coalesce("_at._depth", F.lit(0).cast("long")).alias("_depth"),
     )
-    edges = work.write(edges, "edges")
-    for step in range(ROUNDS):
-        before = keys.select(
-            F.col("_key").alias("u"), F.struct("_rank", (F.col("_depth") + 1).alias("_depth")).alias("at")
-        )
-        after = keys.select(F.col("_key").alias("v"), F.struct("_rank", "_depth").alias("now"))
-        late = (
-            edges.join(before, "u")
-            .join(after, "v")
-            .filter(F.col("at") > F.col("now"))
-            .groupBy(F.col("v").alias("_key"))
-            .agg(F.max("at").alias("at"))
-        )
-        late = work.write(late, f"late-{step}")
-        if late.isEmpty():
-            break
-        keys = keys.join(late, "_key", "left").select(
-            "_key",
-            F.coalesce("at._rank", "_rank").alias("_rank"),
-            F.coalesce("at._depth", "_depth").alias("_depth"),
-        )
-        keys = work.write(keys, f"keys-{step}")
-    return events.join(keys, "_key")
 
 
 def format_chats(events: DataFrame, schemas: dict[str, dict], work: Work) -> DataFrame:
@@ -138,7 +227,8 @@ def format_chats(events: DataFrame, schemas: dict[str, dict], work: Work) -> Dat
 
     Results join calls by (conv_id, call_id); of calls with the same identifier, the one of the
     lowest turn is linked, and the others are as if without identifier. Events are in order of
-    turns, but a result comes after its call, and a call after the results it needs. Events
+    turns, but a result comes after its call, and a call after the results it needs, however
+    long the chain; only what events of one cycle need of each other does not count. Events
     with a null conv_id or call_id are never linked; a null turn comes first. Repeated rows
     stay. Columns named like the result are replaced; others are kept. A large conversation is
     sorted by several tasks, and its lines stay rows.
