@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 ASCII_LOWER = {i: i + 32 for i in range(65, 91)}
@@ -143,3 +144,53 @@ def judged(url, rules=RULES):
         return host, path, None, "allow"
     _, rule, action = max(fits)
     return host, path, rule, action
+
+
+def trie(conversations):
+    """Nodes of {conversation: [(role, text), …]} as (conv_id, depth, parent_conv_id, n_convs,
+    n_children, n_leaves, saved_tokens, ids that end there)."""
+    members = {}
+    for conv, turns in conversations.items():
+        for depth in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:depth]), []).append(conv)
+    rows = []
+    for prefix, own in members.items():
+        depth = len(prefix)
+        below = {p: m for p, m in members.items() if p[:depth] == prefix}
+        parents = {p[:-1] for p in members if p}
+        rows.append((
+            min(own), depth, min(members[prefix[:-1]]) if prefix else None, len(own),
+            sum(len(p) == depth + 1 for p in below), sum(p not in parents for p in below),
+            sum((len(m) - 1) * len(p[-1][1]) for p, m in below.items() if p),
+            ",".join(map(str, sorted(c for c in own if len(conversations[c]) == depth))),
+        ))
+    return rows
+
+
+def vector_codes(rows, parts=4, entries=256, rounds=4, scale=1024):
+    """Of (id, vector, label) rows: (id, code, error, label_error) each, and the codebooks."""
+    whole = [[math.floor(scale * x) for x in v] for _, v, _ in rows]
+    width = len(whole[0]) // parts
+    cut = [[v[p * width : (p + 1) * width] for p in range(parts)] for v in whole]
+    start = sorted(range(len(rows)), key=lambda r: (rows[r][0] is None, rows[r][0], rows[r][1]))
+    books = [[cut[r][p] for r in start[:entries]] for p in range(parts)]
+
+    def assign(p):
+        apart = lambda x, e: sum((a - b) ** 2 for a, b in zip(x, e, strict=True))
+        return [min((apart(v[p], e), n) for n, e in enumerate(books[p])) for v in cut]
+
+    for _ in range(rounds):
+        for p in range(parts):
+            held = {}
+            for v, (_, entry) in zip(cut, assign(p), strict=True):
+                held.setdefault(entry, []).append(v[p])
+            for entry, some in held.items():
+                books[p][entry] = [sum(c) // len(some) for c in zip(*some, strict=True)]
+    found = [assign(p) for p in range(parts)]
+    errors = [sum(f[r][0] for f in found) for r in range(len(rows))]
+    codes = ["".join(f"{f[r][1]:02x}" for f in found) for r in range(len(rows))]
+    by_label = {}
+    for (_, _, label), error in zip(rows, errors, strict=True):
+        by_label[label] = by_label.get(label, 0) + error
+    out = [(r[0], c, e, by_label[r[2]]) for r, c, e in zip(rows, codes, errors, strict=True)]
+    return out, books

@@ -24,8 +24,8 @@ def tokenizer():
     return Tokenizer.from_file(vocabulary())
 
 
-def test_eleven_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None
 
 

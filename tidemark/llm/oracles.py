@@ -169,10 +169,144 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed
 """
 
+# The bitwise CRC-32 of the decimal text of a number; SQL has no function of that name.
+CRC32 = """xor(4294967295::BIGINT, list_reduce(
+    list_transform(range(1, length({x}::VARCHAR) + 1), lambda i: ascii(substr({x}::VARCHAR, i, 1))::BIGINT),
+    lambda crc, byte: list_reduce(
+        [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda c, k: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END),
+        xor(crc, byte)),
+    4294967295::BIGINT))"""
+
+OP11 = f"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS base, {CRC32.format(x="conv_id")} % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+    SELECT c.conv_id, 0 AS own, t.pos, t.role, t.text
+    FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.h
+    UNION ALL
+    SELECT c.conv_id, 1, t.pos, t.role, t.text FROM convs c JOIN turns t USING (conv_id)
+    WHERE t.pos >= c.h
+), prefixes AS MATERIALIZED (
+    SELECT conv_id, 0 AS d, '' AS key, 0 AS chars FROM convs
+    UNION ALL
+    SELECT conv_id, row_number() OVER w, sha256(string_agg(said, '') OVER w), chars
+    FROM (SELECT *, length(text) AS chars, sha256(length(role) || ':' || role || text) AS said
+          FROM rebuilt)
+    WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos)
+), nodes AS MATERIALIZED (
+    SELECT d, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars
+    FROM prefixes GROUP BY d, key
+), hung AS MATERIALIZED (
+    SELECT n.*, p.key AS above_key, p.conv_id AS parent_conv_id
+    FROM nodes n
+    LEFT JOIN prefixes q ON q.conv_id = n.conv_id AND q.d = n.d - 1
+    LEFT JOIN nodes p ON p.d = q.d AND p.key = q.key
+), children AS (
+    SELECT d - 1 AS d, above_key AS key, count(*) AS n_children FROM hung WHERE d > 0 GROUP BY ALL
+), counted AS MATERIALIZED (
+    SELECT h.*, coalesce(n_children, 0) AS n_children FROM hung h LEFT JOIN children USING (d, key)
+), below AS (
+    SELECT q.d, q.key, sum((c.n_convs - 1) * c.chars) AS saved, count_if(c.n_children = 0) AS leaves
+    FROM counted c JOIN prefixes q ON q.conv_id = c.conv_id AND q.d <= c.d GROUP BY q.d, q.key
+), ended AS (
+    SELECT d, key, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+    FROM (SELECT * FROM prefixes QUALIFY d = max(d) OVER (PARTITION BY conv_id)) GROUP BY d, key
+)
+SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs,
+       n_children::BIGINT AS n_children, leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM counted JOIN below USING (d, key) LEFT JOIN ended USING (d, key)
+"""
+
+
+def _op12() -> str:
+    """Rounds of assignments and new entries, one after the other."""
+    steps = ["""
+WITH kept AS (
+    SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label,
+           list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT r, vec_id, label, p, list_slice(v, p * len(v) // 4 + 1, (p + 1) * len(v) // 4) AS x
+    FROM (SELECT *, unnest(range(4)) AS p FROM kept)
+), book0 AS MATERIALIZED (
+    SELECT p, r AS e, x AS c FROM parts WHERE r < 256
+)"""]
+    for k in range(5):
+        steps.append(f""", near{k} AS MATERIALIZED (
+    SELECT r, p, min({{'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))),
+                      'e': e}}) AS best
+    FROM parts JOIN book{k} USING (p) GROUP BY r, p
+)""")
+        if k == 4:
+            continue
+        steps.append(f""", sums{k} AS (
+    SELECT p, e, i, sum(x)::BIGINT AS s, count(*) AS n FROM (
+        SELECT p, best.e AS e, unnest(x) AS x, generate_subscripts(x, 1) AS i
+        FROM near{k} JOIN parts USING (r, p))
+    GROUP BY p, e, i
+), book{k + 1} AS MATERIALIZED (
+    SELECT p, e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN (
+        SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM sums{k} GROUP BY p, e
+    ) m USING (p, e)
+)""")
+    steps.append(""", coded AS (
+    SELECT r, vec_id, label, string_agg(format('{:02x}', best.e), '' ORDER BY p) AS code,
+           sum(best.d)::BIGINT AS error
+    FROM near4 JOIN parts USING (r, p) GROUP BY r, vec_id, label
+), books AS (
+    SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book4
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       codebooks_sha256
+FROM coded, books
+""")
+    return "".join(steps)
+
+
+OP13 = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, coalesce({SPACED.format(text=LOWER)}, []) AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 2 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+    FROM words
+), tokens AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS token FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id
+         AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM sets
+    UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), least AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
     "op3_ngram_jaccard": OP3,
     "op6_url_filters": OP6,
     "op9_chat_format": OP9,
     "op10_quality_rules": OP10,
+    "op11_prefix_trie": OP11,
+    "op12_vector_codes": _op12(),
+    "op13_hyperminhash": OP13,
 }

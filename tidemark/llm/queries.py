@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import round_trip
 from tidemark.llm.chat import CALL, MESSAGE, RESULT, format_chats
 from tidemark.llm.decontaminate import contamination
+from tidemark.llm.hyperminhash import near_copies
 from tidemark.llm.jaccard import link_documents
 from tidemark.llm.language import held_out, identify, learn
+from tidemark.llm.prefixes import node_digests, prefix_trie, turn_steps
 from tidemark.llm.quality import judge_quality
 from tidemark.llm.secrets import scan_secrets
 from tidemark.llm.shards import kd_shards
 from tidemark.llm.shared import workspace
 from tidemark.llm.tokens import read_checksums, starts, write_tokens
 from tidemark.llm.urls import judge_urls
+from tidemark.llm.vector_codes import compress_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -177,3 +180,48 @@ def op9_chat_format(spark, sf_dir):
 def op10_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge_quality(docs).drop("text", "clean_text")
+
+
+# Fixed values of the contract: conversations are rebuilt from the first turns of every hundredth
+# one, at most five of them.
+EVERY, LEADS = 100, 6
+
+
+def rebuilt(steps: DataFrame) -> DataFrame:
+    """Conversations that begin with the first turns of another one (see EVERY), and go on with
+    their own turns after as many."""
+    conv, pos = F.col("conv"), F.col("pos")
+    lead = F.pmod(F.crc32(F.encode(conv.cast("string"), "UTF-8")), F.lit(LEADS))
+    base = conv - conv % EVERY
+    firsts = steps.filter((pos < LEADS - 1) & (conv == base))
+    convs = steps.select("conv").distinct().select("conv", lead.alias("lead"), base.alias("base"))
+    heads = convs.join(firsts.withColumnRenamed("conv", "base"), "base").filter(pos < F.col("lead"))
+    had = firsts.groupBy("conv").agg(F.count(F.lit(1)).alias("had")).withColumnRenamed("conv", "base")
+    tails = steps.withColumns({"lead": lead, "base": base}).filter(pos >= F.col("lead"))
+    taken = F.least("lead", F.coalesce("had", F.lit(0)))
+    tails = tails.join(had, "base", "left").withColumn("pos", pos - F.col("lead") + taken)
+    return heads.select(steps.columns).unionByName(tails.select(steps.columns))
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    with workspace(spark) as work:
+        steps = work.write(turn_steps(table(spark, sf_dir, "conversations"), work), "steps")
+        turns = work.write(rebuilt(steps), "rebuilt")
+        return node_digests(prefix_trie(turns, steps.select("conv"), work)).checkpoint()
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    with workspace(spark) as work:
+        codes = compress_vectors(table(spark, sf_dir, "embeddings"), work)
+        rows = codes.rows.select("vec_id", "code", "error", "label_error")
+        return rows.withColumn("codebooks_sha256", F.lit(codes.digest())).checkpoint()
+
+
+@query
+def op13_hyperminhash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with workspace(spark) as work:
+        linked = near_copies(docs, work, size=2, percent=80)
+        return linked.select("doc_id", "n_shingles", "component_id", "kept").checkpoint()
