@@ -122,6 +122,11 @@ ORACLES: dict[str, str] = {
              batch_ref, count(*) AS row_count, series_name = 'error' AS broken, series_name
       FROM ({EVENTS}) GROUP BY series_name, batch_ref
     """,
+    "q_landing_array": f"""
+      SELECT series_name, strftime(obs_date, '%Y-%m-%d') AS batch_ref, count(*) AS row_count,
+             round(sum(value), 2) AS total, min(obs_date) AS first_date
+      FROM ({EVENTS}) GROUP BY series_name, obs_date
+    """,
     "q_extract_window": f"""
       SELECT series_name, count(*) AS row_count, '08/01/2024' AS first_date,
              '15/01/2024' AS last_date
@@ -249,6 +254,10 @@ ORACLES: dict[str, str] = {
     """,
     "q_gold_monthly": monthly(ORDERS),
     "q_gold_publish": monthly(ORDERS),
+    "q_gold_state": monthly(f"""
+      SELECT series_name, obs_date,
+             CASE WHEN year(obs_date) = 1996 THEN floor(floor(value) / 2) ELSE floor(value) END AS value
+      FROM ({ORDERS})"""),
     "q_gold_lineitem": monthly(
         f"""
           SELECT l_returnflag AS series_name, l_shipdate AS obs_date,
@@ -280,6 +289,12 @@ ORACLES: dict[str, str] = {
              CASE WHEN obs_date >= DATE '{WEEK}' THEN user_id END AS user_id
       FROM ({EVENTS})
     """,
+    "q_schema_widen": f"""
+      SELECT event_id, CAST(obs_date AS TIMESTAMP) AS obs_date,
+             CASE WHEN obs_date < DATE '{WEEK}' THEN floor(value) ELSE value END AS value,
+             CASE WHEN obs_date < DATE '{WEEK}' THEN 0 ELSE 1 END AS part
+      FROM ({EVENTS})
+    """,
     "q_run_counts": f"""
       SELECT 'bronze' AS layer, series_name, count(*) AS row_count, '2001-12-31' AS batch_ref
       FROM ({ORDERS}) GROUP BY ALL
@@ -365,6 +380,15 @@ ORACLES: dict[str, str] = {
              true AS adds_up, true AS held
       FROM ({DEFECTS}) GROUP BY series_name
     """,
+    "q_load_refused": f"""
+      SELECT {EVENT_CODE}, count(*) AS landed, CAST(0 AS BIGINT) AS bronze,
+             count(*) FILTER (kind = 'out') AS out_of_window,
+             count(*) FILTER (kind = 'uncatalogued') AS uncatalogued,
+             count(*) FILTER (kind = 'broken') AS broken,
+             count(*) FILTER (kind = 'bronze') AS refused, CAST(1 AS BIGINT) AS files,
+             false AS published
+      FROM ({DEFECTS}) GROUP BY series_name
+    """,
     "q_load_quarantine": f"""
       SELECT series_name, count(*) AS documents,
              count(*) FILTER (series_name = 'signup') AS messages,
@@ -374,6 +398,13 @@ ORACLES: dict[str, str] = {
     "q_load_as_of": f"""
       SELECT obs_date, {ORDER_CODE}, series_name, value, true AS as_in_silver FROM ({MERGED})
     """,
+    "q_load_published": f"""
+      SELECT obs_date, {ORDER_CODE}, series_name, CAST(max(value) AS DOUBLE) AS value
+      FROM ({BATCHES})
+      WHERE CASE WHEN series_name = '1-URGENT' THEN batch_ref = '1998-03-31'
+                 ELSE batch_ref = '2001-12-31' OR obs_date < DATE '1998-03-15' END
+      GROUP BY series_name, obs_date
+    """,
     "q_load_defaults": f"""
       WITH days AS (
              SELECT series_name, obs_date, floor(sum(value)) AS value FROM ({EVENTS})

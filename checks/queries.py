@@ -44,13 +44,13 @@ from tidemark.operators.quality import (
     verdict,
 )
 from tidemark.operators.series import evolve, join_series, series_bucket, union_series
-from tidemark.operators.stats import monthly_stats
-from tidemark.operators.upsert import upsert
+from tidemark.operators.stats import month_state, monthly_stats, stats_of_state
+from tidemark.operators.upsert import upsert, upsert_changes
 from tidemark.plans.bronze import CORRUPT_CHECK, bronze_folders, load_bronze
 from tidemark.plans.gold import read_gold
 from tidemark.plans.run import run_batch
 from tidemark.plans.settings import Paths, Settings
-from tidemark.plans.silver import load_silver, upsert_table
+from tidemark.plans.silver import load_silver, state_after, upsert_table
 from tidemark.schemas import (
     ACCOUNTING,
     ALL_CHECKS,
@@ -59,6 +59,7 @@ from tidemark.schemas import (
     DROPPED,
     METRICS,
     NO_DUPLICATES,
+    PUBLISHED,
     QUALITY,
     QUARANTINE,
     REPORT,
@@ -73,6 +74,7 @@ from tidemark.sources.landing import (
     split_corrupt,
 )
 from tidemark.sources.tables import (
+    path_exists,
     read_slice,
     read_table,
     replace_series,
@@ -126,6 +128,22 @@ def q_landing_quarantine(spark, sf_dir):
     return join_series(counts, event_series(spark).select("series_code", "series_name"))
 
 
+@query
+def q_landing_array(spark, sf_dir):
+    # One array per series and date; those of more than a kilobyte are cut into elements.
+    days = join_series(events(spark, sf_dir), event_series(spark), "series_name")
+    element = F.struct(payload_date(F.col("obs_date")).alias("data"), F.col("value").cast("string").alias("valor"))
+    documents = days.groupBy("series_code", F.date_format("obs_date", "yyyy-MM-dd").alias("batch_ref"))
+    documents = documents.agg(F.to_json(F.collect_list(element)).alias("document"))
+    root = land(documents, "landing", F.col("document"))
+    landed = read_landing(spark, root, layout="array", split_bytes=1024)
+    return join_series(landed, event_series(spark)).groupBy("series_name", "batch_ref").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.round(F.sum(parse_number(F.col("value"))), 2).alias("total"),
+        F.min(parse_date(F.col("obs_date"))).alias("first_date"),
+    )
+
+
 @query
 def q_extract_window(spark, sf_dir):
     rows = in_window(events(spark, sf_dir), "2024-01-15")
@@ -343,6 +361,22 @@ def q_gold_monthly(spark, sf_dir):
     return monthly_stats(orders(spark, sf_dir))
 
 
+@query
+def q_gold_state(spark, sf_dir):
+    # The state of all orders, moved by an upsert that halves those of 1996: many months lose
+    # their greatest value.
+    rows = orders(spark, sf_dir).select(
+        "obs_date", F.col("o_orderkey").alias("series_code"), "series_name",
+        F.floor("value").cast("double").alias("value"), month_ref(F.col("obs_date")).alias("month_ref"),
+    )
+    revised = rows.filter(F.year("obs_date") == 1996).withColumn("value", F.floor(F.col("value") / 2).cast("double"))
+    months = [f"1996-{m:02}" for m in range(1, 13)]
+    path = new_folder(spark, "state")
+    with staged(upsert_changes(rows, revised), "merge") as merged:
+        replace_table(state_after(merged, month_state(rows), months), path)
+    return stats_of_state(spark.read.parquet(path))
+
+
 @query
 def q_gold_publish(spark, sf_dir):
     path = new_folder(spark, "gold")
@@ -414,6 +448,20 @@ def q_schema_merge(spark, sf_dir):
     return read_table(spark, path).drop("part")
 
 
+@query
+def q_schema_widen(spark, sf_dir):
+    # Three columns had narrower types before; the files of then are read with them.
+    rows = events(spark, sf_dir).select("event_id", "obs_date", "value")
+    old = rows.filter(F.col("obs_date") < WEEK).select(
+        F.col("event_id").cast("int"), "obs_date", F.floor("value").cast("bigint").alias("value")
+    )
+    new = rows.filter(F.col("obs_date") >= WEEK).withColumn("obs_date", F.col("obs_date").cast("timestamp_ntz"))
+    path = new_folder(spark, "widening")
+    for number, part in enumerate((old, new)):
+        replace_slices(part.withColumn("part", F.lit(number)), path, ["part"])
+    return read_table(spark, path)
+
+
 # -- runs ------------------------------------------------------------------------------
 
 RUN = Settings(layout="lines", window_days=None, policy="layered", source_system="orders")
@@ -594,6 +642,22 @@ def q_load_accounting(spark, sf_dir):
     )
 
 
+@query
+def q_load_refused(spark, sf_dir):
+    # Broken documents stop the batch: nothing of it is published, and no row claims to be.
+    paths = _landed_with_defects(spark, sf_dir)
+    series = event_series(spark).filter("series_name <> 'view'")
+    try:
+        load_bronze(spark, "2024-01-15", paths, series, Settings(on_error="quarantine"))
+    except QualityError:
+        pass
+    counts = read_table(spark, paths.accounting, ACCOUNTING)
+    return counts.select(
+        "series_code", "landed", "bronze", "out_of_window", "uncatalogued", "broken", "refused", "files",
+        F.lit(path_exists(spark, paths.bronze)).alias("published"),
+    )
+
+
 @query
 def q_load_quarantine(spark, sf_dir):
     paths = _landed_with_defects(spark, sf_dir)
@@ -640,6 +704,27 @@ def q_load_as_of(spark, sf_dir):
     ).select("obs_date", "series_code", "series_name", "value", same.alias("as_in_silver"))
 
 
+@query
+def q_load_published(spark, sf_dir):
+    # One series runs again alone and silver refuses it: the others' history stays.
+    paths = _two_batches(spark, sf_dir)
+    for batch_ref in (FIRST, SECOND):
+        load_bronze(spark, batch_ref, paths, order_series(spark), RUN)
+        load_silver(spark, batch_ref, paths, order_series(spark), RUN)
+    rows = join_series(orders(spark, sf_dir), order_series(spark), "series_name")
+    rows = rows.withColumns({"value": -F.floor("value"), "batch_ref": F.lit(SECOND)})
+    again = Paths(paths.base, land(rows, "landing"))
+    urgent = order_series(spark).filter("series_name = '1-URGENT'")
+    load_bronze(spark, SECOND, again, urgent, RUN)
+    try:
+        load_silver(spark, SECOND, again, urgent, RUN)
+    except QualityError:
+        pass
+    ledger = read_table(spark, paths.published, PUBLISHED)
+    state = as_of(read_table(spark, paths.bronze, BRONZE), SECOND, published=ledger)
+    return state.select("obs_date", "series_code", "series_name", "value")
+
+
 @query
 def q_load_defaults(spark, sf_dir):
     # Daily sums as one JSON array per series, through the default window and policy. Errors

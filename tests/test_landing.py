@@ -112,3 +112,69 @@ def test_broadcast_bound_counts_rows_and_bytes(spark):
     assert not fits_broadcast(names, 9, 2000)
     assert not fits_broadcast(names, 10, 1000)
     assert fits_broadcast(names.limit(0))
+
+
+# -- large arrays ----------------------------------------------------------------------
+
+
+def as_before(spark, root, **options):
+    """The rows of a landing folder whose arrays are cut into elements, and of the whole read."""
+    cut = read_landing(spark, str(root), layout="array", split_bytes=64, **options)
+    whole = read_landing(spark, str(root), layout="array", **options)
+    assert cut.dtypes == whole.dtypes
+    assert rows_of(cut, *whole.columns) == rows_of(whole)
+    return cut
+
+
+def test_a_large_array_is_read_by_several_tasks(spark, tmp_path):
+    rows = ",\n ".join(f'{{"data": "{1 + n % 28:02}/07/2026", "valor": {n}.5}}' for n in range(20_000))
+    land(tmp_path, BATCH, {11: f"[\n{rows}\n]\n", 1: [("06/07/2026", "1")], 433: []})
+    name = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(name, "128k")
+    try:
+        cut = as_before(spark, tmp_path)
+        elements = cut.filter("series_code = 11 AND obs_date = '01/07/2026'")
+        parts = elements.select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset(name)
+    assert cut.count() == 20_001
+    assert parts > 1
+
+
+PAD = " " * 80
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f'{PAD}[{{"data":"06/07/2026","valor":"a}}b"}},{{"data":"07/07/2026","valor":"2"}}]',
+        f'[{{"data":"06/07/2026","valor":{{"x":1}}}}{PAD}]',
+        f'{{"data":"06/07/2026","valor":"1"{PAD}}}',
+        f"[{PAD}]",
+        f'[{{"valor":"1",{PAD}"data":null}}, {{"data":"07/07/2026"}} ] ',
+        f'[{{"data":"06/07/2026","valor":"say \\"}}\\" {PAD}"}}]',
+        f'[[{{"data":"06/07/2026","valor":"1"}}]{PAD}]',
+        f'[{PAD}{{}},{{"data":"06/07/2026","valor":"1"}}]',
+        f'{{"data":"06/07/2026","valor":"1"}},{PAD}[{{"data":"07/07/2026","valor":"2"}}]',
+    ],
+)
+def test_odd_arrays_read_as_before(spark, tmp_path, text):
+    land(tmp_path, BATCH, {11: text, 433: [("06/07/2026", str(n)) for n in range(9)]})
+    as_before(spark, tmp_path, on_error="quarantine", file_col="file")
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f'[{{"data":"06/07/2026","valor":"1"}}{PAD}',
+        f'[{{"data":"06/07/2026","valor":"1"}} {PAD} {{"data":"07/07/2026","valor":"2"}}]',
+        f'[{{"data":"06/07/2026",valor:1{PAD}}}]',
+        f"<html>{PAD}}}</html>",
+    ],
+)
+def test_broken_arrays_are_broken_as_before(spark, tmp_path, text):
+    land(tmp_path, BATCH, {11: text})
+    cut = as_before(spark, tmp_path, on_error="quarantine")
+    assert cut.filter(F.col(CORRUPT).isNotNull()).count() == 1
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+        read_landing(spark, str(tmp_path), layout="array", split_bytes=64).collect()

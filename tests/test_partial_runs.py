@@ -1,6 +1,7 @@
 """Reloads of some series, empty slices, stopped runs, refused input."""
 
 import os
+import re
 import shutil
 
 import pytest
@@ -11,6 +12,7 @@ from tidemark.functions.columns import parse_date
 from tidemark.operators.history import as_of
 from tidemark.operators.quality import QualityError
 from tidemark.operators.series import BUCKETS, check_series
+from tidemark.operators.stats import monthly_stats
 from tidemark.plans.bronze import load_bronze
 from tidemark.plans.gold import load_gold, read_gold, unpublished_months
 from tidemark.plans.run import run_batch
@@ -21,10 +23,13 @@ from tidemark.schemas import (
     BRONZE,
     DROPPED,
     METRICS,
+    PUBLISHED,
     QUALITY,
+    QUARANTINE,
     SILVER,
     series_dimension,
 )
+from tidemark.sources import tables
 from tidemark.sources.tables import read_table, shared_folder, table_exists
 
 BATCH = "2026-07-13"
@@ -255,3 +260,167 @@ def test_a_shared_folder_must_be_named():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Nothing())
+
+
+# -- neighbours, accounting, ledger ----------------------------------------------------
+
+
+def in_one_folder(spark, monkeypatch):
+    """All series share one folder of bronze."""
+    monkeypatch.setattr("tidemark.operators.series.BUCKETS", 1)
+    return three_series(spark)
+
+
+@pytest.mark.parametrize("table", ["bronze", "quality", "accounting", "dropped", "quarantine"])
+def test_a_driver_lost_in_a_swap_costs_no_neighbour(spark, tmp_path, monkeypatch, table):
+    """The driver is lost after the old folder is gone and before the new one is there; the next
+    load, of another series, restores what the folder held."""
+    where, series = paths(tmp_path), in_one_folder(spark, monkeypatch)
+    aside = Settings(on_error="quarantine", threshold=6)
+    broken = "<html>" if table == "quarantine" else DAYS
+    land_days(where, s433="<html>", s11=broken, s1=broken)
+    for load in (load_bronze, load_silver):
+        load(spark, BATCH, where, series, aside)
+    path = getattr(where, table)
+    before = rows_of(spark.read.parquet(path).drop("ingested_at"))
+    real = tables.replace_slices
+
+    def lost(df, target, *args, **options):
+        if target != path:
+            return real(df, target, *args, **options)
+        for folder in tables.data_files(spark, path):
+            tables.drop_folder(spark, folder)
+        raise KeyboardInterrupt("the driver is lost")
+
+    monkeypatch.setattr(tables, "replace_slices", lost)
+    load = load_silver if table == "dropped" else load_bronze
+    with pytest.raises(KeyboardInterrupt):
+        load(spark, BATCH, where, only(spark), aside)
+    assert not tables.data_files(spark, path)
+    monkeypatch.setattr(tables, "replace_slices", real)
+    load_bronze(spark, BATCH, where, only(spark, "daily_rate", 11), aside)
+    assert rows_of(spark.read.parquet(path).drop("ingested_at")) == before
+
+
+def test_a_refused_load_claims_nothing(spark, tmp_path):
+    where = paths(tmp_path)
+    land_days(where, s433=[("07/07/2026", None), ("01/01/2020", "1")], s99=DAYS)
+    columns = ["series_code", "landed", "bronze", "out_of_window", "uncatalogued", "refused", "files"]
+    with pytest.raises(QualityError, match="monthly_index: nulos_valor"):
+        load_bronze(spark, BATCH, where, three_series(spark))
+    assert not table_exists(spark, where.bronze)
+    assert per_series(spark, where.accounting, ACCOUNTING, *columns) == [
+        (1, 8, 0, 0, 0, 8, 1), (11, 8, 0, 0, 0, 8, 1), (433, 2, 0, 1, 0, 1, 1), (99, 8, 0, 0, 8, 0, 1),
+    ]
+    load_bronze(spark, BATCH, where, three_series(spark), LOOSE)
+    assert per_series(spark, where.accounting, ACCOUNTING, *columns) == [
+        (1, 8, 8, 0, 0, 0, 1), (11, 8, 8, 0, 0, 0, 1), (433, 2, 1, 1, 0, 0, 1), (99, 8, 0, 0, 8, 0, 1),
+    ]
+
+
+def json_scans(spark, action):
+    """Landing folders that were scanned during ``action``: per scan the first code and how many."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    bus = spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty()
+    first = store.executionsCount()
+    name = "spark.sql.maxMetadataValueLength"
+    spark.conf.set(name, "10000")
+    try:
+        action()
+    finally:
+        spark.conf.unset(name)
+    bus.waitUntilEmpty()
+    found = []
+    executions = store.executionsList()
+    for n in range(first, executions.size()):
+        plan = executions.apply(n).physicalPlanDescription()
+        scans = re.findall(r"Location: .*series_code=(\d+)(?:, \.\.\. (\d+) entries)?\]", plan)
+        # A plan tells the scan of its first and of its final form.
+        found += {(int(code), 1 + int(more or 0)) for code, more in scans}
+    return sorted(found)
+
+
+def test_each_payload_is_scanned_once(spark, tmp_path):
+    where = paths(tmp_path)
+    land_days(where, s99=DAYS)
+    # Codes that nobody has accounted for are counted; no catalogued one is after that.
+    one = json_scans(spark, lambda: load_bronze(spark, BATCH, where, only(spark), LOOSE))
+    assert one == [(1, 1), (11, 3)]
+    every = json_scans(spark, lambda: load_bronze(spark, BATCH, where, three_series(spark)))
+    assert every == [(1, 3), (99, 1)]
+    again = json_scans(spark, lambda: load_bronze(spark, BATCH, where, only(spark)))
+    assert again == [(1, 1), (99, 1)]
+
+
+def test_broken_documents_name_their_file(spark, tmp_path):
+    where = paths(tmp_path)
+    land_days(where, s1="<html>", s99=DAYS)
+    load_bronze(spark, BATCH, where, three_series(spark), Settings(on_error="quarantine", threshold=6))
+    (row,) = read_table(spark, where.quarantine, QUARANTINE).collect()
+    assert row.file.endswith(f"batch_ref={BATCH}/series_code=1/payload.json")
+    files = per_series(spark, where.accounting, ACCOUNTING, "series_code", "first_file")
+    assert {c: f and f.split("series_code=")[1] for c, f in files} == {
+        1: "1/payload.json", 11: None, 433: None, 99: "99/payload.json",
+    }
+
+
+def test_a_refused_rerun_of_one_series_leaves_the_others_in_the_history(spark, tmp_path):
+    where, layered = paths(tmp_path), Settings(policy="layered")
+    land_days(where)
+    run_batch(spark, BATCH, where, three_series(spark), layered)
+    land_days(where, s1=[("07/07/2026", "-1")])
+    with pytest.raises(QualityError, match="silver/currency"):
+        run_batch(spark, BATCH, where, only(spark), layered)
+    bronze, quality = read_table(spark, where.bronze, BRONZE), read_table(spark, where.quality, QUALITY)
+    ledger = read_table(spark, where.published, PUBLISHED)
+    assert ledger.count() == 3
+    state = as_of(bronze, BATCH, published=ledger)
+    names = rows_of(state.groupBy("series_name").count())
+    assert names == [("daily_rate", 8), ("monthly_index", 8)]
+    assert as_of(bronze, BATCH, quality).isEmpty()
+
+
+def test_a_ledger_and_state_lost_with_the_driver_are_made_up_for(spark, tmp_path, monkeypatch):
+    where = paths(tmp_path)
+    land_days(where)
+    run_batch(spark, BATCH, where, three_series(spark))
+    later = "2026-07-20"
+    land(where.landing, later, {c: [("13/07/2026", "0.5"), ("14/07/2026", "2")] for c in (1, 11, 433)})
+    load_bronze(spark, later, where, three_series(spark))
+    real = tables.replace_slices
+
+    def lost(df, target, *args, **options):
+        if target == where.state:
+            raise KeyboardInterrupt("the driver is lost")
+        return real(df, target, *args, **options)
+
+    monkeypatch.setattr(tables, "replace_slices", lost)
+    with pytest.raises(KeyboardInterrupt):
+        load_silver(spark, later, where, three_series(spark))
+    monkeypatch.setattr(tables, "replace_slices", real)
+    load_gold(spark, later, where, three_series(spark))
+    assert rows_of(read_gold(spark, where.gold)) == rows_of(
+        monthly_stats(read_table(spark, where.silver, SILVER))
+    )
+    ledger = read_table(spark, where.published, PUBLISHED)
+    assert rows_of(ledger.groupBy("batch_ref").count()) == [(BATCH, 3), (later, 3)]
+
+
+def test_a_load_that_publishes_other_rows_than_it_staged_stops(spark, tmp_path, monkeypatch):
+    where = paths(tmp_path)
+    land_days(where)
+    real = tables.replace_owned
+    monkeypatch.setattr(
+        tables, "replace_owned",
+        lambda df, path, *rest: real(df.limit(23) if path == where.bronze else df, path, *rest),
+    )
+    whole = tables.counted
+
+    def less(rows, write, where_=None):
+        return whole(rows.limit(23) if "source_system" in rows.columns and where_ is None else rows, write, where_)
+
+    monkeypatch.setattr(tables, "counted", less)
+    with pytest.raises(tables.CountError, match="23 rows written instead of 24"):
+        run_batch(spark, BATCH, where, three_series(spark))
+    assert not table_exists(spark, where.metrics) and not table_exists(spark, where.accounting)

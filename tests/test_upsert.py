@@ -1,3 +1,4 @@
+import json
 from datetime import date
 
 import pytest
@@ -8,9 +9,21 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import month_ref
 from tidemark.operators.upsert import upsert
-from tidemark.plans.silver import _pending, finish_pending, upsert_table
+from tidemark.plans.silver import upsert_table
 from tidemark.schemas import SILVER
-from tidemark.sources.tables import drop_folder, path_exists, read_table, staged
+from tidemark.sources import tables
+from tidemark.sources.tables import (
+    PLAN,
+    CountError,
+    Part,
+    Publication,
+    drop_folder,
+    finish_pending,
+    path_exists,
+    pending_folder,
+    read_table,
+    staged,
+)
 
 ROW = "obs_date int, series_code int, value double"
 
@@ -69,7 +82,16 @@ def test_first_write_creates_later_writes_merge(spark, tmp_path):
         ("2026-07-01", 1, 5.0),
         ("2026-07-02", 1, 6.0),
     ]
-    assert not path_exists(spark, _pending(spark, path))
+    assert not path_exists(spark, pending_folder(spark, path))
+
+
+def left_behind(spark, path, rows, in_full=True):
+    """A publication as a driver leaves it that is lost before its swap."""
+    publication = Publication(spark, path)
+    publication.add(silver(spark, rows), Part(path, SILVER, ("month_ref",)))
+    if in_full:
+        tables._write_text(spark, f"{publication.folder}/{PLAN}", json.dumps(publication.parts))
+    return publication
 
 
 def test_writing_twice_is_writing_once(spark, tmp_path):
@@ -116,8 +138,7 @@ def test_a_swap_that_was_cut_off_is_finished_by_the_next_load(spark, tmp_path):
     path = str(tmp_path / "silver")
     put(spark, [("2026-06-30", 1, 1), ("2026-07-01", 1, 2)], path)
     # The driver is lost after the merge is written, while July is being swapped in.
-    merged = silver(spark, [("2026-07-01", 1, 5), ("2026-07-02", 1, 6)])
-    merged.write.partitionBy("month_ref").parquet(_pending(spark, path))
+    left_behind(spark, path, [("2026-07-01", 1, 5), ("2026-07-02", 1, 6)])
     drop_folder(spark, f"{path}/month_ref=2026-07")
     put(spark, [("2026-07-03", 1, 7)], path)
     assert content(spark, path) == [
@@ -131,27 +152,56 @@ def test_a_swap_that_was_cut_off_is_finished_by_the_next_load(spark, tmp_path):
 def test_a_merge_that_was_not_written_in_full_is_not_published(spark, tmp_path):
     path = str(tmp_path / "silver")
     put(spark, [("2026-06-30", 1, 1)], path)
-    pending = _pending(spark, path)
-    silver(spark, [("2026-06-30", 1, 9)]).write.partitionBy("month_ref").parquet(pending)
-    drop_folder(spark, f"{pending}/_SUCCESS")
-    assert finish_pending(spark, path, SILVER) is False
+    left_behind(spark, path, [("2026-06-30", 1, 9)], in_full=False)
+    assert finish_pending(spark, path) is False
     put(spark, [("2026-07-01", 1, 2)], path)
     assert content(spark, path) == [("2026-06-30", 1, 1.0), ("2026-07-01", 1, 2.0)]
 
 
 def test_a_merge_left_behind_does_not_bring_back_a_dropped_table(spark, tmp_path):
     path = str(tmp_path / "silver")
-    silver(spark, [("2026-06-30", 1, 9)]).write.partitionBy("month_ref").parquet(
-        _pending(spark, path)
-    )
+    left_behind(spark, path, [("2026-06-30", 1, 9)])
     put(spark, [("2026-07-01", 1, 2)], path)
     put(spark, [("2026-07-02", 1, 3)], path)
     assert content(spark, path) == [("2026-07-01", 1, 2.0), ("2026-07-02", 1, 3.0)]
 
 
 def test_each_table_has_its_own_pending_folder(spark, tmp_path):
-    assert _pending(spark, "/a/b") != _pending(spark, "/a_b")
-    assert _pending(spark, "/a/b/") == _pending(spark, "/a/b")
+    assert pending_folder(spark, "/a/b") != pending_folder(spark, "/a_b")
+    assert pending_folder(spark, "/a/b/") == pending_folder(spark, "/a/b")
+
+
+def test_a_publication_that_writes_another_number_of_rows_stops(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    put(spark, [("2026-06-30", 1, 1)], path)
+    rows = [("2026-07-01", 1, 5), ("2026-07-02", 1, 6)]
+    publication = left_behind(spark, path, rows, in_full=False)
+    publication.parts[0]["rows"] = 3
+    tables._write_text(spark, f"{publication.folder}/{PLAN}", json.dumps(publication.parts))
+    with pytest.raises(CountError, match="2 rows written instead of 3"):
+        finish_pending(spark, path)
+
+
+def test_a_reader_of_one_series_skips_row_groups(spark, tmp_path, monkeypatch):
+    # One month of 200 series; a row group holds a few of them.
+    monkeypatch.setattr("tidemark.plans.silver.ROW_GROUP", 64 * 1024)
+    path = str(tmp_path / "silver")
+    rows = spark.range(200_000).selectExpr(
+        "date_add(date'2026-07-01', cast(id % 31 AS int)) AS obs_date", "rand(1) AS value",
+        "id AS series_code", "concat('s', id % 200) AS series_name", "'2026-07' AS month_ref",
+    )
+    with staged(rows.repartition(4), "source") as source:
+        upsert_table(source, path, sort=("series_code", "obs_date"))
+    found = read_table(spark, path, SILVER).filter("month_ref = '2026-07' AND series_code = 77777")
+    found = found.select("value")
+    assert found.count() == 1
+    plan = found._jdf.queryExecution()
+    found.collect()
+    leaf = plan.executedPlan()
+    while not leaf.nodeName().startswith("Scan"):
+        leaf = leaf.children().head()
+    read = leaf.metrics().apply("numOutputRows").value()
+    assert 0 < read < 50_000
 
 
 @pytest.mark.parametrize("hot", [True, False])

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.types import cast_to, widened
+
 # Series of a batch share this many folders.
 BUCKETS = 16
 # The most codes or names that are pushed into a scan as a filter.
@@ -82,5 +84,8 @@ def union_series(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def evolve(frames: Iterable[DataFrame]) -> DataFrame:
-    """One frame of several whose columns differ; a missing column reads as NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """One frame of several whose columns differ: a missing column reads as NULL, a column of
+    several types has the widest. Types without a common wider one are refused by name."""
+    frames = list(frames)
+    schema = widened(frame.schema for frame in frames)
+    return union_series(cast_to(frame, schema) for frame in frames)

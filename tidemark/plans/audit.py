@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import checks_for, enforce, quality_report
 from tidemark.plans.settings import Paths, Settings
 from tidemark.schemas import QUALITY, QUALITY_SLICE
-from tidemark.sources.tables import read_slice, replace_series
+from tidemark.sources.tables import finish_pending, read_slice, replace_series
+
+
+def recover(spark: SparkSession, paths: Paths) -> None:
+    """Finish what a lost driver left unpublished, of any table and series."""
+    for path in paths.recoverable:
+        finish_pending(spark, path)
 
 
 def audit(

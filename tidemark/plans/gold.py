@@ -7,19 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.stats import MONTH_ORDER, monthly_stats
-from tidemark.plans.audit import audit
+from tidemark.operators.stats import GROUP, MONTH_ORDER, month_state, monthly_stats, stats_of_state
+from tidemark.plans.audit import audit, recover
 from tidemark.plans.settings import Paths, Settings
-from tidemark.plans.silver import finish_pending
-from tidemark.schemas import GOLD, SILVER, UNPUBLISHED
+from tidemark.schemas import GOLD, SILVER, STATE, UNPUBLISHED
 from tidemark.sources.tables import (
+    check_count,
+    counted,
     drop_folder,
     path_exists,
     read_slices,
     read_table,
     replace_slices,
     replace_table,
-    staged,
+    staged_counted,
     table_exists,
 )
 
@@ -42,10 +43,17 @@ def gold_with(stats: DataFrame, gold: DataFrame, months: Sequence[str]) -> DataF
     return kept.select(*GOLD.fieldNames()).unionByName(stats.select(*GOLD.fieldNames()))
 
 
-def gold_after(silver: DataFrame, gold: DataFrame, months: Sequence[str]) -> DataFrame:
-    """``gold`` with the statistics of ``months`` replaced by those of ``silver``, which holds
-    these months in full."""
-    return gold_with(monthly_stats(silver, ordered=False), gold, months)
+def gold_of_state(spark: SparkSession, paths: Paths, state: DataFrame) -> DataFrame:
+    """Monthly statistics of ``state``. Groups with values too large for its sums are computed from
+    their months of silver, the others without reading it."""
+    wide = state.filter("wide > 0").select(*GROUP)
+    months = sorted(row[0] for row in wide.select(MONTH).distinct().collect())
+    stats = stats_of_state(state.filter("wide = 0"))
+    if not months:
+        return stats
+    silver = read_slices(spark, paths.silver, SILVER, MONTH, months)
+    large = monthly_stats(silver.join(wide, GROUP, "left_semi"), ordered=False)
+    return stats.unionByName(large)
 
 
 def unpublished_months(spark: SparkSession, paths: Paths) -> list[str]:
@@ -63,34 +71,37 @@ def load_gold(
     series: DataFrame,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Recompute the monthly statistics, check those of ``series``, publish. Returns the report.
+    """Take the monthly statistics from silver's state, check those of ``series``, publish.
+    Returns the report.
 
-    By default the whole of silver is read (three columns of it) and gold replaced. With
-    ``gold="touched"`` only months are read and replaced that silver loads have changed since
+    The state has one row per series and month, kept up by every load of silver; where it is
+    missing, it is computed from silver once. By default gold is replaced as a whole. With ``gold="touched"``
+    only months are read and replaced that silver loads have changed since
     gold was last published, by this run or an earlier one that stopped. Silver notes them
     before it changes, and they are forgotten after gold is published, so both modes give the
-    same gold. Where gold is not there in full, it is recomputed in full.
+    same gold. Where gold is not there in full, it is made in full.
     """
     if settings.gold not in ("full", "touched"):
         raise ValueError(f"unknown gold mode {settings.gold!r}")
-    finish_pending(spark, paths.silver, SILVER)
+    recover(spark, paths)
+    if not table_exists(spark, paths.state):
+        replace_table(month_state(read_table(spark, paths.silver, SILVER)), paths.state, [MONTH])
     months = None
     if settings.gold == "touched" and table_exists(spark, paths.gold):
         months = unpublished_months(spark, paths)
-        silver = read_slices(spark, paths.silver, SILVER, MONTH, months)
+        state = read_slices(spark, paths.state, STATE, MONTH, months)
     else:
-        silver = read_table(spark, paths.silver, SILVER)
+        state = read_table(spark, paths.state, STATE)
     value_col = "min_value" if settings.policy == "layered" else "value"
-    with staged(monthly_stats(silver, ordered=False), "gold") as rows:
+    with staged_counted(gold_of_state(spark, paths, state), "gold") as (rows, meant):
         whole = rows
         if months is not None:
             whole = gold_with(rows, read_gold(spark, paths.gold), months)
         mine = whole.join(series.select("series_name").distinct(), "series_name", "left_semi")
         report = audit(mine, "gold", batch_ref, series, paths, settings, value_col=value_col)
         ordered = with_month(rows).orderBy(*MONTH_ORDER)
-        if months is None:
-            replace_table(ordered, paths.gold, [MONTH])
-        else:
-            replace_slices(ordered, paths.gold, [MONTH])
+        replace = replace_table if months is None else replace_slices
+        written = counted(ordered, lambda frame: replace(frame, paths.gold, [MONTH]))
+        check_count(paths.gold, meant, written)
         drop_folder(spark, paths.unpublished)
     return report

@@ -42,6 +42,14 @@ class Paths:
     def accounting(self) -> str:
         return f"{self.base}/accounting"
 
+    @property
+    def published(self) -> str:
+        return f"{self.base}/published"
+
+    @property
+    def state(self) -> str:
+        return f"{self.base}/state"
+
     @property
     def unpublished(self) -> str:
         return f"{self.base}/unpublished"
@@ -50,6 +58,11 @@ class Paths:
     def metrics(self) -> str:
         return f"{self.base}/metrics"
 
+    @property
+    def recoverable(self) -> list[str]:
+        """Tables whose publications a lost driver may leave unfinished."""
+        return [self.bronze, self.quality, self.quarantine, self.dropped, self.accounting, self.silver]
+
 
 @dataclass(frozen=True)
 class Settings:

@@ -69,7 +69,8 @@ METRICS = _struct(
     batch_ref=T.StringType(),
 )
 
-# What became of a batch's landed rows, per code.
+# What became of a batch's landed rows, per code; how many files they lie in, and the first of those
+# with broken or uncatalogued rows.
 ACCOUNTING = _struct(
     series_code=T.LongType(),
     landed=T.LongType(),
@@ -77,15 +78,39 @@ ACCOUNTING = _struct(
     out_of_window=T.LongType(),
     uncatalogued=T.LongType(),
     broken=T.LongType(),
+    refused=T.LongType(),
+    files=T.LongType(),
+    first_file=T.StringType(),
     batch_ref=T.StringType(),
 )
 QUARANTINE = _struct(
     _corrupt_record=T.StringType(),
+    file=T.StringType(),
     series_code=T.LongType(),
     ingested_at=T.TimestampType(),
     series_name=T.StringType(),
     batch_ref=T.StringType(),
 )
+# What silver has published: per run and series, the load of bronze that it took (its time).
+PUBLISHED = _struct(
+    run_id=T.StringType(),
+    batch_ref=T.StringType(),
+    series_name=T.StringType(),
+    ingested_at=T.TimestampType(),
+    published_at=T.TimestampType(),
+)
+# Per series and month of silver: rows, those too large for exact sums, sum and sum of squares in
+# units of the last decimal, least and greatest value.
+STATE = _struct(
+    series_name=T.StringType(),
+    n=T.LongType(),
+    wide=T.LongType(),
+    total=T.DecimalType(38, 0),
+    squares=T.DecimalType(38, 0),
+    least=T.DoubleType(),
+    most=T.DoubleType(),
+    month_ref=T.StringType(),
+)
 # Months that silver holds and gold may not.
 UNPUBLISHED = _struct(month_ref=T.StringType())
 
