@@ -220,14 +220,19 @@ Encoder = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.nd
 class WordIds:
     """Ids of the words seen so far, by hash; new words go through ``encode`` once."""
 
-    def __init__(self, encode: Encoder) -> None:
-        self.encode, self.hasher = encode, Hasher()
+    def __init__(self, encode: Encoder, first: tuple[np.ndarray, ...] | None = None) -> None:
+        """``first`` are words known from the start: hashes in order, numbers of ids, ids."""
+        self.encode, self.hasher, self.first = encode, Hasher(), first
         self._clear()
 
     def _clear(self) -> None:
-        self.hashes = np.empty(0, dtype=np.uint64)
-        self.starts = self.sizes = np.empty(0, dtype=np.int64)
-        self.ids = np.empty(0, dtype=np.int32)
+        if self.first is None:
+            self.hashes = np.empty(0, dtype=np.uint64)
+            self.starts = self.sizes = np.empty(0, dtype=np.int64)
+            self.ids = np.empty(0, dtype=np.int32)
+        else:
+            self.hashes, self.sizes, self.ids = self.first
+            self.starts = np.cumsum(self.sizes) - self.sizes
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         """Flat ids of all words, and the number of ids of each."""

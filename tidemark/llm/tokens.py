@@ -29,6 +29,9 @@ LEVEL = 3
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_BYTES = 1 << 14
 DICTIONARY_BYTES = 1 << 16
+# Bounds of the sample whose words all tasks know from the start (some 10 MB), which changes no id.
+WORD_DOCUMENTS = 4000
+FIRST_WORDS = 400_000
 # A pack ends with the document that reaches one of these.
 PACK_BYTES = 1 << 20
 PACK_DOCUMENTS = 1 << 13
@@ -99,26 +102,53 @@ def _documents(ids: np.ndarray, counts: np.ndarray, kind: str) -> Iterator[bytes
         start = stop
 
 
+SAMPLES = "data binary, hashes binary, sizes binary, ids binary"
+
+
 def _samples(sent, kind: str):
+    """Rows (trains, text) as the serialized ids of those that train the dictionary, and the
+    words of all of them with their ids."""
+
+    def row(*values: bytes | None) -> pa.RecordBatch:
+        columns = [pa.array([v], pa.binary()) for v in values]
+        return pa.RecordBatch.from_arrays(columns, ["data", "hashes", "sizes", "ids"])
+
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spec, vocabulary = received(sent)
         known = WordIds(_library(spec))
         for batch in batches:
-            for _, _, ids, counts in encode_texts(batch.column(0), vocabulary, known):
-                data = [d[:SAMPLE_BYTES] for d in _documents(ids, counts, kind)]
-                yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["data"])
+            trains = batch.column(0).to_pylist()
+            for first, last, ids, counts in encode_texts(batch.column(1), vocabulary, known):
+                for trained, data in zip(trains[first:last], _documents(ids, counts, kind), strict=True):
+                    if trained:
+                        yield row(data[:SAMPLE_BYTES], None, None, None)
+        if len(known.hashes):
+            n = min(len(known.hashes), FIRST_WORDS)
+            ids = gathered(known.ids, known.starts[:n], known.sizes[:n])
+            sizes = known.sizes[:n].astype(np.int32)
+            yield row(None, known.hashes[:n].tobytes(), sizes.tobytes(), ids.tobytes())
 
     return sample
 
 
+def _first_words(samples) -> tuple[np.ndarray, ...] | None:
+    """The words of the sample, in order of their hashes. The sample is read by one task."""
+    found = [r for r in samples if r["hashes"] is not None]
+    if not found:
+        return None
+    kinds = (("hashes", np.uint64), ("sizes", np.int32), ("ids", np.int32))
+    hashes, sizes, ids = (np.frombuffer(found[0][n], dtype=k) for n, k in kinds)
+    return hashes, sizes.astype(np.int64), ids
+
+
 def _framed(sent, kind: str, dictionary: bytes):
     """Rows (doc_id, text) as (doc_id, n_tokens, frame)."""
 
     def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        spec, vocabulary = received(sent)
-        known = WordIds(_library(spec))
+        spec, vocabulary, first_words = received(sent)
+        known = WordIds(_library(spec), first_words)
         shared = zstandard.ZstdCompressionDict(dictionary)
         shared.precompute_compress(level=LEVEL)
         compressor = zstandard.ZstdCompressor(dict_data=shared)
@@ -177,6 +207,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, work: Work) -> Non
     compressed frames.
 
     The library encodes each distinct word of a task once: byte-level BPE works word by word.
+    The words of a sample of bounded size are encoded once for all tasks. Texts of any length
+    are encoded whole; without documents, the folder holds a dictionary and no pack.
     A null text has no ids but the end. A null doc_id comes first. Rows with the same doc_id are
     written one after the other, in any order; columns besides doc_id and text are not written.
     """
@@ -189,9 +221,12 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, work: Work) -> Non
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
 
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(max(docs.count(), 1)))
-    chosen = docs.filter(hashed < SAMPLE_DOCUMENTS).select("text").limit(SAMPLE_DOCUMENTS)
-    samples = piped(chosen, [_samples(sent, kind)], "data binary").collect()
-    dictionary = train_dictionary([r["data"] for r in samples])
+    trains = hashed < SAMPLE_DOCUMENTS
+    chosen = docs.filter(hashed < WORD_DOCUMENTS).select(trains.alias("trains"), "text")
+    samples = piped(chosen.limit(WORD_DOCUMENTS), [_samples(sent, kind)], SAMPLES).collect()
+    trained = [r["data"] for r in samples if r["data"] is not None]
+    dictionary = train_dictionary(trained[:SAMPLE_DOCUMENTS])
+    sent = send(spark, (spec, loaded, _first_words(samples)))
     name = hashlib.sha256(dictionary).hexdigest()
     rows = [(name, int(kind[-1]), dictionary)]
     spark.createDataFrame(rows, "hash string, width int, data binary").coalesce(1).write.parquet(
@@ -243,7 +278,7 @@ def _decompressed(dictionary: bytes, width: int):
         shared = zstandard.ZstdCompressionDict(dictionary)
         decompressor = zstandard.ZstdDecompressor(dict_data=shared)
         for batch in batches:
-            data = [decompressor.decompress(f.as_py()) for f in batch.column(4)]
+            data = [decompressor.decompress(f.as_buffer()) for f in batch.column(4)]
             counts = np.array([len(d) // width for d in data], dtype=np.int64)
             ids = np.frombuffer(b"".join(data), dtype=f"<u{width}").astype(np.int32)
             yield pa.RecordBatch.from_arrays(
