@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,40 +23,147 @@ TYPES = {
     "string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict,
     "array": list, "null": type(None),
 }
+# Keywords of JSON schemas that are checked, and those that say nothing about values.
+CHECKED = {
+    "type", "enum", "const", "minLength", "maxLength", "pattern", "minimum", "maximum",
+    "exclusiveMinimum", "exclusiveMaximum", "required", "properties", "additionalProperties",
+    "items", "minItems", "maxItems",
+}
+SILENT = {"title", "description", "default", "examples", "$schema", "$comment"}
+# An integer of more digits is not read.
+DIGITS = 4000
+
+
+def check_schema(schema: dict, at: str = "") -> None:
+    """Refuse a schema with a keyword or type that would not be checked."""
+    unknown = sorted(set(schema) - CHECKED - SILENT)
+    if unknown:
+        raise ValueError(f"schema at {at or '.'}: keyword {unknown[0]!r} is not supported")
+    kinds = schema.get("type", [])
+    for kind in [kinds] if isinstance(kinds, str) else kinds:
+        if kind not in TYPES:
+            raise ValueError(f"schema at {at or '.'}: type {kind!r} is not known")
+    if "pattern" in schema:
+        re.compile(schema["pattern"])
+    for name, inner in schema.get("properties", {}).items():
+        check_schema(inner, f"{at}.{name}")
+    for name in ("items", "additionalProperties"):
+        if isinstance(schema.get(name), dict):
+            check_schema(schema[name], f"{at}.{name}")
+
+
+def _is(value, kind: str) -> bool:
+    if isinstance(value, bool):
+        return kind == "boolean"
+    if kind == "integer" and isinstance(value, float):
+        return value.is_integer()
+    return isinstance(value, TYPES[kind])
+
+
+def _same(a, b) -> bool:
+    """Whether two JSON values are equal: 1 and 1.0 are, 1 and true are not."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(_same, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(_same(a[k], b[k]) for k in a)
+    return a == b
 
 
 def schema_errors(value, schema: dict, at: str = "") -> list[str]:
-    """What of a JSON value does not fit a JSON schema of types, required names, properties,
-    items, enumerations and bounds."""
-    kind = schema.get("type")
-    if kind and (
-        not isinstance(value, TYPES[kind]) or (isinstance(value, bool) and kind not in ("boolean",))
-    ):
-        return [f"{at or '.'}: not of type {kind}"]
+    """What of a JSON value does not fit a JSON schema of the keywords ``CHECKED``."""
+    kinds = schema.get("type")
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    here = at or "."
+    if kinds and not any(_is(value, kind) for kind in kinds):
+        return [f"{here}: not of type {' or '.join(kinds)}"]
     errors = []
-    if "enum" in schema and value not in schema["enum"]:
-        errors.append(f"{at or '.'}: not one of the values")
-    if isinstance(value, str) and len(value) < schema.get("minLength", 0):
-        errors.append(f"{at or '.'}: too short")
-    if isinstance(value, (int, float)) and "minimum" in schema and value < schema["minimum"]:
-        errors.append(f"{at or '.'}: too small")
+    if "enum" in schema and not any(_same(value, v) for v in schema["enum"]):
+        errors.append(f"{here}: not one of the values")
+    if "const" in schema and not _same(value, schema["const"]):
+        errors.append(f"{here}: not the value")
+    if isinstance(value, str):
+        if len(value) < schema.get("minLength", 0):
+            errors.append(f"{here}: too short")
+        if len(value) > schema.get("maxLength", len(value)):
+            errors.append(f"{here}: too long")
+        if "pattern" in schema and not re.search(schema["pattern"], value):
+            errors.append(f"{here}: not of the pattern")
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        if value < schema.get("minimum", value) or value <= schema.get("exclusiveMinimum", -math.inf):
+            errors.append(f"{here}: too small")
+        if value > schema.get("maximum", value) or value >= schema.get("exclusiveMaximum", math.inf):
+            errors.append(f"{here}: too large")
     if isinstance(value, dict):
-        properties = schema.get("properties", {})
+        properties, others = schema.get("properties", {}), schema.get("additionalProperties", True)
         errors += [f"{at}.{n}: missing" for n in schema.get("required", []) if n not in value]
         for name, inner in value.items():
             if name in properties:
                 errors += schema_errors(inner, properties[name], f"{at}.{name}")
-            elif schema.get("additionalProperties", True) is False:
+            elif others is False:
                 errors.append(f"{at}.{name}: not allowed")
-    if isinstance(value, list) and "items" in schema:
-        for n, inner in enumerate(value):
-            errors += schema_errors(inner, schema["items"], f"{at}[{n}]")
+            elif isinstance(others, dict):
+                errors += schema_errors(inner, others, f"{at}.{name}")
+    if isinstance(value, list):
+        if not schema.get("minItems", 0) <= len(value) <= schema.get("maxItems", len(value)):
+            errors.append(f"{here}: not as many items")
+        if "items" in schema:
+            for n, inner in enumerate(value):
+                errors += schema_errors(inner, schema["items"], f"{at}[{n}]")
     return errors
 
 
+class ArgumentError(ValueError):
+    """Why a text is not taken as arguments."""
+
+
+def parsed_json(text: str):
+    """The value of a JSON text. ``ArgumentError`` tells what keeps it from being one, or from
+    being written again: NaN and infinities, names given twice, numbers beyond what is read,
+    halves of surrogate pairs, and nesting that is too deep."""
+
+    def constant(name: str):
+        raise ArgumentError("not JSON")
+
+    def integer(digits: str) -> int:
+        if len(digits) > DIGITS:
+            raise ArgumentError("number too long")
+        return int(digits)
+
+    def number(digits: str) -> float:
+        value = float(digits)
+        if math.isinf(value):
+            raise ArgumentError("number too large")
+        return value
+
+    def pairs(items: list[tuple]) -> dict:
+        found = dict(items)
+        if len(found) < len(items):
+            raise ArgumentError("name given twice")
+        return found
+
+    try:
+        value = json.loads(
+            text, parse_constant=constant, parse_int=integer, parse_float=number, object_pairs_hook=pairs
+        )
+        canonical(value).encode()
+    except ArgumentError:
+        raise
+    except RecursionError:
+        raise ArgumentError("nested too deeply") from None
+    except UnicodeEncodeError:
+        raise ArgumentError("half of a surrogate pair") from None
+    except ValueError:
+        raise ArgumentError("not JSON") from None
+    return value
+
+
 def canonical(value) -> str:
     """JSON with sorted names, no white space, and characters beyond ASCII as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return json.dumps(
+        value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False
+    )
 
 
 def _serialized(schemas: dict[str, dict]):
@@ -69,13 +178,13 @@ def _serialized(schemas: dict[str, dict]):
         if kind == RESULT:
             return [], canonical(line)
         try:
-            parsed = json.loads(arguments or "null")
-        except ValueError:
-            errors = [".: not JSON"]
-            parsed = arguments
-        else:
+            parsed = parsed_json(arguments or "null")
             known = name in schemas
             errors = schema_errors(parsed, schemas[name]) if known else [".: unknown tool"]
+        except ArgumentError as error:
+            errors, parsed = [f".: {error}"], arguments
+        except RecursionError:
+            errors, parsed = [".: nested too deeply"], arguments
         del line["content"]
         return errors, canonical(line | {"name": name, "arguments": parsed})
 
@@ -225,14 +334,21 @@ def format_chats(events: DataFrame, schemas: dict[str, dict], work: Work) -> Dat
     call, a call has a result; null for messages), ``errors`` (of a call's arguments, against
     the schema of its tool) and ``json``.
 
+    Any text is taken as arguments: one that is no JSON, or cannot be written again (see
+    ``parsed_json``), is an error and stays a text. A schema with a keyword that is not checked
+    raises ``ValueError``.
+
     Results join calls by (conv_id, call_id); of calls with the same identifier, the one of the
     lowest turn is linked, and the others are as if without identifier. Events are in order of
     turns, but a result comes after its call, and a call after the results it needs, however
     long the chain; only what events of one cycle need of each other does not count. Events
     with a null conv_id or call_id are never linked; a null turn comes first. Repeated rows
     stay. Columns named like the result are replaced; others are kept. A large conversation is
-    sorted by several tasks, and its lines stay rows.
+    sorted by several tasks, and its lines stay rows. Texts of any length are written whole; no
+    events give no lines.
     """
+    for name, schema in schemas.items():
+        check_schema(schema, name)
     added = ["seq", "linked", "errors", "json"]
     rows = events.select(
         packed(events, added).alias("_row"),

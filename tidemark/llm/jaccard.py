@@ -261,12 +261,13 @@ def may_link(
     }
     for w, own in matrices.items():
         at = np.flatnonzero(widths == w)
-        # A wider bitmap is folded to the narrower one's width.
+        # A wider bitmap is folded to the narrower one's width, if sets of both may link.
         others = [(at, own)]
-        if 2 * w in matrices:
-            wide = matrices[2 * w]
-            folded = wide[:, : w // 8] ^ wide[:, w // 8 :]
-            others.append((np.flatnonzero(widths == 2 * w), folded))
+        for width, wide in matrices.items():
+            if w < width and (width // w - 1) * percent <= 100:
+                parts = wide.reshape(len(wide), width // w, w // 8)
+                folded = np.bitwise_xor.reduce(parts, axis=1)
+                others.append((np.flatnonzero(widths == width), folded))
         for i, mine in zip(at.tolist(), own, strict=True):
             found = [np.array([i])]
             for places, theirs in others:

@@ -33,7 +33,7 @@ FAMILIES = {
 UNDETERMINED = "und"
 # About so many labelled rows of each language are learned from, chosen by a hash of their id.
 SAMPLE_PER_LANGUAGE = 400
-# No more languages than this are learned, the most frequent first.
+# Rows with more languages than this are refused: a machine for each two would not fit a task.
 MOST_LANGUAGES = 200
 FEATURES = 1 << 12
 SIZES = (1, 2, 3, 4)
@@ -263,17 +263,23 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(rows: DataFrame) -> Model:
     """Learn from rows (id, lang, text): about ``SAMPLE_PER_LANGUAGE`` of each language.
 
-    Rows whose language is null or whose text is null or has no letter are left out. The
-    driver gets the sample's ``FEATURES`` frequencies, not its texts.
+    Rows whose language is null or whose text is null or has no letter are left out. Of rows with
+    one id and language, one is taken, so the sample is bounded however often an id is repeated.
+    Every language is learned; more than ``MOST_LANGUAGES`` raise ``ValueError``. Texts of any
+    length are read whole; without rows nothing is learned. The driver gets the sample's ``FEATURES``
+    frequencies, not its texts.
     """
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    known = sizes.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    known = sizes.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1).collect()
+    if len(known) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages cannot be told apart by one model")
     size = F.lit(None).cast("long")
     for r in known:
         size = F.when(F.col("lang") == r["lang"], F.lit(r["n"])).otherwise(size)
     chosen = F.pmod(F.xxhash64("id"), size) < SAMPLE_PER_LANGUAGE
-    sample = rows.filter(chosen).select("lang", "text", held_out(F.col("id")).alias("held"))
+    sample = rows.filter(chosen).groupBy("lang", "id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = sample.select("lang", "text", held_out(F.col("id")).alias("held"))
     schema = "lang string, features binary, grams double, held boolean"
     found = piped(sample, [_features], schema).toArrow()
     languages = found.column("lang").to_pylist()

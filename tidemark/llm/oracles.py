@@ -102,27 +102,49 @@ WITH turns AS (
     SELECT *, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result'
                         ELSE 'message' END AS kind,
            CASE role WHEN 'user' THEN conv_id || '-' || turn
-                     WHEN 'assistant' THEN conv_id || '-' || (turn - 1) END AS call_id
+                     WHEN 'assistant' THEN conv_id || '-' || (turn - 1) END AS call_id,
+           max(CASE WHEN role = 'user' THEN turn END) OVER (
+               PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier,
+           2 * turn + CASE WHEN role = 'assistant' AND turn % 4 IN (1, 2) THEN 5 ELSE 0 END AS place
     FROM conversations
-), placed AS (
-    SELECT t.*, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS seq,
-           CASE WHEN kind <> 'message' THEN EXISTS (
+), linked AS (
+    SELECT t.*, CASE WHEN kind <> 'message' THEN EXISTS (
                SELECT 1 FROM turns o
                WHERE o.conv_id = t.conv_id AND o.call_id = t.call_id AND o.kind <> t.kind
-                 AND o.kind <> 'message') END AS linked
+                 AND o.kind <> 'message') END AS linked,
+           kind = 'call' AND EXISTS (
+               SELECT 1 FROM turns o WHERE o.conv_id = t.conv_id AND o.turn = t.earlier + 1
+                 AND o.kind = 'result') AS waits
     FROM turns t
+), chain AS (
+    -- calls and their results in turn, cut where nothing is waited for
+    SELECT *, sum(CASE WHEN kind = 'result' OR waits THEN 0 ELSE 1 END) OVER (
+               PARTITION BY conv_id ORDER BY turn) AS part
+    FROM linked WHERE kind = 'call' OR (kind = 'result' AND linked)
+), ranked AS (
+    SELECT *, row_number() OVER w AS k, max(place) OVER w AS rank
+    FROM chain WINDOW w AS (PARTITION BY conv_id, part ORDER BY turn)
+), placed AS (
+    SELECT conv_id, turn, rank, k - min(k) OVER (PARTITION BY conv_id, part, rank) AS depth FROM ranked
+), ordered AS (
+    SELECT l.*, row_number() OVER (
+               PARTITION BY l.conv_id ORDER BY coalesce(p.rank, l.place), coalesce(p.depth, 0), l.place) - 1 AS seq,
+           l.conv_id % 7 = 3 AS plain
+    FROM linked l LEFT JOIN placed p ON p.conv_id = l.conv_id AND p.turn = l.turn
 )
 SELECT conv_id, turn, kind, seq::BIGINT AS seq, call_id, linked,
-       CASE WHEN kind = 'call' AND length(text) = 0 THEN 1 ELSE 0 END AS n_errors,
+       CASE WHEN kind = 'call' AND (plain OR length(text) = 0 OR length(text) > 1000) THEN 1 ELSE 0 END AS n_errors,
        CASE kind
            WHEN 'message' THEN '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}'
-           WHEN 'call' THEN '{"arguments":{"text":' || to_json(text) || ',"turn":' || turn
-               || '},"call_id":' || to_json(call_id) || ',"linked":' || linked
+           WHEN 'call' THEN '{"arguments":'
+               || CASE WHEN plain AND text = '' THEN 'null' WHEN plain THEN to_json(text)::VARCHAR
+                       ELSE '{"text":' || to_json(text) || ',"turn":' || turn || '}' END
+               || ',"call_id":' || to_json(call_id) || ',"linked":' || linked
                || ',"name":"reply","role":"user"}'
            ELSE '{"call_id":' || to_json(call_id) || ',"content":' || to_json(text)
                || ',"linked":' || linked || ',"role":"assistant"}'
        END AS json
-FROM placed
+FROM ordered
 """
 
 SHORT_LINE = r"""regexp_matches(line, '(?i)\b(home|menu|log ?in|sign ?(in|up)|register|next|previous|back to top|read more|share|subscribe|contact us|about us|sitemap|search)\b')

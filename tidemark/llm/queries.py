@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import round_trip
@@ -137,41 +137,50 @@ def op8_token_files(spark, sf_dir):
 
 
 # The tool that conversations are taken to call: a user's turn is a call whose result is the
-# next turn, if that is the assistant's.
+# next turn, if that is the assistant's. A call needs the result of the user's turn before it.
 REPLY = {
     "type": "object",
     "required": ["text", "turn"],
+    "additionalProperties": False,
     "properties": {
-        "text": {"type": "string", "minLength": 1},
-        "turn": {"type": "integer", "minimum": 0},
+        "text": {"type": "string", "minLength": 1, "maxLength": 1000},
+        "turn": {"type": ["integer", "null"], "minimum": 0},
     },
 }
+# Results of these turns of every four arrive late, after the call that needs them; in one of so
+# many conversations, arguments are plain text and no JSON.
+LATE, PLAIN = (1, 2), 7
 
 
 @query
 def op9_chat_format(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    kind = (
-        F.when(F.col("role") == "user", F.lit(CALL))
-        .when(F.col("role") == "assistant", F.lit(RESULT))
-        .otherwise(F.lit(MESSAGE))
-    )
-    called = F.when(F.col("role") == "assistant", F.col("turn") - 1).otherwise(F.col("turn"))
+    user, assistant = F.col("role") == "user", F.col("role") == "assistant"
+    kind = F.when(user, F.lit(CALL)).when(assistant, F.lit(RESULT)).otherwise(F.lit(MESSAGE))
+
+    def identifier(turn):
+        return F.concat(F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+
+    called = F.when(assistant, F.col("turn") - 1).otherwise(F.col("turn"))
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.max(F.when(user, F.col("turn"))).over(before)
     arguments = F.to_json(F.struct("text", "turn"), {"ignoreNullFields": "false"})
+    arguments = F.when(F.col("conv_id") % PLAIN == 3, F.col("text")).otherwise(arguments)
+    late = F.when(assistant & (F.col("turn") % 4).isin(*LATE), F.lit(5)).otherwise(F.lit(0))
     events = turns.select(
-        "*",
+        "conv_id", "role", "text",
+        F.col("turn").alias("spoken"),
+        (F.col("turn") * 2 + late).alias("turn"),
         kind.alias("kind"),
-        F.when(F.col("role").isin("user", "assistant"), F.concat(
-            F.col("conv_id").cast("string"), F.lit("-"), called.cast("string")
-        )).alias("call_id"),
-        F.when(F.col("role") == "user", F.lit("reply")).alias("name"),
-        F.when(F.col("role") == "user", arguments).alias("arguments"),
-        F.lit(None).cast("array<string>").alias("needs"),
-    )
+        F.when(user | assistant, identifier(called)).alias("call_id"),
+        F.when(user, F.lit("reply")).alias("name"),
+        F.when(user, arguments).alias("arguments"),
+        F.when(user & earlier.isNotNull(), F.array(identifier(earlier))).alias("needs"),
+    )
     with workspace(spark) as work:
         formatted = format_chats(events, {"reply": REPLY}, work)
         return formatted.select(
-            "conv_id", "turn", "kind", "seq", "call_id", "linked",
+            "conv_id", F.col("spoken").alias("turn"), "kind", "seq", "call_id", "linked",
             F.size("errors").alias("n_errors"), "json",
         ).checkpoint()
 

@@ -23,14 +23,15 @@ class Node:
 
 
 def _places(rows: DataFrame, dims: list[str]) -> list[Column]:
-    """For each dimension, a place from 0 to 2**31 - 1: numbers keep their order and distance,
-    other values lie where their hash is, nulls at 0."""
-    kinds = dict(rows.dtypes)
-    numeric = [d for d in dims if kinds[d] in ("tinyint", "smallint", "int", "bigint", "double")]
+    """For each dimension, a place from 0 to 2**31 - 1: numbers, dates and times keep their order
+    and distance, other values lie where their hash is, nulls at 0. Infinities lie at the ends, and
+    NaN at the upper one."""
+    numeric = {d: v for d in dims if (v := _number(rows, d)) is not None}
+    finite = {d: F.when(F.abs(v) < float("inf"), v) for d, v in numeric.items()}
     bounds = {}
     if numeric:
         bounds = rows.agg(
-            *[f(d).cast("double").alias(f"{n}_{d}") for d in numeric
+            *[f(v).alias(f"{n}_{d}") for d, v in finite.items()
               for n, f in (("lo", F.min), ("hi", F.max))]
         ).first()
     top = float(2**BITS - 1)
@@ -41,12 +42,30 @@ def _places(rows: DataFrame, dims: list[str]) -> list[Column]:
             places.append(F.when(F.col(d).isNull(), F.lit(0)).otherwise(hashed))
         else:
             lo, hi = bounds[f"lo_{d}"], bounds[f"hi_{d}"]
-            spread = (hi - lo) if lo is not None and hi > lo else 1.0
-            share = (F.col(d).cast("double") - F.lit(lo or 0.0)) / F.lit(spread)
-            places.append(F.coalesce(F.floor(share * top).cast("long"), F.lit(0)))
+            # Halves, as the spread of doubles can be beyond them.
+            half = hi / 2 - lo / 2 if lo is not None and hi > lo else 1.0
+            share = (finite[d] / 2 - F.lit((lo or 0.0) / 2)) / F.lit(half)
+            place = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * top
+            beyond = F.when(numeric[d] == float("-inf"), F.lit(0)).otherwise(F.lit(2**BITS - 1))
+            place = F.when(finite[d].isNotNull(), F.floor(place).cast("long")).otherwise(beyond)
+            places.append(F.when(F.col(f"`{d}`").isNull(), F.lit(0)).otherwise(place).cast("long"))
     return places
 
 
+def _number(rows: DataFrame, dim: str) -> Column | None:
+    """A dimension as a double, if its type has an order and distances."""
+    kind, column = dict(rows.dtypes)[dim], F.col(f"`{dim}`")
+    if kind == "date":
+        return F.unix_date(column).cast("double")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(column.cast("timestamp")).cast("double")
+    if kind == "boolean":
+        return column.cast("int").cast("double")
+    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
+        return column.cast("double")
+    return None
+
+
 def _with(rows: DataFrame, facts: list[tuple], schema: str) -> DataFrame:
     """Add facts about nodes to their rows. There are fewer nodes than twice the shards."""
     return rows.join(F.broadcast(rows.sparkSession.createDataFrame(facts, schema)), "_node")
@@ -116,8 +135,10 @@ def kd_shards(
     dimension are told apart by a tie-break, so a source, language or size that holds a third
     of all rows is cut as well.
 
-    Null dimensions lie at the low end; a null size counts as 0. Repeated rows are rows of their
-    own. An empty table gives an empty result. Columns named ``shard`` and ``slot`` are replaced.
+    Null dimensions lie at the low end, NaN and infinities at the ends; a null size counts as 0.
+    Texts are not looked at, however long, unless they are dimensions, of which the hash is taken.
+    Repeated rows are rows of their own. An empty table gives an empty result. Columns named ``shard``
+    and ``slot`` are replaced.
     """
     rows = rows.drop("shard", "slot")
     stored = work.write(rows.withColumn("_id", F.monotonically_increasing_id()), "rows")

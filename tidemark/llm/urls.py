@@ -66,8 +66,10 @@ def judge_urls(
     stack of rules open there; those that have ended are popped by comparing prefixes. A hot
     host is dealt over ``SALTS`` tasks, each with all the host's rules.
 
-    Null URLs and those without ``://`` have an empty host and path. Repeated rows stay, and
-    columns of ``pages`` with the names of the result are replaced by it.
+    Null URLs and those without ``://`` have an empty host and path. Of a host, however long, only
+    parents of as many labels as the longest rule's host are looked up. Repeated rows stay, and
+    columns of ``pages`` with the names of the result are replaced by it. An empty table gives an
+    empty result; without rules every verdict is ``default``.
     """
     added = ["host", "path", "rule", "verdict"]
     host, path = host_and_path(F.col(url_col))
@@ -75,10 +77,18 @@ def judge_urls(
         packed(pages, added).alias("_row"), host.alias("host"), path.alias("path")
     ).withColumn("_id", F.monotonically_increasing_id())
 
+    most = rules.agg(F.max(F.size(F.split("host", r"\.", -1)))).first()[0] or 0
     labels = F.split("host", r"\.", -1)
-    parents = urls.select("*", F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+    tail = F.slice(labels, -F.least(F.size(labels), F.lit(most)), F.least(F.size(labels), F.lit(most)))
+    shorter = F.when(F.size(labels) > most, F.lit(0)).otherwise(F.lit(1))
+    parents = urls.withColumn("_tail", tail if most else F.array().cast("array<string>"))
+    parents = parents.select(*urls.columns, F.posexplode(F.concat(
+        F.array("host"),
+        F.transform(
+            F.filter(F.sequence(F.lit(1), F.greatest(F.size("_tail"), F.lit(1))),
+                     lambda i: (i > shorter) & (i <= F.size("_tail"))),
+            lambda i: F.array_join(F.slice("_tail", i, F.size("_tail")), "."),
+        ),
     )).alias("_nth", "_parent"))
     stacks = rule_stacks(rules)
     hosts = stacks.groupBy("host").agg(F.count(F.lit(1)).alias("_rules"))
