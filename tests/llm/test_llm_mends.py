@@ -202,3 +202,36 @@ def test_any_text_is_read_or_refused(text):
     except chat.ArgumentError:
         return
     json.loads(chat.canonical(value).encode())
+
+
+def test_order_equals_that_of_all_edges(spark):
+    """Random dependencies: results in any turn, needs in any direction, cycles included."""
+    import random
+
+    draw = random.Random(11)
+    rows, edges, turns = [], [], {}
+    for conv in range(12):
+        calls = draw.randrange(1, 14)
+        at = draw.sample(range(10_000 if conv % 2 else 40), 2 * calls)
+        for c in range(calls):
+            needs = [f"c{draw.randrange(calls)}" for _ in range(draw.choice([0, 1, 1, 2]))]
+            rows.append((conv, at[2 * c], "call", None, None, f"c{c}", "any", "1", needs))
+            rows.append((conv, at[2 * c + 1], "result", None, None, f"c{c}", None, None, None))
+            edges.append(((conv, c, "call"), (conv, c, "result")))
+            edges += [((conv, int(n[1:]), "result"), (conv, c, "call")) for n in needs]
+            turns[conv, c, "call"], turns[conv, c, "result"] = at[2 * c], at[2 * c + 1]
+    numbers = {v: i for i, v in enumerate(turns)}
+    placed = chat.places(
+        sorted({(numbers[u], numbers[v]) for u, v in edges}), {numbers[v]: t for v, t in turns.items()}
+    )
+    schema = (
+        "conv_id bigint, turn int, kind string, role string, text string, call_id string, "
+        "name string, arguments string, needs array<string>"
+    )
+    with workspace(spark) as work:
+        found = chat.format_chats(spark.createDataFrame(rows, schema), {"any": {}}, work).collect()
+    got = {(r["conv_id"], int(r["call_id"][1:]), r["kind"]): r["seq"] for r in found}
+    for conv in range(12):
+        own = [v for v in turns if v[0] == conv]
+        wanted = sorted(own, key=lambda v: (*placed[numbers[v]], turns[v]))
+        assert sorted(own, key=got.get) == wanted

@@ -8,7 +8,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -17,6 +17,8 @@ from tidemark.llm.shared import Work, numbered, packed, piped, unpacked
 MESSAGE, CALL, RESULT = "message", "call", "result"
 # Edges whose places a task makes at once.
 EDGES = 10_000
+# Turns of a conversation that are looked at together.
+STRETCH = 4096
 
 # Types of JSON schemas.
 TYPES = {
@@ -295,25 +297,26 @@ def _ordered(events: DataFrame, edges: DataFrame, work: Work) -> DataFrame:
     depends on, but for events of one cycle, which need each other. An event keeps its turn as
     its rank unless something it needs comes later.
 
-    Only components of the dependencies that hold an edge against the turns are gone through,
-    each by one task, which holds its keys and turns.
+    An event whose turn lies in no interval from an event to a later or equal turn that it
+    needs keeps its place, whatever it needs: all that is before it. So only edges to events inside such
+    intervals are gone through; those of a component by one task, which holds its keys and turns.
+    All events of a cycle lie in such intervals.
     """
     turns = events.select("_key", "_turn")
     edges = work.write(
         edges.distinct()
         .join(turns.select(F.col("_key").alias("u"), F.col("_turn").alias("from")), "u")
         .join(turns.select(F.col("_key").alias("v"), F.col("_turn").alias("to")), "v")
-        .select("u", "v", "from", "to"),
+        .select("conv_id", "u", "v", "from", "to"),
         "edges",
     )
-    late = edges.filter(F.col("from") >= F.col("to"))
     rank, depth = F.col("_turn").alias("_rank"), F.lit(0).cast("long").alias("_depth")
-    if late.isEmpty():
+    if edges.filter(F.col("from") >= F.col("to")).isEmpty():
         return events.select("*", rank, depth)
-    roots = components(edges.select(F.col("u").alias("a"), F.col("v").alias("b")), work, "order")
-    roots = work.write(roots.select(F.col("v").alias("u"), "root"), "order-roots")
-    wrong = late.join(roots, "u").select("root").distinct()
-    inside = edges.join(roots.join(wrong, "root"), "u").select("root", "u", "v", "from", "to")
+    inside = work.write(_inside_intervals(edges), "inside")
+    roots = components(inside.select(F.col("u").alias("a"), F.col("v").alias("b")), work, "order")
+    inside = inside.join(roots.select(F.col("v").alias("u"), "root"), "u")
+    inside = inside.select("root", "u", "v", "from", "to")
     inside = inside.repartition("root").sortWithinPartitions("root")
     schema = "_key bigint, _rank bigint, _depth bigint"
     moved = work.write(piped(inside, [_placed], schema), "order-places")
@@ -325,6 +328,23 @@ def _ordered(events: DataFrame, edges: DataFrame, work: Work) -> DataFrame:
     )
 
 
+def _inside_intervals(edges: DataFrame) -> DataFrame:
+    """Edges to events whose turn lies between the turns of an edge of their conversation that
+    goes against the turns, both included. A long conversation is looked at by stretches of turns."""
+    reach = F.when(F.col("from") >= F.col("to"), F.col("from"))
+    cut = edges.withColumns({"_reach": reach, "_stretch": F.floor(F.col("to") / STRETCH)})
+    earlier = Window.partitionBy("conv_id").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        cut.groupBy("conv_id", "_stretch")
+        .agg(F.max("_reach").alias("_most"))
+        .withColumn("_before", F.max("_most").over(earlier))
+        .select("conv_id", "_stretch", "_before")
+    )
+    so_far = F.max("_reach").over(Window.partitionBy("conv_id", "_stretch").orderBy("to"))
+    cut = cut.withColumn("_so_far", so_far).join(before, ["conv_id", "_stretch"])
+    return cut.filter(F.greatest("_so_far", "_before") >= F.col("to")).select(*edges.columns)
+
+
 def format_chats(events: DataFrame, schemas: dict[str, dict], work: Work) -> DataFrame:
     """Add kind's partner, order, validity and canonical JSON to each event of conversations.
 
@@ -369,8 +389,8 @@ def format_chats(events: DataFrame, schemas: dict[str, dict], work: Work) -> Dat
     needed = rows.filter(F.col("kind") == CALL).select(
         "conv_id", F.col("_key").alias("v"), F.explode("needs").alias("call_id")
     )
-    edges = links.select(F.col("call").alias("u"), F.col("result").alias("v")).unionByName(
-        links.join(needed, ["conv_id", "call_id"]).select(F.col("result").alias("u"), "v")
+    edges = links.select("conv_id", F.col("call").alias("u"), F.col("result").alias("v")).unionByName(
+        links.join(needed, ["conv_id", "call_id"]).select("conv_id", F.col("result").alias("u"), "v")
     )
     partners = links.select(F.col("result").alias("_key")).unionByName(
         links.select(F.col("call").alias("_key"))
