@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import string
 
 ASCII_LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -100,6 +101,51 @@ def written(spans):
     return ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in spans)
 
 
+ALPHABETS = [
+    "", "0123456789abcdef", "0123456789ABCDEF", string.ascii_lowercase,
+    string.ascii_uppercase + "234567", string.digits + string.ascii_lowercase,
+    string.digits + string.ascii_uppercase, string.ascii_uppercase + string.ascii_lowercase,
+    string.ascii_uppercase + string.ascii_lowercase + string.digits,
+    string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/",
+    string.ascii_uppercase + string.ascii_lowercase + string.digits + "-_",
+    string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/-_",
+]
+
+
+def text_chance(token):
+    """The chance that text looks as random as the token: chi-squared, runs, serial correlation
+    and evenness, by their definitions."""
+    if token.isdecimal():
+        return 1.0
+    alphabet = next(a for a in ALPHABETS[1:] if set(token) <= set(a))
+    k, n, values = len(alphabet), len(token), [alphabet.index(c) for c in token]
+
+    def below(z):
+        z = max(min(1.5976 * z + 0.07056 * z**3, 60.0), -60.0)
+        return 1 / (1 + math.exp(-z))
+
+    def against(z):
+        variance = 1 + n / 4
+        return max(z * z / 2 * (1 - 1 / variance) - math.log(variance) / 2, 0.0)
+
+    chi = sum((values.count(v) - n / k) ** 2 / (n / k) for v in range(k))
+    excess = k * (0.2 if k == 16 else 0.0667) - 1
+    spread = math.sqrt(2 * (k - 1) + 4 * n * excess)
+    chance = below((chi - (n - 1) * excess - (k - 1)) / spread)
+    high = [2 * v >= k for v in values]
+    ones, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:]))
+    if ones in (0, n):
+        return 1.0
+    expected = 1 + 2 * ones * (n - ones) / n
+    runs_z = (runs - expected) / math.sqrt((expected - 1) * (expected - 2) / (n - 1))
+    mean = sum(values) / n
+    serial = sum((a - mean) * (b - mean) for a, b in zip(values, values[1:]))
+    serial_z = (serial / sum((v - mean) ** 2 for v in values) + 1 / n) * math.sqrt(n)
+    step = 2 / (9 * (k - 1))
+    even_z = min(((max(chi, 0.0) / (k - 1)) ** (1 / 3) - 1 + step) / math.sqrt(step), 0.0)
+    return min(chance * math.exp(min(sum(map(against, (runs_z, serial_z, even_z))), 80)), 1.0)
+
+
 def quality(text):
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed) of a text."""
     text = text or ""

@@ -38,8 +38,10 @@ ENCODINGS = [
 ]
 # How often two characters of ordinary text are the same, in letters and in what looks like hex.
 COINCIDENCE, HEX_COINCIDENCE = 0.0667, 0.2
-# Level of the runs and serial tests, share of false finds, steps of p-values per power of ten.
-LEVEL, FALSE_FINDS, STEPS, TOP = 0.01, 0.01, 20, 400
+# Share of false finds, steps of p-values per power of ten. Of tokens in some order, the outcomes of
+# the other tests spread as if neighbours were correlated by about ORDER.
+FALSE_FINDS, STEPS, TOP = 0.01, 20, 400
+ORDER = 0.5
 CHUNK = 512
 
 KINDS = ["assign", "access", "hex", "random"]
@@ -142,6 +144,15 @@ def _below(z: Column) -> Column:
     return 1 / (1 + F.exp(-F.greatest(F.least(1.5976 * z + 0.07056 * z * z * z, F.lit(60.0)), F.lit(-60.0))))
 
 
+def _against(z: Column, n: Column) -> Column:
+    """Logarithm of how much likelier the outcome z of a test of n characters is for tokens in
+    some order than for random ones, or 0 if it is not likelier: at random z has variance 1, in
+    order 1 + n * ORDER^2."""
+    variance = 1 + n * ORDER * ORDER
+    likelier = z * z / 2 * (1 - 1 / variance) - F.log(variance) / 2
+    return F.when(z.isNotNull(), F.greatest(likelier, F.lit(0.0)))
+
+
 def _alphabet(token: Column) -> Column:
     chosen = F.lit("")
     for pattern, alphabet in reversed(ENCODINGS):
@@ -150,14 +161,18 @@ def _alphabet(token: Column) -> Column:
 
 
 def text_chance(token: Column) -> Column:
-    """The chance that ordinary text of the token's length looks as random as the token, or 1
-    if the token's order is not random.
+    """The chance that ordinary text of the token's length looks as random as the token, in its
+    characters and in their order.
 
     The encoding is the smallest alphabet that holds all characters. Chi-squared of the
     characters' counts against a uniform alphabet of k is near k - 1 for random tokens; for
     text it grows with the length, by what the characters' coincidence exceeds 1/k. So a short
     token proves little and a long one much. The runs test (above and below the alphabet's
-    middle) and the serial correlation of neighbours then must not reject randomness.
+    middle), the serial correlation of neighbours and the evenness of the counts (a sequence is
+    too even) weigh against it: each divides the evidence by how much likelier its outcome is
+    in order than at random (:func:`_against`). A chance divided by such a ratio is a chance
+    again, so one number goes into the false-discovery control, and a long random token outweighs
+    whatever its order looks like by accident.
     """
 
     def tests(values: Column, k: Column, hexadecimal: Column) -> Column:
@@ -203,17 +218,21 @@ def text_chance(token: Column) -> Column:
         excess = F.when(f["hex"], k * HEX_COINCIDENCE).otherwise(k * COINCIDENCE) - 1
         spread = F.sqrt(2 * (k - 1) + 4 * n * excess)
         chance = _below((chi - (n - 1) * excess - (k - 1)) / spread)
-        # A token whose characters are too evenly spread (a sequence) is not random either.
-        even = (chi - (k - 1)) / F.sqrt(2 * (k - 1)) < -3.5
         ones = f["runs"]["ones"]
         expected = 2 * ones * (n - ones) / n + 1
         variance = (expected - 1) * (expected - 2) / (n - 1)
-        runs_z = F.when(variance > 0, F.abs(f["runs"]["runs"] - expected) / F.sqrt(variance))
+        runs_z = F.when(variance > 0, (f["runs"]["runs"] - expected) / F.sqrt(variance))
         serial_z = F.when(
-            f["sums"]["all"] > 0, F.abs(f["sums"]["next"] / f["sums"]["all"] + 1 / n) * F.sqrt(n)
+            f["sums"]["all"] > 0, (f["sums"]["next"] / f["sums"]["all"] + 1 / n) * F.sqrt(n)
         )
-        ordered = (2 * _below(-runs_z) < LEVEL) | (2 * _below(-serial_z) < LEVEL)
-        return F.when(F.coalesce(ordered, F.lit(True)) | even, F.lit(1.0)).otherwise(chance)
+        # Chi-squared as a normal variable (Wilson and Hilferty), of which the lower half counts.
+        step = 2 / (9 * (k - 1))
+        root = F.pow(F.greatest(chi, F.lit(0.0)) / (k - 1), F.lit(1 / 3))
+        even_z = F.least((root - (1 - step)) / F.sqrt(step), F.lit(0.0))
+        against = _against(runs_z, n) + _against(serial_z, n) + _against(even_z, n)
+        # Tokens that stay on one side of the alphabet's middle have no runs to test.
+        against = F.least(F.coalesce(against, F.lit(80.0)), F.lit(80.0))
+        return F.least(chance * F.exp(against), F.lit(1.0))
 
     def tested(alphabet: Column) -> Column:
         k = F.length(alphabet)
