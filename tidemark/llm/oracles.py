@@ -147,6 +147,12 @@ SELECT conv_id, turn, kind, seq::BIGINT AS seq, call_id, linked,
 FROM ordered
 """
 
+NOTICE = (
+    "(?i)all rights reserved|copyright|©|cookie|privacy policy|terms of (?:use|service)|"
+    "enable javascript|licen[sc]ed under|unsubscribe|powered by"
+)
+LINE_WORDS = r"len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))"
+
 SHORT_LINE = r"""regexp_matches(line, '(?i)\b(home|menu|log ?in|sign ?(in|up)|register|next|previous|back to top|read more|share|subscribe|contact us|about us|sitemap|search)\b')
              AND len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) <= 6"""
 
@@ -165,11 +171,13 @@ WITH words AS (
     ) GROUP BY doc_id
 ), lines AS (
     SELECT doc_id, line, len(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS size,
-           NOT regexp_matches(line, '[.!?;:…。]')
+           NOT regexp_matches(line, '[.!?;:…。！？；：｡।॥؟؛۔።፧។៕၊။]')
            OR len(regexp_extract_all(line, '[#*$%&|<>]')) * 100 > length(line) * 10
-           OR regexp_matches(line, '([|<>»•→].*){{2}}')
+           OR (len(regexp_extract_all(line, '[|<>»•→]')) >= 2
+               AND {LINE_WORDS} <= 8 * len(regexp_extract_all(line, '[|<>»•→]')))
            OR ({SHORT_LINE})
-           OR regexp_matches(line, '(?i)all rights reserved|copyright|©|cookie|privacy policy|terms of (use|service)|enable javascript|licen[sc]ed under|unsubscribe|powered by') AS fails
+           OR (regexp_matches(line, '{NOTICE}')
+               AND {LINE_WORDS} <= 20 * len(regexp_extract_all(line, '{NOTICE}'))) AS fails
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words)
     WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), of_lines AS (

@@ -14,8 +14,9 @@ REPEATED_PER_CENT = 30
 SYMBOLS = "[^#*$%&|<>]+"
 
 # Fixed values of the line rules.
-PUNCTUATION = r"[.!?;:…。]"
-SEPARATORS = r"(?:[|<>»•→].*){2}"
+PUNCTUATION = "[.!?;:…。！？；：｡।॥؟؛۔።፧។៕၊။]"
+SEPARATOR = "[|<>»•→]"
+SEPARATORS = "[|<>»•→][^|<>»•→]*[|<>»•→]"
 NAVIGATION = (
     r"(?i)\b(?:home|menu|log ?in|sign ?(?:in|up)|register|next|previous|back to top|"
     r"read more|share|subscribe|contact us|about us|sitemap|search)\b"
@@ -25,6 +26,8 @@ BOILERPLATE = (
     r"enable javascript|licen[sc]ed under|unsubscribe|powered by"
 )
 NAVIGATION_WORDS = 6
+SEPARATOR_WORDS = 8
+BOILERPLATE_WORDS = 20
 SYMBOLS_PER_CENT = 10
 MIN_LEFT_PER_CENT = 50
 
@@ -80,15 +83,25 @@ def _covered(hashes: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """A line with words fails if it has no punctuation of sentences at all or is strewn with
-    symbols, is a list of links or a short line of menu words, or is a licence or site notice."""
-    short = F.size(F.split(F.btrim(line), f"[{SPACES}]+")) <= NAVIGATION_WORDS
+    """A line with words fails if it has no punctuation of sentences (of any script) at all or is
+    strewn with symbols, is a list of links or a short line of menu words, or is a licence or site
+    notice.
+
+    Separators and notices speak for a share of the line: ``SEPARATOR_WORDS`` words each (of two
+    separators or more) and ``BOILERPLATE_WORDS`` words each. So a long line of prose that names
+    cookies once, or holds two arrows, does not fail.
+    """
+    words = F.size(F.split(F.btrim(line, F.lit(" \t\n\x0b\f\r")), f"[{SPACES}]+"))
+
+    def within(pattern: str, each: int) -> Column:
+        return words <= F.size(F.regexp_extract_all(line, F.lit(pattern), F.lit(0))) * each
+
     return (
         ~line.rlike(PUNCTUATION)
         | (F.length(F.regexp_replace(line, SYMBOLS, "")) * 100 > F.length(line) * SYMBOLS_PER_CENT)
-        | line.rlike(SEPARATORS)
-        | (short & line.rlike(NAVIGATION))
-        | line.rlike(BOILERPLATE)
+        | (line.rlike(SEPARATORS) & within(SEPARATOR, SEPARATOR_WORDS))
+        | ((words <= NAVIGATION_WORDS) & line.rlike(NAVIGATION))
+        | (line.rlike(BOILERPLATE) & within(BOILERPLATE, BOILERPLATE_WORDS))
     )
 
 
@@ -100,8 +113,9 @@ def judge_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
     them. Lines that fail :func:`line_fails` are taken out of ``clean_text``; a text of whose
     characters less than half is left, or that has no word, is not ``kept``.
 
-    A null text counts as none and stays null. Repeated rows stay. Columns with the names of
-    the result are replaced. No row moves: there is no exchange.
+    A null text counts as none and stays null; texts of any length are judged whole, and an empty
+    table gives an empty result. Repeated rows stay. Columns with the names of the result are
+    replaced. Windows are compared by 64-bit hashes. No row moves: there is no exchange.
     """
     added = [
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
