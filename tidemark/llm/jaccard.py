@@ -23,6 +23,9 @@ from tidemark.llm.words import SPACED, Hasher, chunks, inside_rows, mixed, shing
 COUNTERS = 1 << 18
 SLOTS = 1 << 22
 TOKEN_BITS = 56
+# A shingle is hot if its counter reaches the first number and the second times the mean counter; hot
+# lists are dealt over so many tasks before they are cut into blocks.
+HOT_LEAST, HOT_MEANS, SALTS = 1024, 4, 64
 # Members of a short list, and sets and shingles of a cluster, that one block holds.
 LIST_BLOCK = 1024
 SET_BLOCK, TOKEN_BLOCK = 512, 1 << 20
@@ -124,8 +127,14 @@ def _profiled(size: int):
     return profile
 
 
-def _levels(profiles: DataFrame) -> np.ndarray:
-    """A rough rarity of each counter's shingles: eight steps per doubling, rare ones first."""
+def _level(counts):
+    """Eight steps per doubling."""
+    return np.minimum(8 * np.log2(counts + 1), 255).astype(np.uint64)
+
+
+def _levels(profiles: DataFrame) -> tuple[np.ndarray, int]:
+    """A rough rarity of each counter's shingles, rare ones first; and the level of hot ones. A
+    shingle's list is no longer than its counter."""
     counted = (
         profiles.filter(F.col("_id").isNull())
         .select(F.explode(F.arrays_zip("slots", "counts")).alias("c"))
@@ -135,7 +144,23 @@ def _levels(profiles: DataFrame) -> np.ndarray:
     )
     counts = np.zeros(COUNTERS)
     counts[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
-    return np.minimum(8 * np.log2(counts + 1), 255).astype(np.uint64)
+    return _level(counts), int(_level(np.float64(max(HOT_LEAST, HOT_MEANS * counts.mean()))))
+
+
+def _slots(classes: DataFrame) -> np.ndarray:
+    """Whether any class (column ``v``) falls into each slot. Bits are set by the executors, so the
+    driver sees half a megabyte at most, however many classes there are."""
+    slot = F.col("v").bitwiseAND(SLOTS - 1)
+    pieces = (
+        classes.select(F.shiftright(slot, 15).alias("piece"), slot.bitwiseAND((1 << 15) - 1).alias("bit"))
+        .groupBy("piece")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+        .toArrow()
+    )
+    used = np.zeros((SLOTS >> 15, 1 << 12), dtype=np.uint8)
+    for piece, bits in zip(pieces.column(0).to_pylist(), pieces.column(1).to_pylist(), strict=True):
+        used[piece] = np.frombuffer(bits, dtype=np.uint8)
+    return np.unpackbits(used.ravel(), bitorder="little").astype(bool)
 
 
 def _short_lists(sent, size: int, percent: int):
@@ -432,7 +457,8 @@ def link_documents(
         "slots array<int>, counts array<bigint>"
     )
     profiles = work.write(piped(rows, [_profiled(size)], schema), "profiles")
-    levels = broadcast(_levels(profiles))
+    levels, hot_level = _levels(profiles)
+    levels = broadcast(levels)
     documents = profiles.filter(F.col("_id").isNotNull()).drop("slots", "counts")
     own_id = F.col("_row").getField(id_col)
     key = F.struct(own_id.isNull().alias("none"), own_id.alias("id"), "_id")
@@ -449,11 +475,15 @@ def link_documents(
         "classes",
     )
 
-    # Of the short lists, the entries with another class of a fitting size next to them.
+    # Of the short lists, the entries with another class of a fitting size next to them. Hot lists
+    # have one almost everywhere, so they keep all entries and need no order.
     text = rows.select("_text")
     lists = _short_lists(levels, size, percent)
     entries = piped(text, [lists], "token bigint, node bigint, size int, most int")
-    by_size = Window.partitionBy("token").orderBy("size", "node")
+    hot = F.shiftrightunsigned("token", TOKEN_BITS) >= hot_level
+    salt = F.when(hot, F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    entries = entries.withColumn("_salt", salt)
+    by_size = Window.partitionBy("token", "_salt").orderBy("size", "node")
 
     def next_to(step: int) -> Column:
         other = F.lag(F.struct("size", "node"), step).over(by_size)
@@ -463,8 +493,8 @@ def link_documents(
         return fits & (other["node"] != F.col("node"))
 
     near = F.coalesce(next_to(1), F.lit(False)) | F.coalesce(next_to(-1), F.lit(False))
-    shared = entries.withColumn("_near", near).filter("_near").drop("_near").distinct()
-    shared = work.write(shared, "shared")
+    shared = entries.withColumn("_near", hot | near).filter("_near").drop("_near").distinct()
+    shared = work.write(shared.drop("_salt"), "shared")
     lengths = shared.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / LIST_BLOCK).alias("n"))
     members = shared.join(classes.select("node", "bits"), "node")
     blocks = _blocks(members, "token", lengths).select(
@@ -475,10 +505,7 @@ def link_documents(
     near = work.write(near, "near")
 
     # Whole sets of the clusters, and the search inside each.
-    wanted = np.zeros(SLOTS, dtype=bool)
-    slots = near.select(F.expr(f"v & {SLOTS - 1}").alias("slot")).distinct().toArrow()
-    wanted[slots.column(0).to_numpy()] = True
-    whole = _whole_sets(broadcast(wanted), size)
+    whole = _whole_sets(broadcast(_slots(near)), size)
     sets = piped(text, [whole], "name binary, tokens binary")
     sets = (
         sets.withColumn("v", _node("name"))
