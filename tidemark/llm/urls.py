@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import ascii_lower, packed, unpacked
-
-SALTS = 32
+from tidemark.llm.shared import Work, ascii_lower, packed, unpacked, workspace
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -19,35 +17,75 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def reversed_host(host: Column) -> Column:
-    """Labels from the last to the first: a host comes just before its subdomains."""
-    return F.array_join(F.reverse(F.split(host, r"\.", -1)), ".")
+def host_key(host: Column) -> Column:
+    """Labels from the last to the first, each with a dot after it.
+
+    The keys that begin with a host's key are those of the host and of its subdomains, and in
+    the order of keys they are an interval that begins with the host.
+    """
+    return F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), "."), F.lit("."))
 
 
-def rule_stacks(rules: DataFrame) -> DataFrame:
-    """Each rule as the start of its interval, with the rules that are open there.
+def with_stacks(starts: DataFrame) -> DataFrame:
+    """Each start of an interval (``_at``, once each) with the intervals open right after it.
 
-    In a host's order of paths, the rules whose path is a prefix of ``p`` are those whose
-    interval contains ``p``. Intervals nest, so the stack right after a rule's start is the
-    rule itself and the rules among its path's prefixes, longest first.
+    An interval holds the keys that begin with its ``_at``, so intervals nest, and those open at a
+    start are the starts among its prefixes. ``_stack`` has them as (``_at``, ``_value``),
+    innermost first. Prefixes are made of lengths that starts have.
     """
-    rules = rules.groupBy("host", "path").agg(
-        # Of two rules for the same place, block wins.
-        F.max(F.col("action") == "block").alias("blocks")
+    lengths = starts.agg(F.collect_set(F.length("_at"))).first()[0]
+    fitting = F.filter(
+        F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("_at")
     )
-    starts = rules.select("host", F.col("path").alias("start"))
-    prefixes = starts.withColumn(
-        "path", F.explode(F.expr("transform(sequence(0, length(start)), n -> left(start, n))"))
+    prefixes = starts.select(
+        F.col("_at").alias("_start"),
+        F.explode(F.transform(fitting, lambda n: F.left(F.col("_at"), n))).alias("_at"),
     )
+    stack = F.reverse(F.array_sort(F.collect_list(F.struct("_at", "_value"))))
     return (
-        prefixes.join(rules, ["host", "path"])
-        .groupBy("host", "start")
-        .agg(
-            F.reverse(
-                F.array_sort(F.collect_list(F.struct(F.length("path"), "path", "blocks")))
-            ).alias("stack")
-        )
-        .select(reversed_host(F.col("host")).alias("key"), "host", "start", "stack")
+        prefixes.join(starts, "_at")
+        .groupBy("_start")
+        .agg(stack.alias("_stack"))
+        .withColumnRenamed("_start", "_at")
+    )
+
+
+def swept(points: DataFrame, starts: DataFrame, work: Work, name: str) -> DataFrame:
+    """Points (``_at``, ``_id``, others) that lie in an interval, with all they lie in.
+
+    Points and starts are sorted together and dealt by ranges, in which a key that many points
+    share goes on in the next range. The last start before a point brings the stack of
+    intervals that were open then, and those that have ended are popped; a range begins with
+    the stack of the last start in the ranges before it. ``_open`` has what is left, innermost first.
+    """
+    both = points.withColumn("_kind", F.lit(1)).unionByName(
+        with_stacks(starts).withColumn("_kind", F.lit(0)), allowMissingColumns=True
+    )
+    ranged = both.repartitionByRange("_at", "_kind", "_id")
+    ranged = work.write(ranged.withColumn("_range", F.spark_partition_id()), name)
+
+    is_start = F.col("_kind") == 0
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        ranged.groupBy("_range")
+        .agg(F.max_by("_stack", F.when(is_start, F.col("_at"))).alias("_end"))
+        .select("_range", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    )
+    so_far = (
+        Window.partitionBy("_range")
+        .orderBy("_at", "_kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    met = ranged.withColumn("_met", F.last("_stack", ignorenulls=True).over(so_far))
+    left = F.filter(
+        F.coalesce("_met", "_carried"), lambda interval: F.col("_at").startswith(interval["_at"])
+    )
+    return (
+        met.filter(~is_start)
+        .join(carried, "_range")
+        .withColumn("_open", left)
+        .filter(F.size("_open") > 0)
+        .select(*points.columns, "_open")
     )
 
 
@@ -58,18 +96,18 @@ def judge_urls(
 
     ``rules`` has host, path and action (``allow`` or ``block``). A rule fits its host and all
     subdomains if the URL's path starts with the rule's; the longest rule (host and path
-    together, then the longer host) wins. Without a fitting rule, the verdict is ``default``
-    and the rule null.
-
-    A URL stands for the reversed keys of its host and the host's parents that have rules.
-    Keys and starts of rules are sorted together, and the last start before a key brings the
-    stack of rules open there; those that have ended are popped by comparing prefixes. A hot
-    host is dealt over ``SALTS`` tasks, each with all the host's rules.
-
-    Null URLs and those without ``://`` have an empty host and path. Of a host, however long, only
-    parents of as many labels as the longest rule's host are looked up. Repeated rows stay, and
-    columns of ``pages`` with the names of the result are replaced by it. An empty table gives an
-    empty result; without rules every verdict is ``default``.
+    together, then the longer host) wins. Of two rules for the same place, block wins. Without a
+    fitting rule, the verdict is ``default`` and the rule null.
+
+    Two sweeps (:func:`swept`) find the rules: one over reversed hosts, for the hosts with rules
+    that a URL's host lies in, and one over (host with rules, path), for the longest path
+    of each. Only keys and paths are sorted; rows join their verdict in the end.
+    ``pages`` must be a frame whose partitions do not change between scans.
+
+    Null URLs and those without ``://`` have an empty host and path. Very long hosts and paths are
+    sorted as they are, in full. Rules with a null host or path fit nothing. Repeated rows
+    stay, and columns of ``pages`` with the names of the result are replaced by it. An empty table
+    gives an empty result; without rules every verdict is ``default``.
     """
     added = ["host", "path", "rule", "verdict"]
     host, path = host_and_path(F.col(url_col))
@@ -77,74 +115,39 @@ def judge_urls(
         packed(pages, added).alias("_row"), host.alias("host"), path.alias("path")
     ).withColumn("_id", F.monotonically_increasing_id())
 
-    most = rules.agg(F.max(F.size(F.split("host", r"\.", -1)))).first()[0] or 0
-    labels = F.split("host", r"\.", -1)
-    tail = F.slice(labels, -F.least(F.size(labels), F.lit(most)), F.least(F.size(labels), F.lit(most)))
-    shorter = F.when(F.size(labels) > most, F.lit(0)).otherwise(F.lit(1))
-    parents = urls.withColumn("_tail", tail if most else F.array().cast("array<string>"))
-    parents = parents.select(*urls.columns, F.posexplode(F.concat(
-        F.array("host"),
-        F.transform(
-            F.filter(F.sequence(F.lit(1), F.greatest(F.size("_tail"), F.lit(1))),
-                     lambda i: (i > shorter) & (i <= F.size("_tail"))),
-            lambda i: F.array_join(F.slice("_tail", i, F.size("_tail")), "."),
-        ),
-    )).alias("_nth", "_parent"))
-    stacks = rule_stacks(rules)
-    hosts = stacks.groupBy("host").agg(F.count(F.lit(1)).alias("_rules"))
-    parents = parents.join(
-        hosts.withColumnRenamed("host", "_parent"), "_parent", "left"
-    ).filter((F.col("_nth") == 0) | F.col("_rules").isNotNull())
-
-    salt = F.pmod(F.xxhash64("_id"), F.lit(SALTS))
-    empty = F.lit(None)
-    keys = parents.select(
-        reversed_host(F.col("_parent")).alias("_key"),
-        salt.alias("_salt"),
-        F.col("path").alias("_at"),
-        F.lit(1).alias("_kind"),
-        "_id", "_row", "host", "path", F.col("_parent").alias("_of"),
-        empty.cast(stacks.schema["stack"].dataType).alias("_stack"),
-    )
-    starts = stacks.select(
-        F.col("key").alias("_key"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"),
-        F.col("start").alias("_at"),
-        F.lit(0).alias("_kind"),
-        empty.cast("long").alias("_id"),
-        empty.cast(keys.schema["_row"].dataType).alias("_row"),
-        empty.cast("string").alias("host"),
-        empty.cast("string").alias("path"),
-        F.col("host").alias("_of"),
-        F.col("stack").alias("_stack"),
+    # No host of a URL has a slash, so the first one in a key ends the host.
+    placed = (
+        rules.filter(F.col("path").isNotNull() & ~F.col("host").contains("/"))
+        .groupBy("host", "path")
+        .agg(F.max(F.col("action") == "block").alias("blocks"))
+        .withColumn("key", host_key(F.col("host")))
     )
-    sweep = (
-        Window.partitionBy("_key", "_salt")
-        .orderBy("_at", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    swept = keys.unionByName(starts).withColumn(
-        "_open", F.last("_stack", ignorenulls=True).over(sweep)
-    ).filter(F.col("_kind") == 1)
-    top = F.get(F.filter("_open", lambda r: F.col("path").startswith(r["path"])), F.lit(0))
-    found = swept.withColumn("_top", top).withColumn("_best", F.when(
-        F.col("_top").isNotNull(),
+    host_starts = placed.select(F.col("key").alias("_at"), F.col("host").alias("_value")).distinct()
+    path_starts = placed.select(
+        F.concat("key", F.lit("/"), "path").alias("_at"),
         F.struct(
-            (F.length("_of") + F.length("_top.path")).alias("size"),
-            F.length("_of").alias("host_size"),
-            F.concat("_of", "_top.path").alias("rule"),
-            F.col("_top.blocks").alias("blocks"),
-        ),
-    ))
-    best = found.groupBy("_id").agg(
-        F.first("_row").alias("_row"),
-        F.first("host").alias("host"),
-        F.first("path").alias("path"),
-        F.max("_best").alias("_best"),
+            (F.length("host") + F.length("path")).alias("size"),
+            F.length("host").alias("host_size"),
+            F.concat("host", "path").alias("rule"),
+            "blocks",
+        ).alias("_value"),
     )
+    with workspace(pages.sparkSession) as work:
+        hosts = urls.select(host_key(F.col("host")).alias("_at"), "_id", "path")
+        inside = swept(hosts, host_starts, work, "hosts").select(
+            "_id", "path", F.explode("_open._at").alias("_key")
+        )
+        paths = inside.select(F.concat("_key", F.lit("/"), "path").alias("_at"), "_id")
+        fitting = swept(paths, path_starts, work, "paths")
+        best = (
+            fitting.groupBy("_id")
+            .agg(F.max(F.get("_open", F.lit(0))["_value"]).alias("_best"))
+            .checkpoint()
+        )
     verdict = F.when(F.col("_best.blocks"), F.lit("block")).otherwise(F.lit("allow"))
-    return best.select(
-        *unpacked(best),
+    judged = urls.join(best, "_id", "left")
+    return judged.select(
+        *unpacked(judged),
         "host",
         "path",
         F.col("_best.rule").alias("rule"),
