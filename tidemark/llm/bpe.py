@@ -18,13 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import packed, piped, received, send, unpacked
-from tidemark.llm.words import Hasher, chunks, list_column
+from tidemark.llm.words import CHUNK, Hasher, chunks, list_column
 
 # Words longer than this are hashed by another function than the running sum.
 LONG_WORD = 256
 # Words that a task keeps with their ids, some 50 bytes each; beyond, it starts anew.
 KNOWN_WORDS = 600_000
 
+# Bytes of texts that a task encodes at a time. While all words are new, its arrays take about a
+# hundred times as much.
+ENCODED = CHUNK // 2
+
 # Classes of characters in the pattern of byte-level BPE.
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 
@@ -262,11 +266,12 @@ class WordIds:
 
 
 def encode_texts(
-    texts: pa.Array, v: Vocabulary, known: WordIds
+    texts: pa.Array, v: Vocabulary, known: WordIds, limit: int = CHUNK
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Ranges of rows with the flat ids and number of ids of each; a null text has none."""
+    """Ranges of rows, of at most ``limit`` bytes if there are several, with the flat ids and
+    number of ids of each; a null text has none."""
     special = regex.compile("|".join(map(regex.escape, sorted(v.specials, key=len)[::-1])))
-    for first, last, data, offsets in chunks(texts):
+    for first, last, data, offsets in chunks(texts, limit):
         text = data.tobytes().decode()
         codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
         widths = np.ones(len(codes), dtype=np.int64)
@@ -346,7 +351,7 @@ def _encoding(sent, at: int):
         v = received(sent)
         known = WordIds(lambda data, starts, ends: merge_words(data, starts, ends, v))
         for batch in batches:
-            for first, last, ids, counts in encode_texts(batch.column(at), v, known):
+            for first, last, ids, counts in encode_texts(batch.column(at), v, known, ENCODED):
                 held = [c.slice(first, last - first) for c in batch.columns]
                 yield pa.RecordBatch.from_arrays(
                     [*held, list_column(pa.array(ids, pa.int32()), counts)],
